@@ -96,16 +96,20 @@ class ActivationRules:
     brands: Sequence[str] = field(default_factory=tuple)
 
 
+def report_rules(df: DataFrame, rules: ActivationRules) -> DataFrame:
+    """The rules that look at the report alone; expects the age and ``BIRADS``."""
+    df = female_only(df.filter(F.col("sigla_exame").isin(*rules.exam_codes)))
+    if rules.brands:
+        df = brand_in(df, rules.brands)
+    return category_in(age_between(df, rules.age_from, rules.age_below), rules.categories)
+
+
 def activation_filter(df: DataFrame, rules: ActivationRules) -> DataFrame:
     """Exam code, sex, age, brand, category and no-return rules together.
 
-    Expects the age, ``BIRADS`` and the left-joined return columns.
+    Expects also the left-joined return columns.
     """
-    df = female_only(df.filter(F.col("sigla_exame").isin(*rules.exam_codes)))
-    if rules.brands:
-        df = brand_in(df, rules.brands)
-    df = age_between(df, rules.age_from, rules.age_below)
-    return no_return(category_in(df, rules.categories))
+    return no_return(report_rules(df, rules))
 
 
 def exam_dimension(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
 _GEN = "gen"
 
@@ -88,7 +88,7 @@ def _read(spark: SparkSession, folder: _Folder, state: dict, dirs=None) -> DataF
     if not dirs:
         return spark.createDataFrame([], schema)
     return (
-        spark.read.schema(StructType(schema.fields).add(_GEN, "int"))
+        spark.read.schema(StructType(schema.fields).add(_GEN, IntegerType()))
         .option("basePath", f"{folder.root}/data")
         .parquet(*[f"{folder.root}/data/{d}" for d in dirs])
         .select(*schema.names)
@@ -110,7 +110,7 @@ def _commit(df: DataFrame, folder: _Folder, state: dict | None, keep: Sequence[s
     ) + 1
     top = f"{_GEN}={generation}"
     # Rebalancing merges small output partitions and splits a hot date.
-    out = df.hint("rebalance", *by) if by else df
+    out = df.hint("rebalance", *[F.col(c) for c in by]) if by else df
     writer = out.write.mode("errorifexists")
     if by:
         writer = writer.partitionBy(*by)
@@ -152,10 +152,9 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     try:
         check_unique(source, keys)
         target = _read(spark, folder, state)
-        marker = f"{folder.root.split(':', 1)[-1]}/data/"
-        folder_of = F.regexp_extract(
-            F.substring_index(F.col("_metadata.file_path"), marker, -1), "^(.*)/[^/]+$", 1
-        )
+        # File paths are URL-encoded; a plus sign is literal in them.
+        file_path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        folder_of = F.regexp_extract(file_path, rf"^.*/data/({_GEN}=\d+.*)/[^/]+$", 1)
         # One row per live folder at most.
         touched = {
             row[0] for row in target.select(*keys, folder_of.alias("_pasta"))

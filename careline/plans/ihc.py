@@ -18,10 +18,10 @@ from careline.operators.joins import join_keys
 
 
 def ihc_reports(reports: DataFrame, group: str = "F", target: DataFrame | None = None) -> DataFrame:
-    """Reports the stage reads; group P starts after the mark and has no sex rule."""
+    """Reports the stage reads; group P starts after the mark."""
     df = since(reports, target, inclusive=group == "F")
     df = with_exam_codes(for_care_line(df), "ihc", group)
-    return mentions_all(female_only(df) if group == "F" else df)
+    return mentions_all(female_only(df))
 
 
 def ihc_subtypes(reports: DataFrame, answers: DataFrame, group: str = "F",

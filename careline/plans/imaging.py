@@ -9,17 +9,17 @@ from careline import fixed_values as V
 from careline.operators.cohort import (
     AGE,
     ActivationRules,
-    activation_filter,
     female_only,
     for_care_line,
+    report_rules,
     with_age,
     with_exam_codes,
 )
 from careline.operators.followup import with_categories, with_return_plan
 from careline.operators.increment import since
-from careline.operators.joins import attach_returns
+from careline.operators.joins import attach_returns, not_in
 from careline.operators.rows import dedupe
-from careline.sources.tables import all_but
+from careline.sources.tables import RETURN_COLUMNS, all_but
 
 
 def _extracted(reports: DataFrame, group: str) -> DataFrame:
@@ -53,11 +53,18 @@ def activation_list(reports: DataFrame, returns: DataFrame, as_of: Column, group
                     brands: Sequence[str] = (), order: Sequence[str] | None = None) -> DataFrame:
     """Visits to remind: one row per ``ficha``, the first by report key.
 
-    Row filters run before the join; only the no-return rule needs it.
+    Nobody on the list has returned, so the return visits are anti-joined by key
+    alone and their columns are NULL.
     """
     rules = ActivationRules(exam_codes=V.EXAM_CODES["mammogram"][group], brands=tuple(brands))
     df = all_but(_extracted(with_age(reports, as_of), group), "laudo_tratado")
-    joined = attach_returns(df, returns)
-    chosen = all_but(activation_filter(joined, rules), AGE, "dth_nascimento_cliente")
+    chosen = all_but(report_rules(df, rules), AGE, "dth_nascimento_cliente")
+    came = returns.filter(F.col("ficha_retorno_elegivel").isNotNull())
+    chosen = not_in(chosen, came.withColumnRenamed("ficha_origem", "ficha"),
+                    ("ficha", "id_cliente", "linha_cuidado"))
+    chosen = chosen.withColumns({
+        f.name: F.lit(None).cast(f.dataType) for f in returns.schema
+        if f.name in RETURN_COLUMNS.values()
+    })
     keys = [k for k in V.REPORT_KEYS[group] if k != "ficha"]
     return with_return_plan(dedupe(chosen, ["ficha"], order or keys))
