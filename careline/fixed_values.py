@@ -104,7 +104,7 @@ EXAM_DIMENSION = (
 # ---------------------------------------------------------------------------
 # Imaging category patterns
 # ---------------------------------------------------------------------------
-CATEGORY_NOISE = r"[-:®]|\xa0"
+CATEGORY_NOISE = r"[-:®\xa0]"
 SECTION_HEADERS = r"AVALIA[CÇ][AÃ]O|CONCLUS[AÃ]O|IMPRESS[AÃ]O|OPINI[AÃ]O"
 CATEGORY_KEYWORDS = {
     "F": r"BIRADS|CATEGORIA",

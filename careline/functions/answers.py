@@ -23,7 +23,8 @@ def render_replace(template: str, c: Column, placeholder: str = "{laudo_texto}")
 def strip_fences(c: Column, languages=("python", "json")) -> Column:
     """Remove code-fence markers with or without one of the languages, then trim."""
     marks = "|".join([f"```{name}" for name in languages] + ["```"])
-    return F.trim(F.regexp_replace(c, marks, ""))
+    fenced = F.contains(c, F.lit("```"))
+    return F.trim(F.when(fenced, F.regexp_replace(c, marks, "")).otherwise(c))
 
 
 def first_object(c: Column) -> Column:
@@ -52,17 +53,21 @@ def parse_literal(c: Column, schema) -> Column:
 
 def int_or_null(c: Column) -> Column:
     """Sentinel (any case, with or without accent) or text that is no number: NULL; else int."""
-    digits = F.regexp_extract(c, r"^\s*([+-]?[0-9]+)(?:\.[0-9]*)?\s*$", 1).try_cast("int")
-    return F.when(F.lower(c).isin(*V.NOT_STATED_SPELLINGS), F.lit(None)).otherwise(digits)
+    digits = F.regexp_extract(c, r"^\s*([+-]?[0-9]+)(?:\.[0-9]*)?\s*$", 1)
+    stated = ~F.lower(c).isin(*V.NOT_STATED_SPELLINGS) & (digits != "")
+    return F.when(stated, digits).try_cast("int")
 
 
 def float_or_zero(c: Column) -> Column:
-    return F.coalesce(c.try_cast("double"), F.lit(0.0))
+    """A text as a number, 0.0 when it is none."""
+    # Text that cannot start a number is left out: a failing cast is slow.
+    number = F.when(c.rlike(r"^\s*[+-]?(?:[0-9.]|(?i:nan|inf))"), c)
+    return F.coalesce(number.try_cast("double"), F.lit(0.0))
 
 
 def sorted_set(c: Column) -> Column:
     """Array in sorted order, for order-free comparison; NULL counts as empty."""
-    return F.array_sort(F.coalesce(c, F.array().cast("array<string>")))
+    return F.sort_array(F.coalesce(c, F.array().cast("array<string>")))
 
 
 def preview(c: Column, n: int = 100) -> Column:

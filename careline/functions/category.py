@@ -41,7 +41,8 @@ def normalise_categories(tokens: Column) -> Column:
         for roman, number in V.ROMAN_VALUES.items():
             branch = token == roman
             value = F.when(branch, number) if value is None else value.when(branch, number)
-        whole = token.try_cast("int")
+        # Only whole numbers are cast: a failing cast is far slower than the test.
+        whole = F.when(token.rlike("^[0-9]+$"), token).try_cast("int")
         return value.when(whole > V.HIGHEST_CATEGORY, F.lit(None)).otherwise(
             F.regexp_replace(token, "[^0-9]", "").try_cast("int")
         )
@@ -73,7 +74,7 @@ def documented_category(c: Column) -> Column:
     pattern = rf"(?is)^(.*)BI-?RADS(.{{0,{V.DOCUMENTED_AFTER}}})"
     before = F.right(F.regexp_extract(c, pattern, 1), F.lit(V.DOCUMENTED_BEFORE))
     window = F.concat(before, F.lit(" "), F.regexp_extract(c, pattern, 2))
-    return F.regexp_extract(window, r"[0-9]", 0).try_cast("int")
+    return F.nullif(F.regexp_extract(window, r"[0-9]", 0), F.lit("")).try_cast("int")
 
 
 def category(c: Column, rule: str = "reference", group: str = "F") -> Column:

@@ -45,10 +45,15 @@ def ck56_status(c: Column, version: int = 2) -> Column:
     return status_by_rules(c, V.CK56_RULES[version])
 
 
+def _decimal(found: Column) -> Column:
+    """Matched digits with comma or point as a double, NULL for an empty match."""
+    return F.replace(F.nullif(found, F.lit("")), F.lit(","), F.lit(".")).try_cast("double")
+
+
 def ki67(c: Column, version: int = 2) -> Column:
     """First percentage after Ki-67, 0.0 if there is none."""
     found = F.regexp_extract(F.lower(c), UNICODE + V.KI67_PERCENT[version], 1)
-    return F.coalesce(F.replace(found, F.lit(","), F.lit(".")).try_cast("double"), F.lit(0.0))
+    return F.coalesce(_decimal(found), F.lit(0.0))
 
 
 def ihc_labels(c: Column, versions: dict[str, int] | None = None) -> dict[str, Column]:
@@ -77,8 +82,7 @@ _PERCENT_RANGE = rf"(?iu){_NUMBER}(?:\s*(?:-|–|a|até)\s*{_NUMBER})?\s*%"
 
 
 def _bound(c: Column, group: int) -> Column:
-    found = F.regexp_extract(c, _PERCENT_RANGE, group)
-    return F.replace(found, F.lit(","), F.lit(".")).try_cast("double")
+    return _decimal(F.regexp_extract(c, _PERCENT_RANGE, group))
 
 
 def range_max(c: Column) -> Column:

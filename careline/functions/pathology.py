@@ -61,11 +61,13 @@ def malignancy_terms(c: Column, terms=V.MALIGNANCY_TERMS) -> Column:
                 F.when(text.rlike(rf"{UNICODE}\b{re.escape(t)}\b"), F.lit(t)) for t in terms
             ])
         )
-    return F.coalesce(F.array_sort(F.array_distinct(found)), F.array().cast("array<string>"))
+    return F.coalesce(F.sort_array(F.array_distinct(found)), F.array().cast("array<string>"))
 
 
 def _number(c: Column, pattern: str) -> Column:
-    return F.regexp_extract(F.lower(c), UNICODE + pattern, 1).try_cast("int")
+    # No match is made NULL first: casting an empty string is a slow failure.
+    found = F.regexp_extract(F.lower(c), UNICODE + pattern, 1)
+    return F.nullif(found, F.lit("")).try_cast("int")
 
 
 def histologic_grade(c: Column) -> Column:

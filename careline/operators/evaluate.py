@@ -23,7 +23,7 @@ GOLD = "heu_"
 
 
 def compare_numeric(a: Column, b: Column) -> Column:
-    """Equal as numbers, unreadable ones counting as 0.0."""
+    """Two texts equal as numbers, unreadable ones counting as 0.0."""
     return float_or_zero(a) == float_or_zero(b)
 
 
@@ -54,6 +54,13 @@ def _compare(df: DataFrame, field: str, rule: str) -> Column:
     raise ValueError(f"unknown comparison rule: {rule}")
 
 
+def _as_number(df: DataFrame, name: str) -> Column:
+    """A column as a double with 0.0 for what is none."""
+    if isinstance(df.schema[name].dataType, NumericType):
+        return F.coalesce(F.col(name).cast("double"), F.lit(0.0))
+    return float_or_zero(F.col(name))
+
+
 def compare(df: DataFrame, fields: Sequence[str], rule: str = "strict",
             numeric: Sequence[str] = ()) -> DataFrame:
     """Add one flag per field.
@@ -65,7 +72,7 @@ def compare(df: DataFrame, fields: Sequence[str], rule: str = "strict",
     compared as numbers under every rule.
     """
     return df.withColumns({
-        HIT + f: compare_numeric(F.col(f), F.col(GOLD + f)) if f in numeric
+        HIT + f: _as_number(df, f) == _as_number(df, GOLD + f) if f in numeric
         else _compare(df, f, rule)
         for f in fields
     })

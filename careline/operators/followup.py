@@ -15,9 +15,14 @@ from careline.operators.rows import count_by
 
 def with_categories(df: DataFrame, group: str = "F", text: str = "laudo_tratado",
                     section: str = "reference") -> DataFrame:
-    """Add the lowest, highest and last category of a report."""
+    """Add the lowest, highest and last category of a report.
+
+    The list is taken out of a one-element array, which keeps later filters on a
+    category above the extraction: it runs once per report, not once per use.
+    """
+    once = F.explode(F.array(category_list(F.col(text), group, section)))
     return (
-        df.withColumn("_categorias", category_list(F.col(text), group, section))
+        df.withColumn("_categorias", once)
         .withColumns({
             "MIN_BIRADS": category_min(F.col("_categorias")),
             "MAX_BIRADS": category_max(F.col("_categorias")),

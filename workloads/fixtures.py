@@ -8,6 +8,7 @@ differently.  Sizes follow lineitem and orders.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from careline.sources import spread
 from workloads import texts as T
 
 AS_OF = "2001-08-01"
@@ -148,7 +149,7 @@ def raw_returns(spark: SparkSession, sf: str) -> DataFrame:
 
 def report_documents(spark: SparkSession, sf: str, items) -> DataFrame:
     """Whole documents with a report sentence after the prose."""
-    return table(spark, sf, "documents").selectExpr(
+    return spread(table(spark, sf, "documents")).selectExpr(
         "doc_id", "lang", f"text || ' ' || {pick('spark', items, 'doc_id')} AS laudo_tratado"
     )
 

@@ -6,7 +6,7 @@ T = "laudo_tratado"
 
 
 def category_tokens(text=T, group="F", section="reference"):
-    clean = f"regexp_replace(upper({text}), '{V.CATEGORY_NOISE}', '', 'g')"
+    clean = rf"regexp_replace(upper({text}), '[-:®]|\xa0', '', 'g')"
     if section == "reference":
         clean = f"regexp_extract({clean}, '(?mi)({V.SECTION_HEADERS})?(.*)', 2)"
     kw = V.CATEGORY_KEYWORDS[group]
