@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from careline.session import configure
 from workloads.fixtures import oracle as with_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,7 +19,7 @@ def register(name: str, sql: str | None, group: str = "F") -> Callable[[Query],
     def add(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query registered twice: {name}")
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf: fn(configure(spark), sf)
         if sql is not None:
             ORACLES[name] = with_tables(sql, group)
         return fn
