@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from careline import fixed_values as V
 from careline.functions.followup import age_years
+from careline.sources.tables import from_rows
 
 AGE = "idade_cliente"
 TEXT = "laudo_tratado"
@@ -114,8 +115,8 @@ def activation_filter(df: DataFrame, rules: ActivationRules) -> DataFrame:
 
 def exam_dimension(df: DataFrame) -> DataFrame:
     """The literal exam-code dimension."""
-    return df.sparkSession.createDataFrame(
-        list(V.EXAM_DIMENSION),
+    return from_rows(
+        df.sparkSession, V.EXAM_DIMENSION,
         "sigla_exame string, mnemonico string, descricao string, etapa string",
     )
 

@@ -10,7 +10,8 @@ from careline import fixed_values as V
 from careline.functions.category import category_last, category_list, category_max, category_min
 from careline.functions.followup import as_ts, days_until, predicted_return, return_months
 from careline.operators.cohort import age_between, brand_in, with_mnemonic
-from careline.operators.rows import count_by
+from careline.operators.joins import not_in
+from careline.operators.rows import count_by, distinct_values
 
 
 def with_categories(df: DataFrame, group: str = "F", text: str = "laudo_tratado",
@@ -113,6 +114,11 @@ def channel_list(df: DataFrame, rules: ChannelRules, consents: DataFrame,
         & F.col("BIRADS").isin(*rules.categories)
         & due.between(F.lit(rules.due_from).cast("date"), F.lit(rules.due_to).cast("date"))
     )
-    agreed = consents.filter(F.col("consentimento").isin(*rules.consents)).select("id_cliente")
+    # One row per patient leaves each map task, however many consents one has.
+    agreed = distinct_values(
+        consents.filter(F.col("consentimento").isin(*rules.consents)), "id_cliente"
+    )
     out = out.join(agreed, "id_cliente", "left_semi")
-    return out if controls is None else out.join(controls.select("id_cliente"), "id_cliente", "left_anti")
+    if controls is None:
+        return out
+    return not_in(out, distinct_values(controls, "id_cliente"), ["id_cliente"])
