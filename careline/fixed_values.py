@@ -230,6 +230,12 @@ KI67_PERCENT = {
     2: r"ki[-\s]?67.{0,100}?[:\-]?\s*(\d{1,3}(?:[.,]\d+)?)\s*%",
 }
 
+# Pattern versions each source group is evaluated with
+RULE_VERSIONS = {
+    "F": {"mitotic": 2, "er": 2, "pr": 2, "her2": 2, "ki67": 2, "ck56": 2},
+    "P": {"mitotic": 1, "er": 1, "pr": 1, "her2": 1, "ki67": 1, "ck56": 1},
+}
+
 # Marker mentions (strict) and the looser set counted together
 MARKERS = {
     "estrogenio": r"\b(?:receptor\s+de\s+estr[oó]g(?:[eê]nio|eno))\b",

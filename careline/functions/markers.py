@@ -58,7 +58,7 @@ def ki67(c: Column, version: int = 2) -> Column:
 
 def ihc_labels(c: Column, versions: dict[str, int] | None = None) -> dict[str, Column]:
     """The five markers of a report by field name."""
-    v = {"er": 2, "pr": 2, "her2": 2, "ki67": 2, "ck56": 2, **(versions or {})}
+    v = {**V.RULE_VERSIONS["F"], **(versions or {})}
     return dict(zip(V.IHC_FIELDS, (
         er_status(c, v["er"]), pr_status(c, v["pr"]), her2_status(c, v["her2"]),
         ki67(c, v["ki67"]), ck56_status(c, v["ck56"]),

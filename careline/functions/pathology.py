@@ -104,9 +104,10 @@ def histologic_type(c: Column, types=V.HISTOLOGIC_TYPES, fixed: bool = False) ->
     return label
 
 
-def pathology_labels(c: Column) -> dict[str, Column]:
+def pathology_labels(c: Column, versions: dict[str, int] | None = None) -> dict[str, Column]:
     """The six labels of a report by field name, missing ones NULL."""
+    v = {**V.RULE_VERSIONS["F"], **(versions or {})}
     return dict(zip(V.PATHOLOGY_FIELDS, (
         malignancy_terms(c), histologic_grade(c), nuclear_grade(c),
-        tubule_score(c), mitotic_index(c), histologic_type(c),
+        tubule_score(c), mitotic_index(c, v["mitotic"]), histologic_type(c),
     )))

@@ -87,7 +87,7 @@ def pseudo_gold(df: DataFrame, kind: str, text: str = TEXT, as_text: bool = Fals
         return df.withColumns(
             {f"heu_{k}": c for k, c in ihc_labels(F.col(text), versions).items()}
         )
-    labels = {f"heu_{k}": c for k, c in pathology_labels(F.col(text)).items()}
+    labels = {f"heu_{k}": c for k, c in pathology_labels(F.col(text), versions).items()}
     if as_text:
         first = f"heu_{V.PATHOLOGY_FIELDS[0]}"
         labels = {

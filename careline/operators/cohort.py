@@ -74,10 +74,15 @@ def lower_text(df: DataFrame, text: str = TEXT) -> DataFrame:
     return df.withColumn(text, F.lower(text))
 
 
-def gate_flag(c: Column, terms: Sequence[str] = V.MALIGNANCY_TERMS) -> Column:
-    """Any term inside the text, without word boundaries."""
+def gate_flag(c: Column, terms: Sequence[str] = V.MALIGNANCY_TERMS,
+              any_case_accents: bool = False) -> Column:
+    """Any term inside the text, without word boundaries.
+
+    Letter case is ignored for plain letters only, unless ``any_case_accents``.
+    """
+    flags = "(?iu)" if any_case_accents else "(?i)"
     # Terms are literal: quote them for the regular expression.
-    return c.rlike("(?iu)(" + "|".join(rf"\Q{t}\E" for t in terms) + ")")
+    return c.rlike(flags + "(" + "|".join(rf"\Q{t}\E" for t in terms) + ")")
 
 
 def gate(df: DataFrame, terms: Sequence[str] = V.MALIGNANCY_TERMS, text: str = TEXT,

@@ -35,7 +35,12 @@ def ihc_subtypes(reports: DataFrame, answers: DataFrame, group: str = "F",
     return with_subtype(with_ki67_number(df))
 
 
-def ihc_comparison(labelled: DataFrame, versions: dict[str, int] | None = None) -> DataFrame:
-    """Answer markers against pattern markers, a flag per field."""
-    return compare(pseudo_gold(labelled, "ihc", versions=versions), V.IHC_FIELDS, "strict",
+def ihc_comparison(labelled: DataFrame, group: str = "F",
+                   versions: dict[str, int] | None = None) -> DataFrame:
+    """Answer markers against pattern markers, a flag per field.
+
+    The pattern versions are the group's; ``versions`` replaces single ones.
+    """
+    chosen = {**V.RULE_VERSIONS[group], **(versions or {})}
+    return compare(pseudo_gold(labelled, "ihc", versions=chosen), V.IHC_FIELDS, "strict",
                    numeric=("ki67_percentual",))

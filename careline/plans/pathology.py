@@ -48,4 +48,5 @@ def pathology_labels(reports: DataFrame, answers: DataFrame, rule: str = "sentin
         df = safe_ints(df, NUMBERS)
         if rule == "null_miss":
             df = fill_sentinel(df, (V.PATHOLOGY_FIELDS[0], V.PATHOLOGY_FIELDS[5]))
-    return compare(pseudo_gold(df, "pathology", as_text=text), V.PATHOLOGY_FIELDS, rule)
+    gold = pseudo_gold(df, "pathology", as_text=text, versions=V.RULE_VERSIONS[group])
+    return compare(gold, V.PATHOLOGY_FIELDS, rule)

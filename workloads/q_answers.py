@@ -153,7 +153,7 @@ def subtype_counts(spark, sf):
 
 
 @register("join_answers_four_keys", """
-    SELECT ficha, sigla_exame, id_marca, sequencial, length(laudo_tratado) AS tamanho, resposta_imuno AS resposta_llm
+    SELECT ficha, sigla_exame, id_marca, sequencial, CAST(length(laudo_tratado) AS INT) AS tamanho, resposta_imuno AS resposta_llm
     FROM reports""", "P")
 def join_answers_four_keys(spark, sf):
     df = X.reports(spark, sf, "P", brand=False).select(*P4, F.length("laudo_tratado").alias("tamanho"))

@@ -81,8 +81,8 @@ def reminder_effect(spark, sf):
 def _consents(spark, sf):
     return X.table(spark, sf, "customer").select(
         F.col("c_custkey").alias("id_cliente"),
-        F.element_at(F.array(*[F.lit(v) for v in ("e-mail", "sms", "whatsapp", "nenhum")]),
-                     (F.col("c_custkey") % 4 + 1).cast("int")).alias("consentimento"))
+        F.when(F.col("c_acctbal") > 6000, "e-mail").when(F.col("c_acctbal") > 3000, "sms")
+        .when(F.col("c_acctbal") > 0, "whatsapp").otherwise("nenhum").alias("consentimento"))
 
 
 @register("channel_list", f"""
@@ -90,12 +90,13 @@ def _consents(spark, sf):
     WHERE upper(marca) IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE', 'HOUSEHOLD') AND idade >= 40 AND idade < 76
     AND sigla_exame IN ('MAMOG', 'MAMOGDIG', 'MAMOPROT', 'MAMOG3D') AND BIRADS IN (1, 2, 3)
     AND {DUE} BETWEEN DATE '1999-01-01' AND DATE '2000-06-30'
-    AND id_cliente % 4 IN (0, 2) AND id_cliente IN (SELECT c_custkey FROM customer)
-    AND id_cliente NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""")
+    AND id_cliente IN (SELECT c_custkey FROM customer
+      WHERE c_acctbal > 6000 OR (c_acctbal > 0 AND c_acctbal <= 3000))
+    AND id_cliente NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey = 7)""")
 def channel_list(spark, sf):
     df = U.with_return_plan(U.with_categories(cohort.with_age(X.reports(spark, sf), as_of())))
     rules = U.ChannelRules(brands=BRANDS, due_from="1999-01-01", due_to="2000-06-30",
                            consents=("e-mail", "whatsapp"))
-    controls = X.table(spark, sf, "customer").filter("c_acctbal < 0").select(
+    controls = X.table(spark, sf, "customer").filter("c_nationkey = 7").select(
         F.col("c_custkey").alias("id_cliente"))
     return U.channel_list(df, rules, _consents(spark, sf), controls).select("ficha", "id_item")

@@ -287,7 +287,7 @@ def describe_orders(spark, sf):
 # -- joins -------------------------------------------------------------------
 
 @register("join_categories_three_keys", """
-    SELECT a.ficha, a.id_item, a.sigla_exame, length(b.laudo_tratado) AS tamanho
+    SELECT a.ficha, a.id_item, a.sigla_exame, CAST(length(b.laudo_tratado) AS INT) AS tamanho
     FROM reports a JOIN reports b ON a.ficha = b.ficha AND a.id_item = b.id_item
       AND a.id_subitem = b.id_subitem WHERE b.sigla_exame IN ('MAMOG', 'MAMOGDIG', 'MAMOPROT', 'MAMOG3D')""")
 def join_categories_three_keys(spark, sf):
@@ -300,7 +300,7 @@ def join_categories_three_keys(spark, sf):
 
 
 @register("join_categories_four_keys", """
-    SELECT a.ficha, a.sequencial, a.id_cliente, length(b.laudo_tratado) AS tamanho
+    SELECT a.ficha, a.sequencial, a.id_cliente, CAST(length(b.laudo_tratado) AS INT) AS tamanho
     FROM reports a JOIN reports b ON a.ficha = b.ficha AND a.sigla_exame = b.sigla_exame
       AND a.id_marca = b.id_marca AND a.sequencial = b.sequencial
     WHERE b.sigla_exame IN ('MAMO', 'MAMODI') AND upper(b.sexo_cliente) = 'F'""", group="P")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from careline import fixed_values as V
+from careline.operators.evaluate import validation_sheet
 from careline.operators.tables import read_table, save
 from careline.plans.biopsy import biopsy_flags
 from careline.plans.ihc import ihc_comparison, ihc_reports, ihc_subtypes
@@ -161,6 +162,19 @@ def pathology_stage(spark, sf):
         *[F.count_if(f"acertou_{f}").alias(f"acertos_{f}") for f in V.PATHOLOGY_FIELDS])
 
 
+@register("pathology_stage_group_p", f"""SELECT heu_tipo_histologico AS tipo_padrao, count(*) AS n, {", ".join(
+    f"count(*) FILTER (WHERE acertou_{f}) AS acertos_{f}" for f in V.PATHOLOGY_FIELDS)}
+    FROM {Q.pathology_compared('strict', """linha_cuidado = 'mama' AND sigla_exame IN ('MICROH', 'FPAH')
+    AND regexp_matches(laudo_tratado, '(?i)Topografia: mama')""", 'lower(laudo_tratado)', 1)} GROUP BY ALL""", "P")
+def pathology_stage_group_p(spark, sf):
+    """The second group's patterns over lower-cased reports."""
+    reports = pathology_reports(X.reports(spark, sf, "P", brand=False), "P")
+    df = pathology_labels(reports, X.answers(spark, sf, "pathology", "P", P4), "strict", "P")
+    return df.groupBy(F.col("heu_tipo_histologico").alias("tipo_padrao")).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(f"acertou_{f}").alias(f"acertos_{f}") for f in V.PATHOLOGY_FIELDS])
+
+
 _IHC_WHERE = """linha_cuidado = 'mama' AND upper(sexo_cliente) = 'F' AND sigla_exame IN (%s)
     AND regexp_matches(laudo_tratado, '(?i)mama') AND regexp_matches(laudo_tratado, '(?i)carcinoma')"""
 
@@ -207,3 +221,26 @@ def ihc_stage(spark, sf):
     return df.groupBy("heu_status_her2").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.count_if(f"acertou_{f}").alias(f"acertos_{f}") for f in V.IHC_FIELDS])
+
+
+@register("ihc_stage_group_p", f"""SELECT heu_status_her2, count(*) AS n, {", ".join(
+    f"count(*) FILTER (WHERE acertou_{f}) AS acertos_{f}" for f in V.IHC_FIELDS)}
+    FROM {Q.ihc_compared(_IHC_WHERE % "'IHMAMA'", version=1)} GROUP BY ALL""", "P")
+def ihc_stage_group_p(spark, sf):
+    reports = ihc_reports(X.reports(spark, sf, "P", brand=False), "P")
+    df = ihc_comparison(ihc_subtypes(reports, X.answers(spark, sf, "ihc", "P", P4), "P"), "P")
+    return df.groupBy("heu_status_her2").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(f"acertou_{f}").alias(f"acertos_{f}") for f in V.IHC_FIELDS])
+
+
+@register("ihc_samples_sheet", "SELECT ficha, id_item, amostra_id, " + ", ".join(
+    [*[f"acertou_{f}" for f in V.IHC_FIELDS], *[f"{S.count(p)} AS ctg_{m}" for m, p in V.MARKERS.items()],
+     "NOT (" + " AND ".join(f"coalesce(acertou_{f}, false)" for f in V.IHC_FIELDS) + ") AS erro"])
+    + f" FROM (SELECT *, {Q.field('amostra_id')} AS amostra_id FROM {Q.ihc_compared(source=_SAMPLES)})")
+def ihc_samples_sheet(spark, sf):
+    """Validation sheet with one row per sample of a report."""
+    labelled = ihc_subtypes(X.reports(spark, sf, brand=False), X.answers(spark, sf, "samples"), samples=True)
+    df = validation_sheet(ihc_comparison(labelled))
+    return df.select("ficha", "id_item", "amostra_id", *[f"acertou_{f}" for f in V.IHC_FIELDS],
+                     *[f"ctg_{m}" for m in V.MARKERS], "erro")

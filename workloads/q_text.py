@@ -153,7 +153,7 @@ _PLAIN = (r"regexp_replace(regexp_replace(lower(laudo_tratado), 'estr[oó]g([eê
 
 
 @register("marker_counts_loose", "SELECT ficha, id_item, " + ", ".join(
-    f"coalesce(len(regexp_extract_all({_PLAIN}, '{p}')), 0) AS ctg_{m}" for m, p in V.MARKERS_LOOSE.items())
+    f"CAST(coalesce(len(regexp_extract_all({_PLAIN}, '{p}')), 0) AS INT) AS ctg_{m}" for m, p in V.MARKERS_LOOSE.items())
     + " FROM reports")
 def marker_counts_loose(spark, sf):
     df = marker_counts(X.reports(spark, sf, brand=False))
@@ -170,7 +170,7 @@ def over_documents(name, items, sql, **exprs):
 
 
 over_documents("document_marker_counts", T.IHC_TEXTS,
-               {f"ctg_{m}": f"coalesce(len(regexp_extract_all({_PLAIN}, '{p}')), 0)"
+               {f"ctg_{m}": f"CAST(coalesce(len(regexp_extract_all({_PLAIN}, '{p}')), 0) AS INT)"
                 for m, p in V.MARKERS_LOOSE.items()},
                **{f"ctg_{m}": lambda c, m=m: M.marker_count(c, m, V.MARKERS_LOOSE)
                   for m in V.MARKERS_LOOSE})
@@ -190,7 +190,7 @@ over_documents("document_carcinoma", T.BIOPSY_TEXTS, {"RAW_CARCINOMA": _RAW,
                RAW_CARCINOMA=lambda c: P.raw_carcinoma(c), frase=lambda c: P.carcinoma_phrase(c))
 over_documents("document_categories", T.CATEGORY_TEXTS, {"categorias": S.joined(S.categories(section="all"))},
                categorias=lambda c: joined(C.category_list(c, section="all")))
-_GATE = ("tion", "ent", "ung", "ción")
+_GATE = ("tion", "ent", "ung", "que")
 over_documents("document_gate", T.PATHOLOGY_TEXTS,
-               {"passa": "regexp_matches(laudo_tratado, '(?i)(tion|ent|ung|ción)')"},
+               {"passa": "regexp_matches(laudo_tratado, '(?i)(tion|ent|ung|que)')"},
                passa=lambda c: cohort.gate_flag(c, _GATE))

@@ -35,11 +35,11 @@ def parsed(kind, pick=False):
     return f"(SELECT *, {json_of(col, pick)} AS j FROM reports)"
 
 
-def pathology_compared(rule, where="TRUE"):
+def pathology_compared(rule, where="TRUE", text=S.T, mitotic=2, keep="ficha, id_item"):
     """Model and pattern labels side by side, with a flag per field."""
     first, *numbers, kind = V.PATHOLOGY_FIELDS
     text_form = rule in ("strict", "sentinel")
-    gold = S.pathology()
+    gold = S.pathology(text, mitotic)
     cells = [f"coalesce({string_list(first)}, []) AS {first}", f"{gold[first]} AS heu_{first}"]
     for n in (*numbers, kind):
         model, heu = field(n), gold[n]
@@ -65,12 +65,13 @@ def pathology_compared(rule, where="TRUE"):
         else:
             test = f"{m} = {h}"
         flags.append(f"{test} AS acertou_{n}")
-    return (f"(SELECT *, {', '.join(flags)} FROM (SELECT ficha, id_item, {', '.join(cells)} "
+    return (f"(SELECT *, {', '.join(flags)} FROM (SELECT {keep}, {', '.join(cells)} "
             f"FROM {parsed('pathology', rule == 'sentinel')} WHERE {where}))")
 
 
-def ihc_compared(where="TRUE"):
-    gold = S.ihc()
+def ihc_compared(where="TRUE", version=2, source=None):
+    gold = S.ihc(v=version)
+    source = source or parsed("ihc")
     cells, flags = [], []
     for n in V.IHC_FIELDS:
         cells += [f"{field(n)} AS {n}", f"{gold[n]} AS heu_{n}"]
@@ -78,7 +79,7 @@ def ihc_compared(where="TRUE"):
             f"coalesce(TRY_CAST({n} AS DOUBLE), 0.0) = heu_{n} AS acertou_{n}" if n == "ki67_percentual"
             else f"coalesce({n}, {NI}) = heu_{n} AS acertou_{n}")
     return (f"(SELECT *, {', '.join(flags)} FROM (SELECT *, {', '.join(cells)} "
-            f"FROM {parsed('ihc')} WHERE {where}))")
+            f"FROM {source} WHERE {where}))")
 
 
 def accuracy(table, fields, mean=False):

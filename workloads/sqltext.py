@@ -60,7 +60,7 @@ def histologic_type(text=T):
 
 
 def count(pattern, text=T):
-    return f"coalesce(len(regexp_extract_all(lower({text}), '{pattern}')), 0)"
+    return f"CAST(coalesce(len(regexp_extract_all(lower({text}), '{pattern}')), 0) AS INT)"
 
 
 def context(marker, n=100, text=T):
@@ -68,10 +68,10 @@ def context(marker, n=100, text=T):
             "' ' || chr(10) || chr(9) || chr(13)), '')")
 
 
-def pathology(text=T):
+def pathology(text=T, mitotic=2):
     return dict(zip(V.PATHOLOGY_FIELDS, (
         terms(text), number(V.HISTOLOGIC_GRADE, text), number(V.NUCLEAR_GRADE, text),
-        number(V.TUBULE_SCORE, text), number(V.MITOTIC_INDEX[2], text), histologic_type(text))))
+        number(V.TUBULE_SCORE, text), number(V.MITOTIC_INDEX[mitotic], text), histologic_type(text))))
 
 
 def ihc(text=T, v=2):
