@@ -48,7 +48,9 @@ def parse_literal(c: Column, schema) -> Column:
             rf"|{first}(?!{rest}\b)"
         )
         text = F.regexp_replace(text, rf"\G((?:{walked})*+){word}\b", f"$1{json_word}")
-    return F.from_json(text, schema, {"allowSingleQuotes": "true"})
+    return F.from_json(text, schema, {
+        "allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true",
+    })
 
 
 def int_or_null(c: Column) -> Column:

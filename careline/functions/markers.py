@@ -7,6 +7,30 @@ from careline import fixed_values as V
 from careline.functions.pathology import UNICODE, UNICODE_ANY_CASE
 
 
+# From this length on, patterns with an open gap are searched in their linear form.
+LONG_TEXT = 10_000
+
+
+def linear_form(pattern: str) -> str:
+    """``head.*?tail`` as a pattern that tries one head per line.
+
+    The gap ends at a line break, so if the first head of a line finds no tail,
+    no later head of that line does.  A head that itself spans a line break is
+    the last of its line and is tried too.
+    """
+    head, tail = pattern.split(".*?", 1)
+    inline = head.replace(r"[-\s]", r"[-\s&&[^\n]]").replace(r"\s*", r"[\s&&[^\n]]*")
+    return rf"(?m)(?:^(?:(?!{inline}).)*+{inline}|(?!{inline}){head}).*?{tail}"
+
+
+def _search(text: Column, pattern: str, use) -> Column:
+    """``use(pattern)``, in linear form where the text is long and the gap open."""
+    short = use(UNICODE + pattern)
+    if ".*?" not in pattern:
+        return short
+    return F.when(F.length(text) < LONG_TEXT, short).otherwise(use(UNICODE + linear_form(pattern)))
+
+
 def status_by_rules(c: Column, rules) -> Column:
     """Label of the first rule that fires, else the not-stated sentinel.
 
@@ -16,14 +40,12 @@ def status_by_rules(c: Column, rules) -> Column:
     text = F.lower(c)
     branches = []
     for pattern, label in rules:
-        pattern = UNICODE + pattern
         if isinstance(label, dict):
             pairs = [F.lit(x) for pair in label.items() for x in pair]
-            branches.append(
-                F.try_element_at(F.create_map(*pairs), F.regexp_extract(text, pattern, 1))
-            )
+            found = _search(text, pattern, lambda p: F.regexp_extract(text, p, 1))
+            branches.append(F.try_element_at(F.create_map(*pairs), found))
         else:
-            branches.append(F.when(text.rlike(pattern), F.lit(label)))
+            branches.append(F.when(_search(text, pattern, text.rlike), F.lit(label)))
     return F.coalesce(*branches, F.lit(V.NOT_STATED))
 
 
@@ -52,7 +74,8 @@ def _decimal(found: Column) -> Column:
 
 def ki67(c: Column, version: int = 2) -> Column:
     """First percentage after Ki-67, 0.0 if there is none."""
-    found = F.regexp_extract(F.lower(c), UNICODE + V.KI67_PERCENT[version], 1)
+    text = F.lower(c)
+    found = _search(text, V.KI67_PERCENT[version], lambda p: F.regexp_extract(text, p, 1))
     return F.coalesce(_decimal(found), F.lit(0.0))
 
 

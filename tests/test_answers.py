@@ -30,6 +30,12 @@ def test_literals(apply):
         (None, "x None, y", True), ("q", None, None), (None, None, None), ("False", None, False), None]
 
 
+def test_literal_of_many_strings(apply):
+    text = "{" + ", ".join(f"'k{i}': 'v\\'x{i} None'" for i in range(20000)) + ", 'a': None, 'b': 'z'}"
+    assert tuple(apply(lambda c: A.parse_literal(c, "a string, b string, k7 string"), [text])[0]) == (
+        None, "z", "v'x7 None")
+
+
 def test_int_or_null(apply):
     texts = ["2", " 3 ", "2.9", "NÃO INFORMADO", "nao informado", "dois", "", "-1", None, "99999999999"]
     assert apply(A.int_or_null, texts) == [2, 3, 2, None, None, None, None, -1, None, None]

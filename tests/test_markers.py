@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 
@@ -75,12 +76,14 @@ ALL_RULES = [(f"{n}{v}", rules) for n, by in (("er", V.ER_RULES), ("pr", V.PR_RU
                                                ("ck56", V.CK56_RULES)) for v, rules in by.items()]
 
 
+@pytest.mark.parametrize("long_from", [10_000, 0])
 @pytest.mark.parametrize("rules", [r for _, r in ALL_RULES], ids=[n for n, _ in ALL_RULES])
-def test_rules_agree_with_another_regex_engine(apply, rules):
-    """Random report pieces, with no-break spaces, accents and line breaks."""
+def test_rules_agree_with_another_regex_engine(apply, monkeypatch, rules, long_from):
+    """Random report pieces, with no-break spaces, accents and line breaks, in both search forms."""
+    monkeypatch.setattr(M, "LONG_TEXT", long_from)
     rng = random.Random(11)
     parts = ["receptor de estrógeno", "RECEPTOR DE ESTROGÊNIO", "receptor  de progesterona*", "HER-2", "her2",
-             "HER 2", "CK5/6", "ck5 / 6", "ER", "pr", "+", "-", ": ", " escore ", "SCORE", "0", "1+", "2+", "3+", "2",
+             "HER 2", "CK5/6", "ck5 / 6", "her\n2", "ck5\n/ 6", "ER", "pr", "+", "-", ": ", " escore ", "SCORE", "0", "1+", "2+", "3+", "2",
              " positivo", " NEGATIVO", "positivo", "é", "ç", "\n", "\r", " ", ". ", " x" * 20, "células "]
     texts = ["".join(rng.choices(parts, k=rng.randint(2, 12))) for _ in range(4000)]
     got = apply(lambda c: M.status_by_rules(c, rules), texts)
@@ -88,10 +91,12 @@ def test_rules_agree_with_another_regex_engine(apply, rules):
     assert not wrong, wrong[:3]
 
 
+@pytest.mark.parametrize("long_from", [10_000, 0])
 @pytest.mark.parametrize("version", [1, 2])
-def test_ki67_agrees_with_another_regex_engine(apply, version):
+def test_ki67_agrees_with_another_regex_engine(apply, monkeypatch, version, long_from):
+    monkeypatch.setattr(M, "LONG_TEXT", long_from)
     rng = random.Random(5)
-    parts = ["ki67", "KI-67", "ki 67", "20", "5", ",", ".", "%", " %", "-", ": ", "x" * 30, "\n", " em ", "100"]
+    parts = ["ki67", "KI-67", "ki\n67", "ki 67", "20", "5", ",", ".", "%", " %", "-", ": ", "x" * 30, "\n", " em ", "100"]
     texts = ["".join(rng.choices(parts, k=rng.randint(2, 12))) for _ in range(4000)]
 
     def expected(t):
@@ -117,3 +122,13 @@ def test_counts_and_contexts_agree_with_another_regex_engine(apply, marker):
         return t[m.end():m.end() + 100].strip() if m else ""
 
     assert apply(lambda c: M.marker_context(c, marker), texts) == [context(t) for t in texts]
+
+
+def test_many_mentions_on_one_long_line(apply):
+    """Open gaps cost linear time however often a marker is named."""
+    texts = ["her2 " * 100_000, "ki67 " * 100_000, "ck5/6 " * 100_000, "her2 " * 50_000 + "escore 3+"]
+    start = time.time()
+    assert apply(M.her2_status, texts) == [X, X, X, P]
+    assert apply(lambda c: M.ki67(c, 1), texts) == [0.0] * 4
+    assert apply(lambda c: M.ck56_status(c, 1), texts) == [X] * 4
+    assert time.time() - start < 40
