@@ -15,4 +15,22 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM m GROUP BY doc_id
 """
 
-ORACLES: dict[str, str] = {"op10_line_dedup": LINE_DEDUP}
+CHAT_FORMAT = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, u.turn, u.role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) u(turn, role)),
+s AS (
+  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) IS NOT DISTINCT FROM role AS same,
+    length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS n,
+    length(replace(replace(replace(role, '%', '%25'), '<', '%3C'), chr(10), '%0A')) AS r
+  FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(n + CASE WHEN same THEN length('<|im_next|>') ELSE r + length('<|im_start|>' || chr(10) || '<|im_end|>' || chr(10)) END)
+       AS BIGINT) AS formatted_chars
+FROM s GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {"op4_chat_format": CHAT_FORMAT, "op10_line_dedup": LINE_DEDUP}
