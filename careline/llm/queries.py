@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careline.llm import bpe, chat, lines, simhash
+from careline.llm import bpe, chat, langid, lines, simhash
 from careline.llm.sql import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,22 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         sha(F.col("decoded")).alias("decoded_sha256"))
 
 
+def held_out(doc_id: F.Column) -> F.Column:
+    """Documents that language ID never learns from; those without id are among them."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))
+
+
+def language_model(docs: DataFrame) -> langid.Model | None:
+    return langid.train(docs.where(~held_out(F.col("doc_id"))))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    judged = langid.predict(docs.select("doc_id", "text"), language_model(docs))
+    return judged.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "language.lang_pred", "language.score")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -57,4 +73,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op4_chat_format, op5_byte_bpe, op9_simhash, op10_line_dedup)}
+    op4_chat_format, op5_byte_bpe, op6_language_id, op9_simhash, op10_line_dedup)}
