@@ -15,6 +15,28 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM m GROUP BY doc_id
 """
 
+DECONTAMINATION = f"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+wins AS MATERIALIZED (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[u.i:u.i + 12], ' ') AS g
+  FROM b, LATERAL (SELECT unnest(range(1, greatest(len(w) - 12, least(len(w), 1)) + 1)) AS i) u),
+sizes AS (SELECT DISTINCT n FROM wins),
+occ AS MATERIALIZED (
+  SELECT p.doc_id, p.i, wins.n, wins.item_id FROM (
+    SELECT doc_id, n, u.i, array_to_string(w[u.i:u.i + n - 1], ' ') AS g
+    FROM d, sizes, LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i) u) p JOIN wins USING (n, g)),
+hit AS (
+  SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM (SELECT DISTINCT doc_id, i, n FROM occ)) GROUP BY doc_id),
+its AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM occ) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(its.n, 0) AS n_items, sha256(coalesce(its.s, '')) AS items_sha256,
+  coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
 CHAT_FORMAT = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -33,4 +55,4 @@ SELECT conv_id, count(*) AS n_turns,
 FROM s GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op4_chat_format": CHAT_FORMAT, "op10_line_dedup": LINE_DEDUP}
+ORACLES: dict[str, str] = {"op3_decontamination": DECONTAMINATION, "op4_chat_format": CHAT_FORMAT, "op10_line_dedup": LINE_DEDUP}
