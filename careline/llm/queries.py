@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careline.llm import bpe, chat, decontaminate, langid, lines, simhash
+from careline.llm import bpe, chat, decontaminate, langid, lines, simhash, substring
 from careline.llm.sql import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,13 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "language.lang_pred", "language.score")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows that stand earlier."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = substring.drop_repeated_windows(docs)
+    return done.select("doc_id", "deduped.n_words", "deduped.n_removed", sha(F.col("deduped.kept")).alias("kept_sha256"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -81,4 +88,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op3_decontamination, op4_chat_format, op5_byte_bpe, op6_language_id, op9_simhash, op10_line_dedup)}
+    op3_decontamination, op4_chat_format, op5_byte_bpe, op6_language_id, op7_substring_dedup, op9_simhash, op10_line_dedup)}

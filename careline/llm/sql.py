@@ -55,4 +55,18 @@ SELECT conv_id, count(*) AS n_turns,
 FROM s GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op3_decontamination": DECONTAMINATION, "op4_chat_format": CHAT_FORMAT, "op10_line_dedup": LINE_DEDUP}
+SUBSTRING_DEDUP = r"""
+WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+wins AS MATERIALIZED (
+  SELECT doc_id, u.i, array_to_string(w[u.i:u.i + 19], ' ') AS g FROM d, LATERAL (SELECT unnest(range(1, len(w) - 18)) AS i) u),
+late AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS n FROM wins) WHERE n > 1),
+gone AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS j FROM late),
+kept AS (
+  SELECT t.doc_id, count(*) FILTER (gone.j IS NOT NULL) AS n, string_agg(t.word, ' ' ORDER BY t.j) FILTER (gone.j IS NULL) AS s
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM d) t LEFT JOIN gone USING (doc_id, j) GROUP BY t.doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.s, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op3_decontamination": DECONTAMINATION, "op4_chat_format": CHAT_FORMAT, "op7_substring_dedup": SUBSTRING_DEDUP, "op10_line_dedup": LINE_DEDUP}
