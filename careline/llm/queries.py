@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careline.llm import bpe, chat, decontaminate, langid, lines, simhash, substring
+from careline.llm import bpe, chat, decontaminate, langid, lines, quality, sharding, simhash, substring
 from careline.llm.sql import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,12 @@ def sha(text) -> F.Column:
     return F.sha2(text, 256)
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document, with cutoffs from the labelled ones."""
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -76,6 +82,11 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "deduped.n_words", "deduped.n_removed", sha(F.col("deduped.kept")).alias("kept_sha256"))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of every document."""
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -88,4 +99,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op3_decontamination, op4_chat_format, op5_byte_bpe, op6_language_id, op7_substring_dedup, op9_simhash, op10_line_dedup)}
+    op2_quality_rules, op3_decontamination, op4_chat_format, op5_byte_bpe, op6_language_id, op7_substring_dedup,
+    op8_sharding, op9_simhash, op10_line_dedup)}

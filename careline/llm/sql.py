@@ -1,5 +1,8 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from careline.llm.quality import ALPHA, DELTA, LADDERS
+from careline.llm.sharding import LIMIT_BYTES
+
 _BARE = r"regexp_replace({}, '^[ \t-\r]+|[ \t-\r]+$', '', 'g')"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -15,6 +18,49 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM m GROUP BY doc_id
 """
 
+_LADDER_ROWS = ", ".join(f"('{rule}', {i}, {step})" for rule, steps in LADDERS.items() for i, step in enumerate(steps))
+
+QUALITY_RULES = rf"""
+WITH w AS MATERIALIZED (
+  SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+wins AS (SELECT doc_id, u.i, array_to_string(w[u.i:u.i + 7], ' ') AS g FROM w, LATERAL (SELECT unnest(range(1, len(w) - 6)) AS i) u),
+rep AS (
+  SELECT doc_id, count(DISTINCT j) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 8)) AS j FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM wins) WHERE c > 1)
+  GROUP BY doc_id),
+c AS MATERIALIZED (
+  SELECT w.doc_id, stratum, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
+    coalesce(rep.n, 0) AS n_repeat_words
+  FROM w LEFT JOIN rep USING (doc_id)),
+m AS MATERIALIZED (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    CASE WHEN word_chars > 0 THEN 1000 * n_symbols // word_chars ELSE 0 END AS symbols,
+    CASE WHEN n_lines > 0 THEN 1000 * n_dup_lines // n_lines ELSE 0 END AS dup_lines,
+    CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words ELSE 0 END AS repeats,
+    CASE WHEN n_words > 0 THEN 100 * word_chars // n_words ELSE 0 END AS long_words
+  FROM c),
+ladder(rule, i, cutoff) AS (VALUES {_LADDER_ROWS}),
+tall AS (SELECT doc_id, stratum, base_failed, rule, value FROM m UNPIVOT (value FOR rule IN (symbols, dup_lines, repeats, long_words))),
+good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING max(quality) = 1),
+tests AS (
+  SELECT stratum, rule, i, cutoff, count(*) AS n, count(*) FILTER (value > cutoff) AS k
+  FROM tall JOIN good USING (doc_id) JOIN ladder USING (rule) WHERE NOT base_failed GROUP BY ALL),
+tails AS (
+  SELECT *, CASE WHEN k > n * {ALPHA / len(LADDERS)} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda j:
+    exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({ALPHA / len(LADDERS)}) + (n - j) * ln(1 - {ALPHA / len(LADDERS)})))) END AS p
+  FROM tests),
+passed AS (
+  SELECT stratum, rule, cutoff FROM tails t WHERE NOT EXISTS (
+    SELECT 1 FROM tails f WHERE f.stratum = t.stratum AND f.rule = t.rule AND f.i <= t.i
+      AND f.p > {DELTA} / (SELECT count(DISTINCT (stratum, rule)) FROM tails))),
+cuts AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM passed GROUP BY ALL),
+bad AS (SELECT DISTINCT doc_id FROM tall JOIN cuts USING (stratum, rule) WHERE value > cutoff)
+SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.doc_id IS NULL AS kept
+FROM m LEFT JOIN bad USING (doc_id)
+"""
+
 DECONTAMINATION = f"""
 WITH d AS MATERIALIZED (
   SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
@@ -69,4 +115,17 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(kept.n, 0) AS n_removed, sha256(coa
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op3_decontamination": DECONTAMINATION, "op4_chat_format": CHAT_FORMAT, "op7_substring_dedup": SUBSTRING_DEDUP, "op10_line_dedup": LINE_DEDUP}
+def sharding(limit: int) -> str:
+    """Buckets are the shortest prefixes that fit; for tables in which no two rows share 40 bits of hash."""
+    return f"""
+WITH r AS MATERIALIZED (
+  SELECT doc_id, coalesce(octet_length(encode(text)), 0) AS bytes,
+    lpad(bin(('0x' || left(md5(coalesce(doc_id::VARCHAR, '')), 15))::BIGINT), 60, '0') AS bits FROM documents),
+p AS (SELECT doc_id, bytes, d.d AS depth, left(bits, d.d) AS shard FROM r, (SELECT unnest(range(0, 41)) AS d) d),
+s AS MATERIALIZED (SELECT shard, sum(bytes) AS shard_bytes, count(*) AS shard_rows FROM p GROUP BY shard),
+f AS (SELECT p.*, s.shard_bytes, s.shard_rows, row_number() OVER (PARTITION BY doc_id ORDER BY p.depth) AS n FROM p JOIN s USING (shard) WHERE shard_bytes <= {limit})
+SELECT doc_id, bytes, shard, CAST(depth AS INTEGER) AS depth, CAST(0 AS BIGINT) AS part, CAST(shard_bytes AS BIGINT) AS shard_bytes, shard_rows FROM f WHERE n = 1
+"""
+
+
+ORACLES: dict[str, str] = {"op2_quality_rules": QUALITY_RULES, "op8_sharding": sharding(LIMIT_BYTES), "op3_decontamination": DECONTAMINATION, "op4_chat_format": CHAT_FORMAT, "op7_substring_dedup": SUBSTRING_DEDUP, "op10_line_dedup": LINE_DEDUP}
