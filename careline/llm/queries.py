@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careline.llm import bpe, chat, decontaminate, langid, lines, quality, sharding, simhash, substring
+from careline.llm import bpe, chat, decontaminate, langid, lines, lm_score, quality, sharding, simhash, substring
 from careline.llm.sql import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,13 @@ def sha(text) -> F.Column:
     return F.sha2(text, 256)
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-likelihood of every document, by a network trained on all of them."""
+    scored = lm_score.pseudo_likelihood(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    mean = F.when(F.col("lm.n_words") > 0, F.col("lm.log_likelihood") / F.col("lm.n_words"))
+    return scored.select("doc_id", "lm.n_words", "lm.log_likelihood", mean.alias("per_word"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document, with cutoffs from the labelled ones."""
     judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -99,5 +106,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_quality_rules, op3_decontamination, op4_chat_format, op5_byte_bpe, op6_language_id, op7_substring_dedup,
-    op8_sharding, op9_simhash, op10_line_dedup)}
+    op1_lm_score, op2_quality_rules, op3_decontamination, op4_chat_format, op5_byte_bpe, op6_language_id,
+    op7_substring_dedup, op8_sharding, op9_simhash, op10_line_dedup)}

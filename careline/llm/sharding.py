@@ -31,7 +31,7 @@ def directory(sizes: DataFrame, limit: int, start_bits: int = 12) -> DataFrame:
     """Buckets (head, depth, bytes, rows) of rows (bits, bytes): the shortest prefixes that fit the limit.
 
     Sizes are summed at ``start_bits`` bits and upwards from there, which gives the buckets of all
-    shorter prefixes; a prefix is a bucket if it fits and its parent does not.  Only rows of prefixes
+    shorter prefixes; a prefix is a bucket if it fits (or holds a single row) and its parent does not.  Only rows of prefixes
     that are still too large are summed again, with more bits.  Prefixes of all bits are the last to
     be taken, whatever their size: their rows share one hash.
     """
@@ -42,14 +42,14 @@ def directory(sizes: DataFrame, limit: int, start_bits: int = 12) -> DataFrame:
         every = cut(sums.select("head", "bytes", "rows", levels)
                     .groupBy("depth", F.expr(f"shiftright(head, {depth} - depth)").alias("head"))
                     .agg(F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows")))
-        parents = every.where(F.col("bytes") > limit).select((F.col("depth") + 1).alias("depth"), F.col("head").alias("parent"))
-        fit = (F.col("bytes") <= limit) | (F.col("depth") == BITS)
+        fit = (F.col("bytes") <= limit) | (F.col("rows") == 1) | (F.col("depth") == BITS)
+        parents = every.where(~fit).select((F.col("depth") + 1).alias("depth"), F.col("head").alias("parent"))
         own = every.where(fit).withColumn("parent", F.shiftright("head", 1))
         leaves = own.where(F.col("depth") > base).join(parents, ["depth", "parent"], "left_semi").select("head", "depth", "bytes", "rows")
         if base == 0:
             leaves = leaves.union(own.where("depth = 0").select("head", "depth", "bytes", "rows"))
         found = leaves if found is None else found.union(leaves)
-        large = every.where((F.col("depth") == depth) & (F.col("bytes") > limit)).select(F.col("head").alias("__head"))
+        large = every.where((F.col("depth") == depth) & ~fit).select(F.col("head").alias("__head"))
         if depth == BITS or large.isEmpty():
             return found
         rest = rest.join(large, _head(F.col("bits"), depth) == F.col("__head"), "left_semi")

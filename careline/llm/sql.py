@@ -123,7 +123,7 @@ WITH r AS MATERIALIZED (
     lpad(bin(('0x' || left(md5(coalesce(doc_id::VARCHAR, '')), 15))::BIGINT), 60, '0') AS bits FROM documents),
 p AS (SELECT doc_id, bytes, d.d AS depth, left(bits, d.d) AS shard FROM r, (SELECT unnest(range(0, 41)) AS d) d),
 s AS MATERIALIZED (SELECT shard, sum(bytes) AS shard_bytes, count(*) AS shard_rows FROM p GROUP BY shard),
-f AS (SELECT p.*, s.shard_bytes, s.shard_rows, row_number() OVER (PARTITION BY doc_id ORDER BY p.depth) AS n FROM p JOIN s USING (shard) WHERE shard_bytes <= {limit})
+f AS (SELECT p.*, s.shard_bytes, s.shard_rows, row_number() OVER (PARTITION BY doc_id ORDER BY p.depth) AS n FROM p JOIN s USING (shard) WHERE shard_bytes <= {limit} OR shard_rows = 1)
 SELECT doc_id, bytes, shard, CAST(depth AS INTEGER) AS depth, CAST(0 AS BIGINT) AS part, CAST(shard_bytes AS BIGINT) AS shard_bytes, shard_rows FROM f WHERE n = 1
 """
 

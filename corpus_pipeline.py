@@ -11,11 +11,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careline.llm import bpe, lines
+from careline.llm import bpe, decontaminate, langid, lines, simhash
 from careline.llm.common import checkpoint_dir
-from careline.llm.queries import RANKS, sha
+from careline.llm.queries import RANKS, language_model, sha
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Documents whose language is less certain are rejected, as are those without a letter.
+MIN_SCORE = 0.25
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told stay; the model learns from the stage's own documents."""
+    judged = langid.predict(docs.select(COLUMNS), language_model(docs), into="language")
+    kept = (F.col("language.lang_pred") != langid.UNDETERMINED) & (F.col("language.score") >= MIN_SCORE)
+    return judged.where(kept).select(COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,6 +33,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("n_chars", F.char_length("text").cast("bigint")).select(COLUMNS)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays; those without id stay."""
+    docs = docs.select(COLUMNS)
+    marked = simhash.near_duplicates(docs)
+    gone = marked.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark's passages go."""
+    return decontaminate.decontaminate(docs.select(COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, their number, and whether the decoded bytes are the text's."""
     ids = bpe.encode(docs.select("doc_id", "text"), "text", RANKS, public_tokenizers.PATTERN)
@@ -33,7 +55,8 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         same.alias("round_trip"), "ids")
 
 
-STAGES = [("line_dedup", line_dedup), ("byte_bpe", tokenize)]
+STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
+          ("decontamination", decontamination), ("byte_bpe", tokenize)]
 
 #: Language ID, fingerprints and merges cannot be said in SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None
