@@ -180,6 +180,16 @@ def vocabulary(docs: DataFrame, text: str) -> list[str]:
     return [r.word for r in top.collect()]
 
 
+def _mean(table: pa.Table) -> pa.Table:
+    """The weighted mean of one block of weights."""
+    total, n = np.zeros(1), 0.0
+    for weight, data in zip(table.column("n").to_pylist(), table.column("data")):
+        total = total + weight * np.frombuffer(data.as_py(), np.float32)
+        n += weight
+    data = pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())
+    return pa.table({"block": table.column("block")[:1], "n": [n], "data": data})
+
+
 def train(docs: DataFrame, text: str, words: list[str], rounds: int = ROUNDS) -> dict[str, np.ndarray]:
     """Weights from all documents; see the module's text."""
     context = docs.sparkSession.sparkContext
@@ -208,19 +218,12 @@ def train(docs: DataFrame, text: str, words: list[str], rounds: int = ROUNDS) ->
                     yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([float(trainer.n)]), pa.array([values[at:at + _BLOCK].tobytes()], pa.binary())],
                                                      ["block", "n", "data"])
 
-        def mean(table: pa.Table) -> pa.Table:
-            total, n = np.zeros(1), 0.0
-            for weight, data in zip(table.column("n").to_pylist(), table.column("data")):
-                total = total + weight * np.frombuffer(data.as_py(), np.float32)
-                n += weight
-            return pa.table({"block": table.column("block")[:1], "n": [n], "data": pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())})
-
         share = docs.select(text).where(F.pmod(F.xxhash64(text), F.lit(rounds)) == turn)
         kind = "block bigint, n double, data binary"
         # tasks' weights meet in 64 groups first, so no task reads those of all others
         got = share.mapInArrow(learn, kind).withColumn("part", F.spark_partition_id() % 64)
-        got = got.groupBy("part", "block").applyInArrow(lambda key, table, mean=mean: mean(table.select(["block", "n", "data"])), kind)
-        parts = got.groupBy("block").applyInArrow(mean, kind).orderBy("block").collect()
+        got = got.groupBy("part", "block").applyInArrow(_mean, kind)
+        parts = got.groupBy("block").applyInArrow(_mean, kind).orderBy("block").collect()
         if parts:
             weights = shaped(np.concatenate([np.frombuffer(r.data, np.float32) for r in parts]))
     return weights
