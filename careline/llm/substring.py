@@ -163,7 +163,7 @@ class Chunk:
         return out
 
 
-def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[Chunk]:
+def _chunks(batches: Iterable[pa.RecordBatch], chunk_bytes: int) -> Iterator[Chunk]:
     rows, size = [], 0
     for batch in batches:
         for i, h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
@@ -171,22 +171,27 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[Chunk]:
             if len(words) >= WINDOW:
                 rows.append((i, h, b" ".join(words)))
                 size += len(rows[-1][2])
-            if size >= CHUNK_BYTES:
+            if size >= chunk_bytes:
                 yield Chunk(rows)
                 rows, size = [], 0
     if rows:
         yield Chunk(rows)
 
 
-def _survey(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bytes and super-k-mers of each chunk (minimiser null), and its frequent minimisers."""
-    for chunk in _chunks(batches):
-        first, _ = _runs(np.r_[True, (np.diff(chunk.low) != 0) | (np.diff(chunk.doc) != 0)])
-        value, n = np.unique(chunk.low[first], return_counts=True)
-        often = n >= max(8, len(first) // HOT_SHARE)
-        yield pa.RecordBatch.from_arrays([
-            pa.array([None, *value[often].view(np.int64).tolist()], pa.int64()), pa.array([len(first), *n[often].tolist()], pa.int64()),
-            pa.array([len(chunk.words.data)] + [0] * int(often.sum()), pa.int64())], ["minimiser", "n", "size"])
+def _survey(chunk_bytes: int):
+    """Super-k-mers and bytes of each chunk (minimiser null), and its frequent minimisers."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _chunks(batches, chunk_bytes):
+            first, _ = _runs(np.r_[True, (np.diff(chunk.low) != 0) | (np.diff(chunk.doc) != 0)])
+            value, n = np.unique(chunk.low[first], return_counts=True)
+            often = n >= max(8, len(first) // HOT_SHARE)
+            value, n = value[often].view(np.int64).tolist(), n[often].tolist()
+            yield pa.RecordBatch.from_arrays([
+                pa.array([None, *value], pa.int64()), pa.array([len(first), *n], pa.int64()),
+                pa.array([len(chunk.words.data), *[0] * len(n)], pa.int64())], ["minimiser", "n", "size"])
+
+    return run
 
 
 def _packed(meta: np.ndarray, text: bytes) -> bytes:
@@ -199,7 +204,7 @@ def _unpacked(data: bytes, kind: np.dtype) -> tuple[np.ndarray, bytes]:
     return np.frombuffer(raw[8:end], kind), raw[end:]
 
 
-def _route(hot: np.ndarray, buckets: int):
+def _route(hot: np.ndarray, buckets: int, chunk_bytes: int):
     """Text -> super-k-mers by bucket, and spans that a chunk settles by itself."""
 
     def of(chunk: Chunk) -> Iterator[tuple[int, bool, bytes]]:
@@ -227,7 +232,7 @@ def _route(hot: np.ndarray, buckets: int):
             yield int(bucket[x]), False, _packed(meta[x:y], text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches):
+        for chunk in _chunks(batches, chunk_bytes):
             for bucket, spans, data in of(chunk):
                 yield pa.RecordBatch.from_arrays([pa.array([bucket]), pa.array([spans]), pa.array([data], pa.binary())], ["bucket", "spans", "data"])
 
@@ -286,7 +291,8 @@ def _kept(texts: pa.Array, spans: pa.Array) -> pa.Array:
                                       ["kept", "n_words", "n_removed"])
 
 
-def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", into: str = "deduped") -> DataFrame:
+def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", into: str = "deduped", *,
+                          chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES, hot_runs: int = HOT_RUNS) -> DataFrame:
     """``docs`` with the struct ``into``: ``kept`` (kept words joined by one blank), ``n_words``, ``n_removed``.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged; a window is twenty consecutive words of one document.
@@ -298,13 +304,13 @@ def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "
     """
     own = docs.withColumns(dict(zip(("__id", "__text_hash"), row_key(id_col, text))))
     rows = own.select("__id", "__text_hash", text)
-    survey = cut(rows.mapInArrow(_survey, "minimiser bigint, n bigint, size bigint").groupBy("minimiser").agg(
+    survey = cut(rows.mapInArrow(_survey(chunk_bytes), "minimiser bigint, n bigint, size bigint").groupBy("minimiser").agg(
         F.sum("n").alias("n"), F.sum("size").alias("size")))
     total = survey.where("minimiser IS NULL").first() or {"n": 0, "size": 0}
-    often = survey.where("minimiser IS NOT NULL").where(F.col("n") >= max(HOT_RUNS, total["n"] // HOT_SHARE))
+    often = survey.where("minimiser IS NOT NULL").where(F.col("n") >= max(hot_runs, total["n"] // HOT_SHARE))
     hot = [r.minimiser for r in often.select("minimiser").collect()]  # at most HOT_SHARE of them
-    buckets = max(1, -(-3 * total["size"] // BUCKET_BYTES))
-    routed = rows.mapInArrow(_route(np.array(hot, np.int64).view(np.uint64), buckets), _ROUTED)
+    buckets = max(1, -(-3 * total["size"] // bucket_bytes))
+    routed = rows.mapInArrow(_route(np.array(hot, np.int64).view(np.uint64), buckets, chunk_bytes), _ROUTED)
     spans = routed.groupBy("bucket").applyInArrow(_judge, _SPANS).groupBy("__did", "__dhash").agg(
         F.collect_list(F.struct("start", "stop")).alias("__spans"))
     keep = F.arrow_udf(_kept, "struct<kept: string, n_words: bigint, n_removed: bigint>")
