@@ -190,25 +190,26 @@ def _mean(table: pa.Table) -> pa.Table:
     return pa.table({"block": table.column("block")[:1], "n": [n], "data": data})
 
 
-def train(docs: DataFrame, text: str, words: list[str], rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+def train(docs: DataFrame, text: str, words: list[str], *, rounds: int = ROUNDS, masked: float = MASKED, batch: int = BATCH,
+          rate: float = RATE) -> dict[str, np.ndarray]:
     """Weights from all documents; see the module's text."""
     context = docs.sparkSession.sparkContext
     weights, numbers = start_weights(), context.broadcast(words)
     for turn in range(rounds):
         begin = context.broadcast(flat(weights))
 
-        def learn(batches: Iterable[pa.RecordBatch], begin=begin, rate=RATE / (turn + 1)) -> Iterator[pa.RecordBatch]:
-            trainer, of = Trainer(shaped(begin.value), rate), Numbers(numbers.value).of
+        def learn(batches: Iterable[pa.RecordBatch], turn=turn, begin=begin) -> Iterator[pa.RecordBatch]:
+            trainer, of = Trainer(shaped(begin.value), rate / (turn + 1)), Numbers(numbers.value).of
             random, left = np.random.default_rng(turn), [np.zeros(0, np.int32), np.zeros((0, 2 * SIDE), np.int32)]
             for texts in _texts(batches):
                 word, near = contexts([of(t) for t in texts])
-                chosen = np.flatnonzero(random.random(len(word)) < MASKED)
+                chosen = np.flatnonzero(random.random(len(word)) < masked)
                 word, near = np.concatenate([left[0], word[chosen]]), np.concatenate([left[1], near[chosen]])
                 mixed = random.permutation(len(word))
                 word, near = word[mixed], near[mixed]
-                full = len(word) // BATCH * BATCH
-                for at in range(0, full, BATCH):
-                    trainer.step(word[at:at + BATCH], near[at:at + BATCH])
+                full = len(word) // batch * batch
+                for at in range(0, full, batch):
+                    trainer.step(word[at:at + batch], near[at:at + batch])
                 left = [word[full:], near[full:]]
             if len(left[0]):
                 trainer.step(*left)
