@@ -104,7 +104,7 @@ EXAM_DIMENSION = (
 # ---------------------------------------------------------------------------
 # Imaging category patterns
 # ---------------------------------------------------------------------------
-CATEGORY_NOISE = r"[-:®\xa0]"
+CATEGORY_NOISE = r"[-:®]|\xa0"
 SECTION_HEADERS = r"AVALIA[CÇ][AÃ]O|CONCLUS[AÃ]O|IMPRESS[AÃ]O|OPINI[AÃ]O"
 CATEGORY_KEYWORDS = {
     "F": r"BIRADS|CATEGORIA",
@@ -118,6 +118,7 @@ DOCUMENTED_BEFORE, DOCUMENTED_AFTER = 5, 15
 # Pathology word lists and patterns
 # ---------------------------------------------------------------------------
 TOPOGRAPHY_BREAST = r"Topografia: mama"
+CARCINOMA_LINE = r"(?mi).*Topografia:.*MAMA.*(CARCINOMA).*|.*(CARCINOMA).*Topografia:.*MAMA.*"
 MALIGNANCY_TERMS = (
     "carcinoma", "invasivo", "invasor", "sarcoma", "metástase", "metastático",
     "maligno", "maligna", "cdi", "cli", "cdis",

@@ -67,6 +67,12 @@ def float_or_zero(c: Column) -> Column:
     return F.coalesce(number.try_cast("double"), F.lit(0.0))
 
 
+def number_or_zero(c: Column) -> Column:
+    """A text that is a decimal number, infinity or NaN as a number, everything else 0.0."""
+    plain = c.rlike(r"^\s*[+-]?(?i:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|nan|inf|infinity)\s*$")
+    return F.coalesce(F.when(plain, F.trim(c)).try_cast("double"), F.lit(0.0))
+
+
 def sorted_set(c: Column) -> Column:
     """Array in sorted order, for order-free comparison; NULL counts as empty."""
     return F.sort_array(F.coalesce(c, F.array().cast("array<string>")))

@@ -1,14 +1,12 @@
 """Marker status read from immunohistochemistry reports."""
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from careline import fixed_values as V
-from careline.functions.pathology import UNICODE, UNICODE_ANY_CASE
-
-
-# From this length on, patterns with an open gap are searched in their linear form.
-LONG_TEXT = 10_000
+from careline.functions.pathology import UNICODE, UNICODE_ANY_CASE, possessive
 
 
 def linear_form(pattern: str) -> str:
@@ -16,19 +14,23 @@ def linear_form(pattern: str) -> str:
 
     The gap ends at a line break, so if the first head of a line finds no tail,
     no later head of that line does.  A head that itself spans a line break is
-    the last of its line and is tried too.
+    the last of its line and is tried too.  Signs and spaces in front of a value
+    belong to the gap; only spaces that begin with the line break end it.
     """
     head, tail = pattern.split(".*?", 1)
-    inline = head.replace(r"[-\s]", r"[-\s&&[^\n]]").replace(r"\s*", r"[\s&&[^\n]]*")
-    return rf"(?m)(?:^(?:(?!{inline}).)*+{inline}|(?!{inline}){head}).*?{tail}"
+    gap, loose = ".*?", r"[:\-]?\s*"
+    if tail.startswith(loose):
+        gap, tail = r"(?:.*?|.*+\n\s*+)", tail[len(loose):]
+    inline = head.replace(r"[-\s]", r"[-\s&&[^\n]]").replace(r"\s*", r"[\s&&[^\n]]*+")
+    return rf"(?m)(?:^(?:(?!{inline}).)*+{inline}|(?!{inline}){possessive(head)}){gap}{possessive(tail)}"
 
 
 def _search(text: Column, pattern: str, use) -> Column:
-    """``use(pattern)``, in linear form where the text is long and the gap open."""
-    short = use(UNICODE + pattern)
+    """``use(pattern)`` in linear form; with an open gap only where the tail's word is there at all."""
     if ".*?" not in pattern:
-        return short
-    return F.when(F.length(text) < LONG_TEXT, short).otherwise(use(UNICODE + linear_form(pattern)))
+        return use(UNICODE + possessive(pattern))
+    word = re.search("[a-z]{4,}|%", pattern.split(".*?", 1)[1]).group()
+    return F.when(F.contains(text, F.lit(word)), use(UNICODE + linear_form(pattern)))
 
 
 def status_by_rules(c: Column, rules) -> Column:
@@ -90,13 +92,13 @@ def ihc_labels(c: Column, versions: dict[str, int] | None = None) -> dict[str, C
 
 def marker_count(c: Column, marker: str, patterns=V.MARKERS) -> Column:
     """Occurrences of one marker in the report."""
-    count = F.regexp_count(F.lower(c), F.lit(UNICODE + patterns[marker]))
+    count = F.regexp_count(F.lower(c), F.lit(UNICODE + possessive(patterns[marker])))
     return F.coalesce(count, F.lit(0))
 
 
 def marker_context(c: Column, marker: str, n: int = V.CONTEXT_CHARS, patterns=V.MARKERS) -> Column:
     """The ``n`` characters after the first mention, stripped; ``''`` if not mentioned."""
-    after = F.regexp_extract(c, rf"(?s){UNICODE_ANY_CASE}{patterns[marker]}(.{{0,{n}}})", 1)
+    after = F.regexp_extract(c, rf"(?s){UNICODE_ANY_CASE}{possessive(patterns[marker])}(.{{0,{n}}})", 1)
     return F.coalesce(F.regexp_replace(after, r"(?U)^\s+|\s+$", ""), F.lit(""))
 
 

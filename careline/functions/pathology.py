@@ -11,6 +11,18 @@ from careline import fixed_values as V
 UNICODE = "(?Ud)"
 UNICODE_ANY_CASE = "(?iuUd)"
 
+# Repeats that need not give back what they took: what follows never begins with
+# the same characters.  The matches stay the same, in time linear in the text.
+_REPEATS = (r"\s*", r"\s+", r"\d*", r"\d+", r"[:\-]?", r"/?")
+
+
+def possessive(pattern: str) -> str:
+    """A fixed pattern in its linear form: runs of spaces or digits are taken whole."""
+    for repeat in _REPEATS:
+        pattern = pattern.replace(repeat, repeat + "+")
+    return pattern
+
+
 # A line that names a breast topography and a carcinoma.  The first line with
 # either order decides; only topography-first captures group 1.  Atomic groups
 # keep the search linear on very long lines.
@@ -66,7 +78,7 @@ def malignancy_terms(c: Column, terms=V.MALIGNANCY_TERMS) -> Column:
 
 def _number(c: Column, pattern: str) -> Column:
     # No match is made NULL first: casting an empty string is a slow failure.
-    found = F.regexp_extract(F.lower(c), UNICODE + pattern, 1)
+    found = F.regexp_extract(F.lower(c), UNICODE + possessive(pattern), 1)
     return F.nullif(found, F.lit("")).try_cast("int")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, NumericType
 
 from careline import fixed_values as V
-from careline.functions.answers import float_or_zero, sorted_set
+from careline.functions.answers import number_or_zero, sorted_set
 from careline.functions.markers import (
     has_percent_range,
     marker_context,
@@ -24,7 +24,7 @@ GOLD = "heu_"
 
 def compare_numeric(a: Column, b: Column) -> Column:
     """Two texts equal as numbers, unreadable ones counting as 0.0."""
-    return float_or_zero(a) == float_or_zero(b)
+    return number_or_zero(a) == number_or_zero(b)
 
 
 def _compare(df: DataFrame, field: str, rule: str) -> Column:
@@ -58,7 +58,7 @@ def _as_number(df: DataFrame, name: str) -> Column:
     """A column as a double with 0.0 for what is none."""
     if isinstance(df.schema[name].dataType, NumericType):
         return F.coalesce(F.col(name).cast("double"), F.lit(0.0))
-    return float_or_zero(F.col(name))
+    return number_or_zero(F.col(name))
 
 
 def compare(df: DataFrame, fields: Sequence[str], rule: str = "strict",

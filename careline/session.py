@@ -1,6 +1,5 @@
 """Session helpers: settings the operators rely on, and shared folders."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,15 +24,11 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only on a local master."""
+    """The folder of ``spark.checkpoint.dir``, or the one the caller gave the context."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="careline-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

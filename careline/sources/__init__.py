@@ -6,8 +6,7 @@ from careline.sources.tables import (
     read_reports,
     read_returns,
     register_view,
-    spread,
 )
 
 __all__ = ["all_but", "columns", "exists", "from_rows", "read_reports", "read_returns",
-           "register_view", "spread"]
+           "register_view"]

@@ -42,15 +42,6 @@ def read_returns(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     return df.select(*RETURN_KEYS, *renamed)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for costly row work when a scan has fewer splits than cores.
-
-    A table of many files has more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def exists(spark: SparkSession, name: str) -> bool:
     """Whether a catalog table or temporary view is there."""
     return spark.catalog.tableExists(name)

@@ -2,6 +2,8 @@ import random
 import re
 import time
 
+import pytest
+
 from careline import fixed_values as V
 from careline.functions import pathology as P
 
@@ -90,3 +92,27 @@ def test_histologic_type_order_and_literal_classes(apply):
     assert apply(lambda c: P.histologic_type(c, fixed=True), odd) == list(V.HISTOLOGIC_TYPES_PLAIN.values())
     both = ["carcinoma de mama lobular e carcinoma de mama ductal invasivo"]
     assert apply(P.histologic_type, both) == ["carcinoma de mama ductal invasivo"]
+
+
+@pytest.mark.parametrize("name", ["grau histológico", "grau nuclear", "formação de túbulos", "mitótico", "índice mitótico 3", "mitotico: 3 /"])
+def test_padding_costs_linear_time(apply, name):
+    texts = [name + pad * 100_000 + end for pad in (" ", "\n", "1", "1 ", " -", "/ ") for end in ("x", " 2", " mm2")]
+    start = time.time()
+    for fn in (P.histologic_grade, P.nuclear_grade, P.tubule_score, P.mitotic_index, lambda c: P.mitotic_index(c, 1)):
+        assert len(apply(fn, texts)) == len(texts)
+    assert time.time() - start < 60
+
+
+PATTERNS = [V.HISTOLOGIC_GRADE, V.NUCLEAR_GRADE, V.TUBULE_SCORE, *V.MITOTIC_INDEX.values()]
+
+
+@pytest.mark.parametrize("pattern", PATTERNS)
+def test_possessive_form_finds_the_same(pattern):
+    rng = random.Random(9)
+    parts = ["mitótico", "mitotico", "grau  histológico", "grau nuclear", "formação de túbulos", " ", "  ", "\n", ":", "-", "1", "23", "/", " / ",
+             "mitose", "mitoses", "mm2", " mm2", "x"]
+    plain, quick = re.compile(pattern), re.compile(P.possessive(pattern))
+    for _ in range(40_000):
+        t = "".join(rng.choices(parts, k=rng.randint(2, 9)))
+        a, b = plain.search(t), quick.search(t)
+        assert (a and a.groups()) == (b and b.groups()), t

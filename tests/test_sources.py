@@ -16,13 +16,6 @@ def test_report_scan_by_path_name_and_frame(spark):
     assert sources.all_but(df, "text").columns == [c for c in df.columns if c != "text"]
 
 
-def test_spread_only_touches_few_splits(spark):
-    one = spark.range(100).coalesce(1)
-    assert sources.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 40)
-    assert sources.spread(many) is many
-
-
 def test_scratch_paths_are_in_the_shared_folder(spark):
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(shared_dir(spark)) and shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -213,9 +213,9 @@ def row_count(spark, sf):
     return rows.row_count(X.reports(spark, sf))
 
 
-@register("count_by_gate", """
+@register("count_by_gate", f"""
     SELECT should_call_llm, count(*) AS n FROM (SELECT regexp_matches(laudo_tratado,
-    '(?i)(carcinoma|invasivo|invasor|sarcoma|metástase|metastático|maligno|maligna|cdi|cli|cdis)')
+    '(?i)({"|".join(V.MALIGNANCY_TERMS)})')
     AS should_call_llm FROM reports) GROUP BY 1""")
 def count_by_gate(spark, sf):
     from careline.operators.cohort import gate

@@ -118,7 +118,7 @@ def activation_group_p(spark, sf):
     return _out(df, "ficha", "sigla_exame", "id_marca", "sequencial")
 
 
-_TERM = r"(?mi).*Topografia:.*MAMA.*(CARCINOMA).*|.*(CARCINOMA).*Topografia:.*MAMA.*"
+_TERM = V.CARCINOMA_LINE
 for _g, _name in (("F", "biopsy_flag"), ("P", "biopsy_flag_group_p")):
     _list = ", ".join(f"'{c}'" for c in V.EXAM_CODES["biopsy"][_g])
 

@@ -61,7 +61,7 @@ over_reports(
     {"BIRADS": f"TRY_CAST(regexp_extract(right({_LAST % 1}, 5) || ' ' || {_LAST % 2}, '[0-9]') AS INT)"},
     BIRADS=lambda c: C.category(c, "documented"))
 
-_CARCINOMA = r"(?mi).*Topografia:.*MAMA.*(CARCINOMA).*|.*(CARCINOMA).*Topografia:.*MAMA.*"
+_CARCINOMA = V.CARCINOMA_LINE
 _RAW = f"regexp_extract(laudo_tratado, '{_CARCINOMA}', 1)"
 over_reports("carcinoma_flag",
              {"RAW_CARCINOMA": _RAW, "HAS_CARCINOMA": f"CASE WHEN {_RAW} = '' THEN false ELSE true END"},
