@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from careline import fixed_values as V
-from careline.functions.answers import first_object, float_or_zero, int_or_null, strip_fences
+from careline.functions.answers import (
+    first_object,
+    float_or_zero,
+    int_or_null,
+    parse_literal,
+    strip_fences,
+)
 from careline.functions.markers import ihc_labels
 from careline.functions.pathology import pathology_labels
 from careline.functions.subtype import molecular_subtype
@@ -26,16 +32,21 @@ SAMPLES_SCHEMA = StructType([StructField("amostras", ArrayType(
 
 
 def answer_struct(c: Column, schema: StructType, languages=("python", "json"),
-                  pick_object: bool = False) -> Column:
-    """Cleaned answer text as a struct; unreadable JSON gives NULL fields."""
+                  pick_object: bool = False, literal: bool = False) -> Column:
+    """Cleaned answer text as a struct; unreadable text gives NULL fields.
+
+    ``literal`` reads Python literals (which JSON, but for its bare words, also is).
+    """
     text = strip_fences(c, languages)
-    return F.from_json(first_object(text) if pick_object else text, schema)
+    text = first_object(text) if pick_object else text
+    return parse_literal(text, schema) if literal else F.from_json(text, schema)
 
 
 def parse_answers(df: DataFrame, schema: StructType, answer: str = ANSWER,
-                  languages=("python", "json"), pick_object: bool = False) -> DataFrame:
+                  languages=("python", "json"), pick_object: bool = False,
+                  literal: bool = False) -> DataFrame:
     """Replace the answer text by one column per schema field."""
-    parsed = df.withColumn("_resposta", answer_struct(F.col(answer), schema, languages, pick_object))
+    parsed = df.withColumn("_resposta", answer_struct(F.col(answer), schema, languages, pick_object, literal))
     return parsed.select("*", "_resposta.*").drop(answer, "_resposta")
 
 
@@ -59,9 +70,10 @@ def with_ki67_number(df: DataFrame) -> DataFrame:
     return df.withColumn("ki67_float", float_or_zero(F.col("ki67_percentual")))
 
 
-def explode_samples(df: DataFrame, answer: str = ANSWER, languages=("python", "json")) -> DataFrame:
+def explode_samples(df: DataFrame, answer: str = ANSWER, languages=("python", "json"),
+                    literal: bool = False) -> DataFrame:
     """One row per sample of the answer; reports without samples keep one row."""
-    samples = answer_struct(F.col(answer), SAMPLES_SCHEMA, languages)["amostras"]
+    samples = answer_struct(F.col(answer), SAMPLES_SCHEMA, languages, literal=literal)["amostras"]
     return (
         df.withColumn("_amostra", F.explode_outer(samples))
         .select("*", "_amostra.*").drop(answer, "_amostra")

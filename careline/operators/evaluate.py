@@ -168,14 +168,27 @@ def marker_counts(df: DataFrame, text: str = "laudo_tratado", patterns=V.MARKERS
     )
 
 
+def with_mentions(df: DataFrame, markers: Sequence[str] = tuple(V.MARKERS),
+                  text: str = "laudo_tratado") -> DataFrame:
+    """Add a mention count and the first mention's context per marker.
+
+    A context is looked for only where the marker is mentioned.
+    """
+    counted = df.withColumns({f"ctg_{m}": marker_count(F.col(text), m) for m in markers})
+    return counted.withColumns({
+        f"txt_{m}": F.when(F.col(f"ctg_{m}") > 0, marker_context(F.col(text), m)).otherwise(F.lit(""))
+        for m in markers
+    })
+
+
 def validation_sheet(df: DataFrame, markers: Sequence[str] = tuple(V.MARKERS),
                      fields: Sequence[str] = V.IHC_FIELDS, text: str = "laudo_tratado") -> DataFrame:
-    """Compared rows plus mention counts, mention contexts and the error flag."""
-    added = {}
-    for m in markers:
-        added[f"ctg_{m}"] = marker_count(F.col(text), m)
-        added[f"txt_{m}"] = marker_context(F.col(text), m)
-    return any_error(df.withColumns(added), fields)
+    """Compared rows plus mention counts, mention contexts and the error flag.
+
+    Mentions that the rows already carry (``with_mentions`` on the reports) are used.
+    """
+    missing = [m for m in markers if f"ctg_{m}" not in df.columns]
+    return any_error(with_mentions(df, missing, text) if missing else df, fields)
 
 
 # Marker and the status words a validator looks for near it.

@@ -7,7 +7,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from careline import fixed_values as V
-from careline.functions.category import category_last, category_list, category_max, category_min
+from careline.functions.category import (
+    category_last,
+    category_list,
+    category_max,
+    category_min,
+    documented_category,
+)
 from careline.functions.followup import as_ts, days_until, predicted_return, return_months
 from careline.operators.cohort import age_between, brand_in, with_mnemonic
 from careline.operators.joins import not_in
@@ -18,10 +24,15 @@ def with_categories(df: DataFrame, group: str = "F", text: str = "laudo_tratado"
                     section: str = "reference") -> DataFrame:
     """Add the lowest, highest and last category of a report.
 
+    ``section`` is "reference" (first line), "all" lines, or "documented": the one
+    category near the last mention of the whole text.
+
     The list is taken out of a one-element array, which keeps later filters on a
     category above the extraction: it runs once per report, not once per use.
     """
-    once = F.explode(F.array(category_list(F.col(text), group, section)))
+    found = (F.array_compact(F.array(documented_category(F.col(text)))) if section == "documented"
+             else category_list(F.col(text), group, section))
+    once = F.explode(F.array(found))
     return (
         df.withColumn("_categorias", once)
         .withColumns({

@@ -1,10 +1,13 @@
 """Stage 4: immunohistochemistry markers, subtype and comparison."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from careline import fixed_values as V
 from careline.operators.answers import (
     IHC_SCHEMA,
+    TEXT,
     explode_samples,
     parse_answers,
     pseudo_gold,
@@ -12,9 +15,10 @@ from careline.operators.answers import (
     with_subtype,
 )
 from careline.operators.cohort import female_only, for_care_line, mentions_all, with_exam_codes
-from careline.operators.evaluate import compare
+from careline.operators.evaluate import compare, with_mentions
 from careline.operators.increment import since
 from careline.operators.joins import join_keys
+from careline.sources.tables import all_but
 
 
 def ihc_reports(reports: DataFrame, group: str = "F", target: DataFrame | None = None) -> DataFrame:
@@ -24,14 +28,31 @@ def ihc_reports(reports: DataFrame, group: str = "F", target: DataFrame | None =
     return mentions_all(female_only(df))
 
 
+def ihc_gold(reports: DataFrame, group: str = "F", versions: dict[str, int] | None = None,
+             sheet: bool = False, keep_text: bool = False) -> DataFrame:
+    """Reports with their pattern markers, and for a ``sheet`` the mentions, in place of the text.
+
+    The pattern versions are the group's; ``versions`` replaces single ones.
+    """
+    chosen = {**V.RULE_VERSIONS[group], **(versions or {})}
+    df = pseudo_gold(with_mentions(reports) if sheet else reports, "ihc", versions=chosen)
+    return df if keep_text else all_but(df, TEXT)
+
+
 def ihc_subtypes(reports: DataFrame, answers: DataFrame, group: str = "F",
-                 samples: bool = False, languages=("python", "json")) -> DataFrame:
-    """Five markers, Ki-67 as a number and the subtype, per report or per sample."""
-    df = join_keys(reports, answers, V.REPORT_KEYS[group])
+                 samples: bool = False, languages=("python", "json"),
+                 keys: Sequence[str] | None = None, literal: bool = False) -> DataFrame:
+    """Five markers, Ki-67 as a number and the subtype, per report or per sample.
+
+    Answers are JSON, or Python literals with ``literal``; ``keys`` replaces the
+    group's report keys.  Give ``ihc_gold(reports)`` to compare afterwards: the
+    patterns then run once per report, below the join and the samples.
+    """
+    df = join_keys(reports, answers, keys or V.REPORT_KEYS[group])
     if samples:
-        df = explode_samples(df, languages=languages)
+        df = explode_samples(df, languages=languages, literal=literal)
     else:
-        df = parse_answers(df, IHC_SCHEMA, languages=languages)
+        df = parse_answers(df, IHC_SCHEMA, languages=languages, literal=literal)
     return with_subtype(with_ki67_number(df))
 
 
@@ -39,8 +60,9 @@ def ihc_comparison(labelled: DataFrame, group: str = "F",
                    versions: dict[str, int] | None = None) -> DataFrame:
     """Answer markers against pattern markers, a flag per field.
 
-    The pattern versions are the group's; ``versions`` replaces single ones.
+    Pattern markers are those of ``ihc_gold``; rows that still carry the text
+    instead get them here.
     """
-    chosen = {**V.RULE_VERSIONS[group], **(versions or {})}
-    return compare(pseudo_gold(labelled, "ihc", versions=chosen), V.IHC_FIELDS, "strict",
-                   numeric=("ki67_percentual",))
+    if f"heu_{V.IHC_FIELDS[0]}" not in labelled.columns:
+        labelled = ihc_gold(labelled, group, versions, keep_text=True)
+    return compare(labelled, V.IHC_FIELDS, "strict", numeric=("ki67_percentual",))

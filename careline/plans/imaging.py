@@ -22,7 +22,7 @@ from careline.operators.rows import dedupe
 from careline.sources.tables import RETURN_COLUMNS, all_but
 
 
-def _extracted(reports: DataFrame, group: str) -> DataFrame:
+def _extracted(reports: DataFrame, group: str, section: str) -> DataFrame:
     """Mammograms with their categories.
 
     The category is a projection of the row it was read from, so no join of the
@@ -31,18 +31,20 @@ def _extracted(reports: DataFrame, group: str) -> DataFrame:
     df = with_exam_codes(for_care_line(reports), "mammogram", group)
     if group == "P":
         df = female_only(df)
-    return with_categories(df, group)
+    return with_categories(df, group, section=section)
 
 
 def history(reports: DataFrame, returns: DataFrame, group: str = "F",
-            target: DataFrame | None = None) -> DataFrame:
+            target: DataFrame | None = None, section: str = "reference") -> DataFrame:
     """Every new mammogram with category, return visit and return plan.
 
+    ``section`` says where categories are read: see ``with_categories``.
+
     ``target`` is the table written so far; group F re-reads its last day, group
     P starts after it.
     """
     df = since(reports, target, inclusive=group == "F")
-    df = _extracted(df, group)
+    df = _extracted(df, group, section)
     # The text is dropped before the shuffle of the join, unless the table keeps it.
     if group == "F":
         df = all_but(df, "laudo_tratado")
@@ -50,14 +52,15 @@ def history(reports: DataFrame, returns: DataFrame, group: str = "F",
 
 
 def activation_list(reports: DataFrame, returns: DataFrame, as_of: Column, group: str = "F",
-                    brands: Sequence[str] = (), order: Sequence[str] | None = None) -> DataFrame:
+                    brands: Sequence[str] = (), order: Sequence[str] | None = None,
+                    section: str = "reference") -> DataFrame:
     """Visits to remind: one row per ``ficha``, the first by report key.
 
     Nobody on the list has returned, so the return visits are anti-joined by key
     alone and their columns are NULL.
     """
     rules = ActivationRules(exam_codes=V.EXAM_CODES["mammogram"][group], brands=tuple(brands))
-    df = all_but(_extracted(with_age(reports, as_of), group), "laudo_tratado")
+    df = all_but(_extracted(with_age(reports, as_of), group, section), "laudo_tratado")
     chosen = all_but(report_rules(df, rules), AGE, "dth_nascimento_cliente")
     came = returns.filter(F.col("ficha_retorno_elegivel").isNotNull())
     chosen = not_in(chosen, came.withColumnRenamed("ficha_origem", "ficha"),

@@ -1,10 +1,13 @@
 """Stage 3: pathology labels of answers against pattern labels."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from careline import fixed_values as V
 from careline.operators.answers import (
     PATHOLOGY_SCHEMA,
+    TEXT,
     fill_sentinel,
     parse_answers,
     pseudo_gold,
@@ -20,6 +23,7 @@ from careline.operators.cohort import (
 from careline.operators.evaluate import compare
 from careline.operators.increment import since
 from careline.operators.joins import join_keys
+from careline.sources.tables import all_but
 
 NUMBERS = V.PATHOLOGY_FIELDS[1:5]
 
@@ -34,19 +38,23 @@ def pathology_reports(reports: DataFrame, group: str = "F",
 
 
 def pathology_labels(reports: DataFrame, answers: DataFrame, rule: str = "sentinel",
-                     group: str = "F") -> DataFrame:
+                     group: str = "F", keys: Sequence[str] | None = None,
+                     languages=("python", "json"), literal: bool = False,
+                     keep_text: bool = False) -> DataFrame:
     """Answer labels, pattern labels and a flag per field.
 
-    ``answers`` has the report keys and ``resposta_llm``.
+    ``answers`` has the report keys (``keys``, by default the group's) and
+    ``resposta_llm``, in JSON or as Python literals.  The patterns run on the
+    report scan; the text goes through the join only if it is to be kept.
     """
-    df = join_keys(reports, answers, V.REPORT_KEYS[group])
-    df = parse_answers(df, PATHOLOGY_SCHEMA, pick_object=rule == "sentinel")
     text = rule in ("sentinel", "strict")
+    gold = pseudo_gold(reports, "pathology", as_text=text, versions=V.RULE_VERSIONS[group])
+    df = join_keys(gold if keep_text else all_but(gold, TEXT), answers, keys or V.REPORT_KEYS[group])
+    df = parse_answers(df, PATHOLOGY_SCHEMA, languages=languages, pick_object=rule == "sentinel", literal=literal)
     if text:
         df = fill_sentinel(df, V.PATHOLOGY_FIELDS)
     else:
         df = safe_ints(df, NUMBERS)
         if rule == "null_miss":
             df = fill_sentinel(df, (V.PATHOLOGY_FIELDS[0], V.PATHOLOGY_FIELDS[5]))
-    gold = pseudo_gold(df, "pathology", as_text=text, versions=V.RULE_VERSIONS[group])
-    return compare(gold, V.PATHOLOGY_FIELDS, rule)
+    return compare(df, V.PATHOLOGY_FIELDS, rule)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from careline import fixed_values as V
 from careline.operators import evaluate as E
-from careline.plans.ihc import ihc_comparison, ihc_subtypes
+from careline.plans.ihc import ihc_comparison, ihc_gold, ihc_subtypes
 from careline.plans.pathology import pathology_labels
 from workloads import fixtures as X
 from workloads import sqlanswers as Q
@@ -19,8 +19,9 @@ def _pathology(spark, sf, rule):
     return pathology_labels(X.reports(spark, sf, brand=False), X.answers(spark, sf, "pathology"), rule)
 
 
-def _ihc(spark, sf):
-    labelled = ihc_subtypes(X.reports(spark, sf, brand=False), X.answers(spark, sf, "ihc"))
+def _ihc(spark, sf, sheet=False):
+    gold = ihc_gold(X.reports(spark, sf, brand=False), sheet=sheet)
+    labelled = ihc_subtypes(gold, X.answers(spark, sf, "ihc"))
     return ihc_comparison(labelled)
 
 
@@ -82,7 +83,7 @@ def any_error(spark, sf):
      "NOT (" + " AND ".join(f"coalesce({f}, false)" for f in IHC_FLAGS) + ") AS erro"])
     + f" FROM {Q.ihc_compared()}")
 def validation_sheet(spark, sf):
-    df = E.validation_sheet(_ihc(spark, sf))
+    df = E.validation_sheet(_ihc(spark, sf, sheet=True))
     added = [f"{p}_{m}" for p in ("ctg", "txt") for m in V.MARKERS]
     return df.select("ficha", "id_item", *IHC_FLAGS, *added, "erro")
 

@@ -6,7 +6,7 @@ from careline import fixed_values as V
 from careline.operators.evaluate import validation_sheet
 from careline.operators.tables import read_table, save
 from careline.plans.biopsy import biopsy_flags
-from careline.plans.ihc import ihc_comparison, ihc_reports, ihc_subtypes
+from careline.plans.ihc import ihc_comparison, ihc_gold, ihc_reports, ihc_subtypes
 from careline.plans.imaging import activation_list, history
 from careline.plans.pathology import pathology_labels, pathology_reports
 from careline.session import scratch_path
@@ -27,9 +27,9 @@ _CODES = {g: "r.sigla_exame IN (" + ", ".join(f"'{c}'" for c in V.EXAM_CODES["ma
 _PLAN_COLUMNS = ("MIN_BIRADS", "MAX_BIRADS", "BIRADS", "retorno_cliente")
 
 
-def _rows(group):
+def _rows(group, section="reference"):
     """Reports with categories, the return visit and the plan columns."""
-    cats = S.categories(group=group)
+    cats = S.categories(group=group, section=section)
     female = "AND upper(sexo_cliente) = 'F'" if group == "P" else ""
     return f"""SELECT r.*, e.ficha AS ficha_retorno_elegivel, CAST(CAST(e.dth_pedido AS TIMESTAMP) AS VARCHAR) AS
       dth_pedido_retorno_elegivel, e.dias_entre_ficha AS dias_entre_ficha_elegivel,
@@ -65,6 +65,13 @@ def birads_followup_group_p(spark, sf):
     return _out(df, "ficha", "sigla_exame", "sequencial")
 
 
+@register("birads_followup_all_lines", f"SELECT ficha, id_item, id_cliente, {_OUT} FROM ({_rows('F', 'all')})")
+def birads_followup_all_lines(spark, sf):
+    """Categories of every line of a report, not of the first alone."""
+    df = history(X.reports(spark, sf, brand=False), _returns(spark, sf), section="all")
+    return _out(df, "ficha", "id_item", "id_cliente")
+
+
 _CUT = "DATE '2000-06-30'"
 
 
@@ -217,7 +224,7 @@ def ihc_subtype_samples(spark, sf):
     FROM {Q.ihc_compared(_IHC_WHERE % "'IH-NEO', 'IHMAMA'")} GROUP BY ALL""")
 def ihc_stage(spark, sf):
     reports = ihc_reports(X.reports(spark, sf, brand=False))
-    df = ihc_comparison(ihc_subtypes(reports, X.answers(spark, sf, "ihc")))
+    df = ihc_comparison(ihc_subtypes(ihc_gold(reports), X.answers(spark, sf, "ihc")))
     return df.groupBy("heu_status_her2").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.count_if(f"acertou_{f}").alias(f"acertos_{f}") for f in V.IHC_FIELDS])
@@ -228,7 +235,7 @@ def ihc_stage(spark, sf):
     FROM {Q.ihc_compared(_IHC_WHERE % "'IHMAMA'", version=1)} GROUP BY ALL""", "P")
 def ihc_stage_group_p(spark, sf):
     reports = ihc_reports(X.reports(spark, sf, "P", brand=False), "P")
-    df = ihc_comparison(ihc_subtypes(reports, X.answers(spark, sf, "ihc", "P", P4), "P"), "P")
+    df = ihc_comparison(ihc_subtypes(ihc_gold(reports, "P"), X.answers(spark, sf, "ihc", "P", P4), "P"), "P")
     return df.groupBy("heu_status_her2").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.count_if(f"acertou_{f}").alias(f"acertos_{f}") for f in V.IHC_FIELDS])
@@ -240,7 +247,19 @@ def ihc_stage_group_p(spark, sf):
     + f" FROM (SELECT *, {Q.field('amostra_id')} AS amostra_id FROM {Q.ihc_compared(source=_SAMPLES)})")
 def ihc_samples_sheet(spark, sf):
     """Validation sheet with one row per sample of a report."""
-    labelled = ihc_subtypes(X.reports(spark, sf, brand=False), X.answers(spark, sf, "samples"), samples=True)
+    gold = ihc_gold(X.reports(spark, sf, brand=False), sheet=True)
+    labelled = ihc_subtypes(gold, X.answers(spark, sf, "samples"), samples=True)
     df = validation_sheet(ihc_comparison(labelled))
     return df.select("ficha", "id_item", "amostra_id", *[f"acertou_{f}" for f in V.IHC_FIELDS],
                      *[f"ctg_{m}" for m in V.MARKERS], "erro")
+
+
+@register("ihc_subtype_literal_answers", f"""SELECT ficha, id_item, er AS receptor_estrogeno, pr AS receptor_progesterona,
+    her2 AS status_her2, ki AS ki67_float, categoria_final FROM ({Q.subtypes(Q.parsed('ihc'))})""")
+def ihc_subtype_literal_answers(spark, sf):
+    """Answers written as Python literals give what the same answers in JSON give."""
+    literal = F.replace(F.replace("resposta_llm", F.lit('"'), F.lit("'")), F.lit("null"), F.lit("None"))
+    answers = X.answers(spark, sf, "ihc").withColumn("resposta_llm", literal)
+    df = ihc_subtypes(X.reports(spark, sf, brand=False), answers, keys=V.REPORT_KEYS["F"], literal=True)
+    return df.select("ficha", "id_item", "receptor_estrogeno", "receptor_progesterona", "status_her2",
+                     "ki67_float", "categoria_final")
