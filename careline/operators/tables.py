@@ -7,6 +7,7 @@ table, never a mix, and a failed job leaves the old one.  One writer at a time.
 """
 
 import json
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -14,13 +15,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
+from careline.operators.rows import dedupe
+
 _GEN = "gen"
 
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Upsert as a plan: source rows, plus target rows without a matching key."""
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(source, allowMissingColumns=True)
+    """Upsert as a plan: matched target rows with the source's values, the rest of both as it is.
+
+    Columns that the source lacks keep their value in matched rows and are NULL in
+    inserted ones.  A target row may match one source row at most; NULL keys match
+    nothing.
+    """
+    keys = list(keys)
+    new = source.withColumns({f"_novo_{c}": F.col(c) for c in source.columns if c not in keys}).withColumn("_novo", F.lit(True))
+    new = new.select(*keys, *[c for c in new.columns if c.startswith("_novo")])
+    both = target.join(new, keys, "left")
+    matched = F.col("_novo")
+    cells = [F.col(c) if c in keys or c not in source.columns else
+             F.when(matched, F.col(f"_novo_{c}")).otherwise(F.col(c)).alias(c) for c in target.columns]
+    added = [F.when(matched, F.col(f"_novo_{c}")).alias(c) for c in source.columns if c not in target.columns]
+    inserted = source.join(target.select(*keys), keys, "left_anti")
+    return both.select(*cells, *added).unionByName(inserted, allowMissingColumns=True)
+
+
+# A narrower number may come to a wider column.
+_WIDER = {"tinyint": ("smallint", "int", "bigint", "float", "double"), "smallint": ("int", "bigint", "float", "double"),
+          "int": ("bigint", "double"), "bigint": (), "float": ("double",)}
+
+
+def match_types(source: DataFrame, schema: StructType) -> DataFrame:
+    """The source in the table's column types; raise where that would change a value."""
+    casts = {}
+    for f in schema:
+        if f.name not in source.columns:
+            continue
+        have, want = source.schema[f.name].dataType.simpleString(), f.dataType.simpleString()
+        if have == want:
+            continue
+        if want not in _WIDER.get(have, ()) and have != "void":
+            raise ValueError(f"column {f.name} is {want} in the table and {have} in the source")
+        casts[f.name] = F.col(f.name).cast(f.dataType)
+    return source.withColumns(casts) if casts else source
 
 
 class _Folder:
@@ -48,6 +84,9 @@ class _Folder:
         finally:
             stream.close()
 
+    def delete(self, name: str) -> None:
+        self._fs.delete(self._path(name), True)
+
     def publish(self, name: str, text: str) -> None:
         """Write next to the target and rename; an existing target is a second writer."""
         if self._fs.exists(self._path(name)):
@@ -129,50 +168,117 @@ def overwrite(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     _commit(df, folder, _latest(folder), (), by)
 
 
-def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise if a complete key occurs twice: an upsert would be ambiguous."""
-    twice = (
-        df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        .filter("n > 1").limit(1).collect()
-    )
+def check_unambiguous(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if a target row is matched by two source rows: an update would be ambiguous.
+
+    Repeated keys that the target does not have are plain insertions.
+    """
+    repeated = source.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    twice = repeated.join(target.select(*keys), list(keys), "left_semi").limit(1).collect()
     if twice:
         raise ValueError(f"upsert source has more than one row for {twice[0].asDict()}")
 
 
-def upsert(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+def _within(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows between the source's smallest and largest keys: row groups outside are not read."""
+    ends = source.agg(*[f(k).alias(f"{f.__name__}_{i}") for i, k in enumerate(keys) for f in (F.min, F.max)]).first()
+    for i, k in enumerate(keys):
+        low, high = ends[f"min_{i}"], ends[f"max_{i}"]
+        if low is not None and target.schema[k].dataType.typeName() in _ORDERED:
+            target = target.filter((F.col(k) >= F.lit(low)) & (F.col(k) <= F.lit(high)))
+    return target
+
+
+_ORDERED = ("byte", "short", "integer", "long", "string", "date", "timestamp")
+
+
+def upsert(df: DataFrame, path: str, keys: Sequence[str], order: Sequence | None = None) -> None:
     """Update matched keys, insert the rest.
 
     Only folders (dates, in a partitioned table) that hold a matched key are
-    rewritten; finding them reads the key columns alone.
+    rewritten; finding them reads the key columns alone, and of those only what
+    lies between the smallest and the largest key.  With ``order``, of the rows of
+    a key, stored ones included, the first in that order stays.
     """
-    spark = df.sparkSession
+    spark, keys = df.sparkSession, list(keys)
     folder = _Folder(spark, path)
     state = _latest(folder)
-    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    source = match_types(df, StructType.fromJson(state["schema"])).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        check_unique(source, keys)
         target = _read(spark, folder, state)
         # File paths are URL-encoded; a plus sign is literal in them.
         file_path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
         folder_of = F.regexp_extract(file_path, rf"^.*/data/({_GEN}=\d+.*)/[^/]+$", 1)
-        # One row per live folder at most.
-        touched = {
-            row[0] for row in target.select(*keys, folder_of.alias("_pasta"))
-            .join(source.select(*keys), list(keys), "left_semi")
-            .select("_pasta").distinct().collect()
-        }
+        # One row per live folder at most; compact() keeps that at one per date.
+        near = _within(target, source, keys) if state["dirs"] else target
+        touched = sorted(
+            row[0] for row in (near.select(*keys, folder_of.alias("_pasta"))
+                               .join(source.select(*keys), keys, "left_semi")
+                               .select("_pasta").distinct().collect() if state["dirs"] else ())
+        )
+        stored = _read(spark, folder, state, touched)
+        new = source
+        if order:
+            old = stored.join(source.select(*keys), keys, "left_semi").withColumn("_novo", F.lit(0))
+            both = source.withColumn("_novo", F.lit(1)).unionByName(old, allowMissingColumns=True)
+            new = dedupe(both, keys, [*order, F.desc("_novo")]).drop("_novo")
+        else:
+            check_unambiguous(source, stored, keys)
         keep = [d for d in state["dirs"] if d not in touched]
-        merged = merge_frames(_read(spark, folder, state, sorted(touched)), source, keys)
-        _commit(merged, folder, state, keep, state["by"])
+        _commit(merge_frames(stored, new, keys), folder, state, keep, state["by"])
+    finally:
+        source.unpersist()
+
+
+def save(df: DataFrame, path: str, keys: Sequence[str], by: Sequence[str] = (),
+         order: Sequence | None = None) -> None:
+    """Nothing for an empty frame; upsert an existing table; create a missing one.
+
+    The frame is computed once.  ``by`` should be the date column of a table that
+    grows by dates: an unpartitioned one is rewritten whole by every upsert.
+    """
+    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if source.isEmpty():
+            return
+        if table_exists(df.sparkSession, path):
+            upsert(source, path, keys, order)
+        else:
+            overwrite(source, path, by)
     finally:
         source.unpersist()
 
 
-def save(df: DataFrame, path: str, keys: Sequence[str], by: Sequence[str] = ()) -> None:
-    """Nothing for an empty frame; upsert an existing table; create a missing one."""
-    if df.isEmpty():
-        return
-    if table_exists(df.sparkSession, path):
-        upsert(df, path, keys)
-    else:
-        overwrite(df, path, by)
+def compact(spark: SparkSession, path: str) -> None:
+    """One folder per date (or partition value): those that upserts have piled up are merged."""
+    folder = _Folder(spark, path)
+    state = _latest(folder)
+    value_of = lambda d: d.partition("/")[2]
+    count = Counter(map(value_of, state["dirs"]))
+    piled = [d for d in state["dirs"] if count[value_of(d)] > 1]
+    if piled:
+        keep = [d for d in state["dirs"] if count[value_of(d)] == 1]
+        _commit(_read(spark, folder, state, piled), folder, state, keep, state["by"])
+
+
+def expire(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Remove all but the last ``keep`` versions, and the folders that none of those names.
+
+    Readers of an older version fail from then on; run it when no writer does.
+    """
+    folder = _Folder(spark, path)
+    versions = _versions(folder)
+    for v in versions[:-keep]:
+        folder.delete(f"versions/{v:08d}.json")
+    kept = [json.loads(folder.read(f"versions/{v:08d}.json")) for v in versions[-keep:]]
+    live = {d for state in kept for d in state["dirs"]}
+    depths = {d.split("/")[0]: d.count("/") for d in live}
+    for top in folder.names("data"):
+        if not top.startswith(f"{_GEN}="):
+            continue
+        if top not in depths:
+            folder.delete(f"data/{top}")
+            continue
+        for leaf in _leaf_dirs(folder, top, depths[top]):
+            if leaf not in live:
+                folder.delete(f"data/{leaf}")

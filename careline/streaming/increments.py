@@ -15,12 +15,13 @@ def stream_upsert(stream: DataFrame, path: str, keys: Sequence[str], checkpoint:
     """Process what is available and stop, the way a daily job runs.
 
     A replayed batch upserts the same rows again, so the table is right after a
-    failure.  ``order`` picks the surviving row when a batch repeats a key.
+    failure.  ``order`` picks the surviving row of a key among the batch and what is
+    stored, so a file that arrives late does not replace a newer row.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch)
-        save(dedupe(out, keys, order) if order else out, path, keys, by)
+        save(dedupe(out, keys, order) if order else out, path, keys, by, order)
 
     return (
         stream.writeStream.foreachBatch(write)

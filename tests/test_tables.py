@@ -76,6 +76,63 @@ def test_ambiguous_source_is_refused(spark, tmp_path):
     assert content(spark, path) == [(1, "a", day(0))]
 
 
+def test_repeated_keys_without_a_match_are_inserted(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.save(frame(spark, [(1, "a", day(0)), (1, "b", day(0))]), path, ["k"])
+    tables.save(frame(spark, [(2, "a", day(0)), (2, "b", day(0))]), path, ["k"])
+    assert [r[:2] for r in content(spark, path)] == [(1, "a"), (1, "b"), (2, "a"), (2, "b")]
+    tables.save(frame(spark, [(1, "c", day(0))]), path, ["k"])
+    assert [r[:2] for r in content(spark, path)] == [(1, "c"), (1, "c"), (2, "a"), (2, "b")]
+
+
+def test_missing_columns_keep_their_values(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.save(frame(spark, [(1, "a", day(0)), (2, "b", None)]), path, ["k"])
+    tables.save(spark.createDataFrame([(1, None), (3, "c")], "k int, v string"), path, ["k"])
+    assert sorted(content(spark, path), key=lambda r: r[0]) == [(1, None, day(0)), (2, "b", None), (3, "c", None)]
+
+
+def test_type_conflicts_are_refused_before_writing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.save(spark.createDataFrame([(1, 5)], "k bigint, n int"), path, ["k"])
+    with pytest.raises(ValueError, match="column n is int in the table and string"):
+        tables.save(spark.createDataFrame([(1, "x")], "k bigint, n string"), path, ["k"])
+    with pytest.raises(ValueError, match="bigint"):
+        tables.save(spark.createDataFrame([(1, 6)], "k bigint, n bigint"), path, ["k"])
+    tables.save(spark.createDataFrame([(1, 7)], "k int, n int"), path, ["k"])
+    assert content(spark, path) == [(1, 7)] and len(tables._versions(tables._Folder(spark, path))) == 2
+
+
+def test_compact_and_expire(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.save(frame(spark, [(i, "a", day(i % 3)) for i in range(9)]), path, ["k"], ["_datestamp"])
+    for n in range(4):
+        tables.save(frame(spark, [(100 + n, "b", day(n % 3)), (0, f"v{n}", day(0))]), path, ["k"])
+    want, folder = content(spark, path), tables._Folder(spark, path)
+    before = tables._latest(folder)
+    assert len(before["dirs"]) > 3
+    tables.compact(spark, path)
+    assert content(spark, path) == want and len(tables._latest(folder)["dirs"]) == 3
+    tables.expire(spark, path, keep=2)
+    assert content(spark, path) == want and len(tables._versions(folder)) == 2
+    old = tables._read(spark, folder, before)
+    assert sorted(tuple(r) for r in old.collect()) == want
+    tables.expire(spark, path, keep=1)
+    assert content(spark, path) == want
+    live = {d for d in tables._latest(folder)["dirs"]}
+    assert {d for t in folder.names("data") if t.startswith("gen=") for d in tables._leaf_dirs(folder, t, 1)} == live
+    tables.save(frame(spark, [(0, "last", day(0))]), path, ["k"])
+    assert ("last" in {r[1] for r in content(spark, path)})
+
+
+def test_key_scan_is_bounded_by_the_source(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.save(frame(spark, [(i, "a", day(0)) for i in range(50)]), path, ["k"])
+    near = tables._within(tables.read_table(spark, path), frame(spark, [(3, "b", day(0)), (7, "b", day(0))]), ["k"])
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k,3)" in plan and "LessThanOrEqual(k,7)" in plan
+
+
 def test_new_columns_and_overwrite_schema(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.save(frame(spark, [(1, "a", day(0))]), path, ["k"])
@@ -147,3 +204,14 @@ def test_stream_equals_batch_and_survives_replay(spark, tmp_path):
     assert content(spark, path) == want
     run("c2")
     assert len(content(spark, path)) == len(want)
+
+
+def test_late_files_do_not_replace_newer_rows(spark, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "t")
+    rows = [(i % 5, f"v{i:03d}", day(i % 4)) for i in range(60)]
+    schema = frame(spark, []).schema
+    for part in (rows[40:], rows[:20], rows[20:40]):
+        frame(spark, part).coalesce(1).write.mode("append").parquet(source)
+        stream_upsert(spark.readStream.schema(schema).parquet(source), path, ["k"], str(tmp_path / "c"),
+                      order=[F.desc("v")], by=["_datestamp"]).awaitTermination()
+    assert content(spark, path) == sorted({k: (k, v, d) for k, v, d in rows}.values())

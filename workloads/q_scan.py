@@ -195,6 +195,32 @@ def stream_upsert_events(spark, sf):
     return tables.read_table(spark, f"{path}/table")
 
 
+@register("stream_upsert_late_files", """
+    SELECT user_id, CAST(max(event_id) AS BIGINT) AS event_id FROM events GROUP BY 1""")
+def stream_upsert_late_files(spark, sf):
+    """Files of the newest events first: later batches bring older rows, which change nothing."""
+    path = scratch_path(spark, "late")
+    events = X.table(spark, sf, "events").select("user_id", "event_id")
+    for part in (2, 0, 1):
+        some = events.filter(F.pmod(F.col("user_id") + F.col("event_id"), F.lit(3)) == part)
+        some.write.mode("append").parquet(f"{path}/in")
+        stream_upsert(spark.readStream.schema(events.schema).parquet(f"{path}/in"), f"{path}/table", ["user_id"],
+                      f"{path}/checkpoint", order=[F.desc("event_id")]).awaitTermination()
+    return tables.read_table(spark, f"{path}/table")
+
+
+@register("merge_fewer_columns", """
+    SELECT event_id, CASE WHEN event_id % 3 = 0 THEN value + 1 ELSE value END AS value, event_type FROM events""")
+def merge_fewer_columns(spark, sf):
+    """An upsert without the type column leaves the types of matched rows as they are."""
+    path = scratch_path(spark, "fewer")
+    events = X.table(spark, sf, "events").select("event_id", "value", "event_type")
+    tables.save(events, path, ["event_id"])
+    tables.save(events.filter("event_id % 3 = 0").select("event_id", (F.col("value") + 1).alias("value")), path, ["event_id"])
+    tables.compact(spark, path)
+    return tables.read_table(spark, path)
+
+
 # -- projections and rows ----------------------------------------------------
 
 @register("project_columns", "SELECT ficha, id_item, sigla_exame, CAST(dth_pedido AS VARCHAR) AS dth_pedido FROM reports")

@@ -100,7 +100,7 @@ def birads_saved_twice(spark, sf):
     """Full load, then the increment of the last day, upserted into the history table."""
     path = scratch_path(spark, "birads")
     reports, returns = X.reports(spark, sf, brand=False), _returns(spark, sf)
-    save(history(reports, returns), path, V.MERGE_KEYS["F"])
+    save(history(reports, returns), path, V.MERGE_KEYS["F"], by=["_datestamp"])
     save(history(reports, returns, target=read_table(spark, path)), path, V.MERGE_KEYS["F"])
     return read_table(spark, path).groupBy("BIRADS", "retorno_cliente").agg(
         F.count(F.lit(1)).alias("n"), F.sum("ficha").alias("chaves"))
