@@ -73,14 +73,37 @@ def test_skewed_join_is_split_at_run_time(spark, hot):
 
 def test_no_python_and_no_pair_joins_in_any_query(spark):
     for name, query in load()[0].items():
-        if "save" in name or "overwrite" in name or "stream" in name or "row_index" in name:
-            continue
         text = plan(query(spark, SF))
         for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct",
                      "BroadcastNestedLoopJoin"):
             assert node not in text, (name, node)
 
 
+@pytest.mark.parametrize("name", ["pathology_stage", "pathology_stage_group_p", "ihc_stage", "ihc_stage_group_p",
+                                  "accuracy_sentinel", "accuracy_any_fields", "validation_sheet", "ihc_samples_sheet"])
+def test_text_stays_below_the_answer_join(spark, tmp_path, monkeypatch, name):
+    """Patterns run on the report scan: no join exchange holds the text, nothing searches it above a sample explode."""
+    for kind in ("pathology", "ihc", "samples"):
+        for group, keys in (("F", ("ficha", "id_item", "id_subitem")), ("P", ("ficha", "sigla_exame", "id_marca", "sequencial"))):
+            X.answers(spark, SF, kind, group, keys).write.parquet(f"{tmp_path}/{kind}{group}")
+    for group in "FP":
+        X.reports(spark, SF, group, brand=False).write.parquet(f"{tmp_path}/reports{group}")
+    monkeypatch.setattr(X, "reports", lambda s, sf, group="F", brand=True: s.read.parquet(f"{tmp_path}/reports{group}"))
+    monkeypatch.setattr(X, "answers", lambda s, sf, kind, group="F", keys=(): s.read.parquet(f"{tmp_path}/{kind}{group}"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(load()[0][name](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = text.splitlines()
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    assert not any("laudo_tratado" in line for line in lines[:join + 1])
+    assert sum("Exchange hashpartitioning" in line for line in lines) >= 2
+    scan_side = [line for line in lines if "laudo_tratado" in line]
+    assert scan_side and all("Exchange" not in line and "Sort " not in line for line in scan_side)
+
+
 def test_scans_read_only_what_they_need(spark):
     text = plan(load()[0]["scan_reports"](spark, SF))
     assert "ReadSchema: struct<doc_id:bigint,lang:string,source:string,n_chars:bigint>" in text
