@@ -34,11 +34,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays; those without id stay."""
+    """Of each group of near copies the document with the smallest id stays.
+
+    Rows without id stay; of rows that share an id all go, or none if one of them has to stay.
+    """
     docs = docs.select(COLUMNS)
     marked = simhash.near_duplicates(docs)
-    gone = marked.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
+    gone = marked.groupBy("doc_id").agg(F.every(F.col("doc_id") != F.col("component_id")).alias("gone")).where("gone")
+    return docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,3 +71,12 @@ def test_stages_accept_nothing(spark):
     for _, stage in P.STAGES:
         left = stage(spark, left, SF)
         assert left.count() == 0
+
+
+def test_rows_that_share_an_id(spark):
+    """An id goes only if all its rows are copies of documents with smaller ids; rows without id stay."""
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(1, a), (9, a), (9, b), (12, a), (12, b), (None, a), (13, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = sorted(((r.doc_id, r.text) for r in P.near_dedup(spark, docs, SF).collect()), key=str)
+    assert kept == sorted([(1, a), (9, a), (9, b), (None, a)], key=str)
