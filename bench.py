@@ -31,7 +31,8 @@ def main():
         SparkSession.builder.master(f"local[{cpus}]").appName("careline-bench")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)
