@@ -10,6 +10,17 @@ from pyspark.sql import functions as F
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+#: Documents are long: what goes to Python at once is kept small, as it is held in memory on both sides.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """The session with Arrow batches that suit whole documents."""
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; one of our own only on a local master without that setting."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

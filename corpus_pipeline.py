@@ -5,6 +5,7 @@ Each stage takes ``(spark, docs, sf_dir)`` and works on all rows that the stage
 there, so a lost executor costs at most the work of one stage.
 """
 
+import functools
 import uuid
 
 import public_tokenizers
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from careline.llm import bpe, decontaminate, langid, lines, simhash
-from careline.llm.common import checkpoint_dir
+from careline.llm.common import checkpoint_dir, small_batches
 from careline.llm.queries import RANKS, language_model, sha
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -20,6 +21,17 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 MIN_SCORE = 0.25
 
 
+def stage(work):
+    """A stage function whose documents go to Python in small batches."""
+
+    @functools.wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return work(small_batches(spark), docs, sf_dir)
+
+    return run_stage
+
+
+@stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told stay; the model learns from the stage's own documents."""
     judged = langid.predict(docs.select(COLUMNS), language_model(docs), into="language")
@@ -27,12 +39,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where(kept).select(COLUMNS)
 
 
+@stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier document has go; documents stay, ``n_chars`` follows the text."""
     kept = lines.drop_repeated_lines(docs.select(COLUMNS))
     return kept.withColumn("n_chars", F.char_length("text").cast("bigint")).select(COLUMNS)
 
 
+@stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays.
 
@@ -44,11 +58,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(COLUMNS)
 
 
+@stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark's passages go."""
     return decontaminate.decontaminate(docs.select(COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@stage
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, their number, and whether the decoded bytes are the text's."""
     ids = bpe.encode(docs.select("doc_id", "text"), "text", RANKS, public_tokenizers.PATTERN)
@@ -68,7 +84,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+    for name, work in STAGES:
+        work(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
     return docs
