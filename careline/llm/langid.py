@@ -7,12 +7,12 @@ one machine for each pair of languages separates the two, and the language that
 duels is taken.
 """
 
-import re
 from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,7 +29,7 @@ DIMENSIONS = 4096
 #: Most labelled texts that are used for training, and most for one language.
 SAMPLE, PER_LANGUAGE = 2000, 500
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _TABLE = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 _CHUNK = 1 << 20
 

@@ -31,7 +31,7 @@ def test_only_the_text_decides(spark):
 
 
 def test_odd_texts(spark):
-    data = [(1, None), (2, ""), (3, "123 !? 45"), (4, " \n"), (5, "é"), (6, "the and of " * 30000), (7, "A."), (7, "A.")]
+    data = [(1, None), (2, ""), (3, "123 !? 45 ½ ²"), (4, " \n"), (5, "é"), (6, "the and of " * 30000), (7, "A."), (7, "A.")]
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in data], "doc_id bigint, text string, language string, score int")
     model = langid.Model(["en", "de", "fr"], np.array([langid.features(t) for t in ("the and of", "der und die", "le et la")]), langid.FAMILIES)
     got = [(r.language.lang_pred, r.language.score) for r in langid.predict(docs, model).collect()]
