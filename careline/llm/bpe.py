@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Entries kept by a worker's memo tables before they start anew; results do not depend on it.
-MEMO = 300_000
+MEMO = 200_000
 #: Longer segments are encoded without being remembered.
 MEMO_CHARS = 48
 
@@ -88,7 +88,7 @@ class Vocabulary:
         """
         known = self._pairs.get((left, right))
         if known is None:
-            if len(self._pairs) >= 2 * MEMO:
+            if len(self._pairs) >= MEMO:
                 self._pairs.clear()
             known = self._pairs[left, right] = self._seam_holds(left, right)
         return known
@@ -124,7 +124,7 @@ class Vocabulary:
             token = self.ranks.get(prefix[n - length:])
             if token is not None and self.whole(token) and (
                     length == n or self.follows(self.last_token(prefix[:n - length]), token)):
-                if len(self._prefixes) >= 2 * MEMO:
+                if len(self._prefixes) >= MEMO:
                     self._prefixes.clear()
                 self._prefixes[prefix] = token
                 return token
