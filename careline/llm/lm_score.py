@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 SIDE = 2
 CLASSES = WIDTH = 64
@@ -28,7 +29,7 @@ TOKENS = CLASSES * WIDTH
 HASHED = 512
 EMBEDDING, HIDDEN = 16, 32
 ROUNDS, MASKED, BATCH, RATE = 2, 0.15, 2048, 0.15
-_SCORED = 1 << 15
+_SCORED = 1 << 13
 _BLOCK = 1 << 13
 _SHAPES = {"e": (TOKENS, EMBEDDING), "w": (2 * SIDE * EMBEDDING, HIDDEN), "c": (HIDDEN, CLASSES), "d": (CLASSES,),
            "v": (CLASSES, HIDDEN, WIDTH), "u": (CLASSES, WIDTH)}
@@ -77,13 +78,22 @@ def contexts(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return line[at], line[at[:, None] + near]
 
 
-def _soft(x: np.ndarray) -> np.ndarray:
-    """Logarithms of chances from scores, in place."""
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Chances from scores, in place."""
     x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
     return x
 
 
+def _log_chance(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The logarithm of one chance of each row of scores; the scores are used up."""
+    x -= x.max(axis=1, keepdims=True)
+    own = x[np.arange(len(x)), chosen]
+    np.exp(x, out=x)
+    return own - np.log(x.sum(axis=1))
+
+
 def _segments(kind: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """Order by class, and (class, from, to) of each class's rows."""
     order = np.argsort(kind, kind="stable")
@@ -99,10 +109,9 @@ def log_chances(weights: dict[str, np.ndarray], words: np.ndarray, around: np.nd
         order, segments = _segments(word // WIDTH)
         word, near = word[order], near[order]
         h = np.tanh(weights["e"][near].reshape(len(word), -1) @ weights["w"])
-        rows = np.arange(len(word))
-        got = _soft(h @ weights["c"] + weights["d"])[rows, word // WIDTH].astype(np.float64)
+        got = _log_chance(h @ weights["c"] + weights["d"], word // WIDTH).astype(np.float64)
         for c, a, b in segments:
-            got[a:b] += _soft(h[a:b] @ weights["v"][c] + weights["u"][c])[rows[:b - a], word[a:b] % WIDTH]
+            got[a:b] += _log_chance(h[a:b] @ weights["v"][c] + weights["u"][c], word[a:b] % WIDTH)
         out[at + order] = got
     return out
 
@@ -126,13 +135,13 @@ class Trainer:
         w, rows = self.weights, np.arange(n)
         x = w["e"][near].reshape(n, -1)
         h = np.tanh(x @ w["w"])
-        by_class = np.exp(_soft(h @ w["c"] + w["d"]))
+        by_class = _softmax(h @ w["c"] + w["d"])
         by_class[rows, word // WIDTH] -= 1
         by_class /= n
         back = by_class @ w["c"].T
         moves = []
         for c, a, b in segments:
-            inner = np.exp(_soft(h[a:b] @ w["v"][c] + w["u"][c]))
+            inner = _softmax(h[a:b] @ w["v"][c] + w["u"][c])
             inner[rows[:b - a], word[a:b] % WIDTH] -= 1
             inner /= n
             back[a:b] += inner @ w["v"][c].T
@@ -176,8 +185,11 @@ def vocabulary(docs: DataFrame, text: str) -> list[str]:
         yield counted()
 
     counts = docs.select(text).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(TOKENS - HASHED - 1)
-    return [r.word for r in top.collect()]
+    # ranked in 64 groups first: what reaches the driver does not grow with the number of tasks
+    most = TOKENS - HASHED - 1
+    group = Window.partitionBy(F.pmod(F.xxhash64("word"), F.lit(64))).orderBy(F.desc("n"), "word")
+    top = counts.withColumn("rank", F.row_number().over(group)).where(F.col("rank") <= most)
+    return [r.word for r in top.orderBy(F.desc("n"), "word").limit(most).collect()]
 
 
 def _mean(table: pa.Table) -> pa.Table:
