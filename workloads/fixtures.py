@@ -147,8 +147,12 @@ def raw_returns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def report_documents(spark: SparkSession, sf: str, items) -> DataFrame:
-    """Whole documents with a report sentence after the prose."""
-    return table(spark, sf, "documents").selectExpr(
+    """Whole documents with a report sentence after the prose.
+
+    The test table is one row group, which one task would search alone; a table of
+    many files needs no exchange here.
+    """
+    return table(spark, sf, "documents").repartition("doc_id").selectExpr(
         "doc_id", "lang", f"text || ' ' || {pick('spark', items, 'doc_id')} AS laudo_tratado"
     )
 
