@@ -7,9 +7,9 @@ layers of 64 instead of one of 4,096.  A document's score is the sum of the loga
 of all its words, each predicted with itself hidden.
 
 Training goes over all documents in rounds, each on its share of them.  In a round every task starts
-from the same weights, trains on a random part of the places of its documents (masking, as in masked
-language models) and gives its weights and the number of places; their weighted mean is the next
-round's start.
+from the same weights, trains on every place of its documents (the word there is hidden, as it is no
+input) and gives its weights and the number of places; their weighted mean is the next round's start.
+So each place of the corpus is trained on once.
 """
 
 import zlib
@@ -28,7 +28,7 @@ TOKENS = CLASSES * WIDTH
 #: Numbers kept for hashed words; the others go to the most frequent ones, and the first is the text's edge.
 HASHED = 512
 EMBEDDING, HIDDEN = 16, 32
-ROUNDS, MASKED, BATCH, RATE = 2, 0.15, 2048, 0.15
+ROUNDS, MASKED, BATCH, RATE = 2, 1.0, 2048, 0.15
 _SCORED = 1 << 13
 _BLOCK = 1 << 13
 _SHAPES = {"e": (TOKENS, EMBEDDING), "w": (2 * SIDE * EMBEDDING, HIDDEN), "c": (HIDDEN, CLASSES), "d": (CLASSES,),
@@ -101,6 +101,14 @@ def _segments(kind: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]
     return order, [(c, a, b) for c, (a, b) in enumerate(zip(np.r_[0, ends[:-1]], ends)) if a < b]
 
 
+def _within(weights: dict[str, np.ndarray], h: np.ndarray, kind: np.ndarray, segments: list[tuple[int, int, int]]) -> np.ndarray:
+    """Scores of the words of each row's class."""
+    out = weights["u"][kind]
+    for c, a, b in segments:
+        out[a:b] += h[a:b] @ weights["v"][c]
+    return out
+
+
 def log_chances(weights: dict[str, np.ndarray], words: np.ndarray, around: np.ndarray) -> np.ndarray:
     """The logarithm of each word's chance between the words around it."""
     out = np.empty(len(words), np.float64)
@@ -110,9 +118,7 @@ def log_chances(weights: dict[str, np.ndarray], words: np.ndarray, around: np.nd
         word, near = word[order], near[order]
         h = np.tanh(weights["e"][near].reshape(len(word), -1) @ weights["w"])
         got = _log_chance(h @ weights["c"] + weights["d"], word // WIDTH).astype(np.float64)
-        for c, a, b in segments:
-            got[a:b] += _log_chance(h[a:b] @ weights["v"][c] + weights["u"][c], word[a:b] % WIDTH)
-        out[at + order] = got
+        out[at + order] = got + _log_chance(_within(weights, h, word // WIDTH, segments), word % WIDTH)
     return out
 
 
@@ -139,20 +145,20 @@ class Trainer:
         by_class[rows, word // WIDTH] -= 1
         by_class /= n
         back = by_class @ w["c"].T
-        moves = []
+        inner = _softmax(_within(w, h, word // WIDTH, segments))
+        inner[rows, word % WIDTH] -= 1
+        inner /= n
+        to_v, to_u = np.zeros_like(w["v"]), np.zeros_like(w["u"])
         for c, a, b in segments:
-            inner = _softmax(h[a:b] @ w["v"][c] + w["u"][c])
-            inner[rows[:b - a], word[a:b] % WIDTH] -= 1
-            inner /= n
-            back[a:b] += inner @ w["v"][c].T
-            moves.append((c, h[a:b].T @ inner, inner.sum(axis=0)))
+            back[a:b] += inner[a:b] @ w["v"][c].T
+            np.matmul(h[a:b].T, inner[a:b], out=to_v[c])
+            inner[a:b].sum(axis=0, out=to_u[c])
         back *= 1 - h * h
         to_x = (back @ w["w"].T).reshape(-1, EMBEDDING)
         self._move("c", h.T @ by_class)
         self._move("d", by_class.sum(axis=0))
-        for c, v, u in moves:
-            self._move("v", v, c)
-            self._move("u", u, c)
+        self._move("v", to_v)
+        self._move("u", to_u)
         self._move("w", x.T @ back)
         slot = near.ravel()
         by = np.argsort(slot, kind="stable")
@@ -215,14 +221,15 @@ def train(docs: DataFrame, text: str, words: list[str], *, rounds: int = ROUNDS,
             random, left = np.random.default_rng(turn), [np.zeros(0, np.int32), np.zeros((0, 2 * SIDE), np.int32)]
             for texts in _texts(batches):
                 word, near = contexts([of(t) for t in texts])
-                chosen = np.flatnonzero(random.random(len(word)) < masked)
-                word, near = np.concatenate([left[0], word[chosen]]), np.concatenate([left[1], near[chosen]])
+                if masked < 1:
+                    chosen = np.flatnonzero(random.random(len(word)) < masked)
+                    word, near = word[chosen], near[chosen]
+                word, near = np.concatenate([left[0], word]), np.concatenate([left[1], near])
                 mixed = random.permutation(len(word))
-                word, near = word[mixed], near[mixed]
                 full = len(word) // batch * batch
                 for at in range(0, full, batch):
-                    trainer.step(word[at:at + batch], near[at:at + batch])
-                left = [word[full:], near[full:]]
+                    trainer.step(word[mixed[at:at + batch]], near[mixed[at:at + batch]])
+                left = [word[mixed[full:]], near[mixed[full:]]]
             if len(left[0]):
                 trainer.step(*left)
             if trainer.n:

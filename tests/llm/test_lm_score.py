@@ -64,6 +64,14 @@ def test_training_tells_order_from_disorder(spark):
     assert mean(fresh, weights) > -np.log(90)  # better than any prediction that ignores the neighbours
 
 
+def test_every_place_is_trained_on(spark):
+    """Each word stands beside one other word only, so its embedding moves if that place is trained on."""
+    df = spark.createDataFrame([(f"left{i} right{i}",) for i in range(300)], "text string").repartition(2)
+    words = lm_score.vocabulary(df, "text")
+    moved = lm_score.train(df, "text", words)["e"] != lm_score.start_weights()["e"]
+    assert len(words) == 600 and moved.any(axis=1)[1:601].all()
+
+
 def test_query_and_empty_tables(spark):
     got = op1_lm_score(spark, SF).collect()
     docs = spark.read.parquet(f"{SF}/documents.parquet")
