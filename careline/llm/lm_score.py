@@ -1,10 +1,12 @@
 """Masked pseudo-likelihood: how well each word of a text can be told from the words on both sides.
 
 A small network sees the two words before and the two behind a place and predicts the word there.
-Words are numbered by a vocabulary of the corpus; the rest share hashed numbers.  A word's chance is
-that of its class times that of the word within the class (64 classes of 64 words), which costs two
-layers of 64 instead of one of 4,096.  A document's score is the sum of the logarithms of the chances
-of all its words, each predicted with itself hidden.
+Words are numbered by a vocabulary of the corpus; the rest share hashed numbers.  A number's chance is
+that of its class times that of the number within the class (64 classes of 64 numbers), which costs two
+layers of 64 instead of one of 4,096.  A hashed word's chance is its number's times the word's share of
+the number's occurrences in the corpus; these counts stay in a table, whatever the number of words.  A
+document's score is the sum of the logarithms of the chances of all its words, each predicted with
+itself hidden.
 
 Training goes over all documents in rounds, each on its share of them.  In a round every task starts
 from the same weights, trains on every place of its documents (the word there is hidden, as it is no
@@ -15,6 +17,7 @@ So each place of the corpus is trained on once.
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from careline.llm.common import cut
+
 SIDE = 2
 CLASSES = WIDTH = 64
 TOKENS = CLASSES * WIDTH
@@ -173,8 +178,8 @@ def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[list[str | None]]:
             yield batch.column(0)[at:at + 256].to_pylist()
 
 
-def vocabulary(docs: DataFrame, text: str) -> list[str]:
-    """The most frequent words of all documents; ties in order of the word."""
+def word_counts(docs: DataFrame, text: str) -> DataFrame:
+    """Every word of all documents and how often it occurs: ``word`` and ``n``."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
@@ -190,7 +195,16 @@ def vocabulary(docs: DataFrame, text: str) -> list[str]:
                 seen.clear()
         yield counted()
 
-    counts = docs.select(text).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(text).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def vocabulary(docs: DataFrame, text: str) -> list[str]:
+    """The most frequent words of all documents; ties in order of the word."""
+    return most_frequent(word_counts(docs, text))
+
+
+def most_frequent(counts: DataFrame) -> list[str]:
+    """The vocabulary's words, of the counts of all words."""
     # ranked in 64 groups first: what reaches the driver does not grow with the number of tasks
     most = TOKENS - HASHED - 1
     group = Window.partitionBy(F.pmod(F.xxhash64("word"), F.lit(64))).orderBy(F.desc("n"), "word")
@@ -249,8 +263,66 @@ def train(docs: DataFrame, text: str, words: list[str], *, rounds: int = ROUNDS,
     return weights
 
 
-def score(docs: DataFrame, words: list[str], weights: dict[str, np.ndarray], text: str = "text", into: str = "lm") -> DataFrame:
-    """``docs`` with the struct ``into``: n_words, and log_likelihood, the sum over all words of the text."""
+def hashed_words(docs: DataFrame, text: str, words: list[str]) -> DataFrame:
+    """The words outside the vocabulary: keys of the text, word, occurrences, and 1 in one row of each text's copy."""
+    shared = docs.sparkSession.sparkContext.broadcast(frozenset(words))
+
+    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, names = shared.value.__contains__, ["__h1", "__h2", "word", "n", "copy"]
+        for batch in batches:
+            h1, h2 = batch.column("__h1").to_numpy(), batch.column("__h2").to_numpy()
+            found, n, rows, first = [], [], [], []
+
+            def rest() -> pa.RecordBatch:
+                copy = np.zeros(len(found), np.int64)
+                copy[first] = 1
+                return pa.RecordBatch.from_arrays([pa.array(h1[rows]), pa.array(h2[rows]), pa.array(found, pa.string()), pa.array(n, pa.int64()),
+                                                   pa.array(copy)], names)
+
+            for i in range(batch.num_rows):
+                own = Counter(filterfalse(known, (batch.column("__text")[i].as_py() or "").split()))
+                if own:
+                    first.append(len(found))
+                    found += own.keys()
+                    n += own.values()
+                    rows += [i] * len(own)
+                if len(found) > 50_000:
+                    yield rest()
+                    found, n, rows, first = [], [], [], []
+            if found:
+                yield rest()
+
+    kind = "__h1 bigint, __h2 bigint, word string, n bigint, copy bigint"
+    return docs.select(*_text_key(text), F.col(text).alias("__text")).mapInArrow(find, kind)
+
+
+def _text_key(text: str) -> list:
+    return [F.xxhash64(F.col(text)).alias("__h1"), F.xxhash64(F.lit(1), F.col(text)).alias("__h2")]
+
+
+def share_sums(docs: DataFrame, text: str, words: list[str], counts: DataFrame) -> DataFrame:
+    """For each text with words outside the vocabulary the sum of the logarithms of their shares.
+
+    A word that was counted ``n`` times, in a slot of ``total`` occurrences, has the share
+    n / (total + 1); what is left, 1 / (total + 1), is for the words that were not counted.
+    """
+    slot = (F.crc32(F.col("word").cast("binary")) % HASHED).alias("slot")
+    known = docs.sparkSession.createDataFrame(pa.table({"word": pa.array(words, pa.string())}))
+    counted = counts.join(F.broadcast(known), "word", "left_anti")
+    slots = counted.groupBy(slot).agg(F.sum("n").alias("total"))
+    found = hashed_words(docs, text, words).withColumn("slot", slot).join(F.broadcast(slots), "slot", "left")
+    found = found.join(counted.withColumnRenamed("n", "counted"), "word", "left")
+    share = F.log(F.coalesce("counted", F.lit(1)) / (F.coalesce("total", F.lit(0)) + 1))
+    # copies of a text bring their words once each, and get one sum
+    return found.groupBy("__h1", "__h2").agg((F.sum(F.col("n") * share) / F.sum("copy")).alias("__shares"))
+
+
+def score(docs: DataFrame, words: list[str], weights: dict[str, np.ndarray], text: str = "text", into: str = "lm",
+          counts: DataFrame | None = None) -> DataFrame:
+    """``docs`` with the struct ``into``: n_words, and log_likelihood, the sum over all words of the text.
+
+    Without ``counts`` (of ``word_counts``) a word outside the vocabulary has the chance of its whole slot.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((words, flat(weights)))
 
     @F.arrow_udf("struct<n_words: bigint, log_likelihood: double>")
@@ -265,7 +337,12 @@ def score(docs: DataFrame, words: list[str], weights: dict[str, np.ndarray], tex
             total[at:at + 256] = np.bincount(np.repeat(np.arange(len(size)), size), got, len(size))
         return pa.StructArray.from_arrays([pa.array(n), pa.array(total)], ["n_words", "log_likelihood"])
 
-    return docs.withColumn(into, judge(F.col(text)))
+    if counts is None:
+        return docs.withColumn(into, judge(F.col(text)))
+    keys = dict(zip(("__h1", "__h2"), _text_key(text)))
+    scored = docs.withColumns(keys | {into: judge(F.col(text))}).join(share_sums(docs, text, words, counts), ["__h1", "__h2"], "left")
+    total = F.col(into)["log_likelihood"] + F.coalesce("__shares", F.lit(0.0))
+    return scored.withColumn(into, F.struct(F.col(into)["n_words"].alias("n_words"), total.alias("log_likelihood"))).drop("__h1", "__h2", "__shares")
 
 
 def pseudo_likelihood(docs: DataFrame, text: str = "text", into: str = "lm") -> DataFrame:
@@ -275,9 +352,13 @@ def pseudo_likelihood(docs: DataFrame, text: str = "text", into: str = "lm") ->
     of such texts, or none, is scored by the untrained network.  Texts count as often as they occur,
     and copies score alike.  Other columns stay, one named like ``into`` is replaced.
 
+    Every counted word has a chance of its own; see ``share_sums``.
+
     The text is read once to count words, once in each round (whose share of the rows is parted by a
-    hash of the text) and once to score.  The driver gets the vocabulary and the weights, whose sizes
-    do not depend on the corpus; what tasks send grows with their number.
+    hash of the text), once to score and once for the words outside the vocabulary, which meet their
+    counts in a shuffle by word.  The driver gets the vocabulary and the weights, whose sizes do not
+    depend on the corpus; what tasks send grows with their number.
     """
-    words = vocabulary(docs, text)
-    return score(docs, words, train(docs, text, words), text, into)
+    counts = cut(word_counts(docs, text))
+    words = most_frequent(counts)
+    return score(docs, words, train(docs, text, words), text, into, counts)

@@ -1,4 +1,6 @@
 import random
+import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -72,6 +74,41 @@ def test_every_place_is_trained_on(spark):
     assert len(words) == 600 and moved.any(axis=1)[1:601].all()
 
 
+def test_hashed_words_have_chances_of_their_own(spark):
+    """Words outside the vocabulary: slot chance times n / (total + 1), the rest for words not counted."""
+    random.seed(4)
+    texts = [None, "", " ".join(f"w{i}" for i in range(9000)), *(" ".join(f"w{random.randint(0, 8999)}" for _ in range(1000)) for _ in range(40))]
+    texts.append(texts[7])
+    n = Counter(w for t in texts for w in (t or "").split())
+    df = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id bigint, text string, lm int").repartition(3)
+    counts = lm_score.word_counts(df, "text")
+    assert {r.word: r.n for r in counts.collect()} == n
+    words, weights = lm_score.most_frequent(counts), lm_score.start_weights()
+    known, total = set(words), Counter()
+    slot = lambda w: zlib.crc32(w.encode()) % lm_score.HASHED
+    for w in n.keys() - known:
+        total[slot(w)] += n[w]
+
+    def shares(t):
+        return sum(np.log(max(n[w], 1) / (total[slot(w)] + 1)) for w in (t or "").split() if w not in known)
+
+    def both(docs):
+        plain = {r.doc_id: r.lm.log_likelihood for r in lm_score.score(docs, words, weights).collect()}
+        got = lm_score.score(docs, words, weights, counts=counts)
+        assert got.columns == ["doc_id", "text", "lm"]
+        return [(r.text, r.lm.log_likelihood - plain[r.doc_id]) for r in got.collect()]
+
+    got = both(df)
+    assert len(got) == len(texts) and sum(shares(t) < 0 for t, _ in got) == 42
+    assert all(abs(d - shares(t)) < 1e-6 * max(1, -shares(t)) for t, d in got)
+    new = spark.createDataFrame([(1, "never before seen", 0)], "doc_id bigint, text string, lm int")
+    assert abs(both(new)[0][1] - shares("never before seen")) < 1e-9
+    trained = lm_score.train(df, "text", words)
+    whole = {r.doc_id: r.lm.log_likelihood for r in lm_score.pseudo_likelihood(df).collect()}
+    want = lm_score.log_chances(trained, *lm_score.contexts([lm_score.Numbers(words).of(texts[2])])).sum() + shares(texts[2])
+    assert abs(whole[2] - want) < 1e-2 * -want and abs(whole[7] - whole[len(texts) - 1]) < 1e-3
+
+
 def test_query_and_empty_tables(spark):
     got = op1_lm_score(spark, SF).collect()
     docs = spark.read.parquet(f"{SF}/documents.parquet")
