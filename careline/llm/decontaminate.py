@@ -8,6 +8,7 @@ goes as deep as a window; matches are then followed word by word to their full l
 """
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,8 @@ BLOCK_BYTES = 2 << 20
 SHARD_WORDS = 1 << 20
 #: Word pairs that a suffix must begin with, where windows are that long.
 _LEAD = 4
+#: Matches that are followed at once.
+_PAIRS = 1 << 18
 
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _SPANS = "array<struct<start: int, stop: int>>"
@@ -61,10 +64,13 @@ class Block:
         for k, w in enumerate(windows):
             self.windows[k, :len(w)] = w
         self.owners = [sorted({i for i, _ in found[w]}) for w in windows]
-        first = [min(found[w], key=lambda at: (self.names[at[0]], at[1])) for w in windows]
-        self.first_item = np.array([i for i, _ in first], np.int64)
-        self.first_at = np.array([j for _, j in first], np.int64)
-        self.first_text = starts[self.first_item] + self.first_at if windows else np.zeros(0, np.int64)
+        #: Every place of every window, in order of the window and of the word to the left (0: the item begins).
+        places = np.array([(k, i, j) for k, w in enumerate(windows) for i, j in found[w]], np.int64).reshape(-1, 3)
+        text_at = starts[places[:, 1]] + places[:, 2]
+        key = places[:, 0] * (len(self.numbers) + 1) + np.where(places[:, 2] > 0, self.text[text_at - 1], 0)
+        order = np.argsort(key, kind="stable")
+        self.place_key, self.place_text = key[order], text_at[order]
+        self.place_item, self.place_at = places[order, 1], places[order, 2]
         self.lead = min(_LEAD, int(self.length.min()) - 1) if windows else 0
         rows = np.flatnonzero((self.text[:-1] > 0) & (self.text[1:] > 0))
         self.pairs = np.zeros(1 << 22, bool)
@@ -120,19 +126,35 @@ class Block:
         window = np.repeat(np.arange(len(n)), n)
         return window, places[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)]
 
-    def longest(self, text: np.ndarray, window: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Matches that no word to the left makes longer, and their full length."""
-        there = self.first_text[window]
-        free = ((at == 0) | (there == 0) | (text[at - 1] != self.text[there - 1]) | (text[at - 1] == 0))
-        window, at, there = window[free], at[free], there[free]
-        n, padded = self.length[window].copy(), np.concatenate([text, [0]])
+    def longest(self, text: np.ndarray, window: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Matches that no word to the left makes longer, and their full length: place, position, words.
+
+        Each place of a window is tried, but for those with the document's word on their left: these are
+        parts of longer matches.
+        """
+        most = len(self.numbers) + 1
+        left = np.where(at > 0, text[at - 1], 0)
+        bounds = [np.searchsorted(self.place_key, k, side) for k, side in (
+            (window * most, "left"), (window * most + left, "left"), (window * most + left, "right"), ((window + 1) * most, "left"))]
+        bounds[2] = np.where(left > 0, bounds[2], bounds[1])  # a word that no item has, or none
+        for low, high in (bounds[:2], bounds[2:]):
+            ends = np.cumsum(high - low)
+            for start in range(0, int(ends[-1]) if len(ends) else 0, _PAIRS):
+                pair = np.arange(start, min(start + _PAIRS, int(ends[-1])))
+                row = np.searchsorted(ends, pair, "right")
+                place = high[row] - ends[row] + pair
+                yield place, at[row], self.followed(text, at[row], place, self.length[window[row]])
+
+    def followed(self, text: np.ndarray, at: np.ndarray, place: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Words that matches of ``n`` words have in full."""
+        there, n, padded = self.place_text[place], n.copy(), np.concatenate([text, [0]])
         going = np.arange(len(at))
         while len(going):
             a, b = at[going] + n[going], there[going] + n[going]
             going = going[(a < len(padded)) & (padded[np.minimum(a, len(padded) - 1)] > 0) & (
                 padded[np.minimum(a, len(padded) - 1)] == self.text[np.minimum(b, len(self.text) - 1)])]
             n[going] += 1
-        return window, at, n
+        return n
 
 
 def search_shard(block: Block, texts: list[list[bytes]]) -> list[dict]:
@@ -157,10 +179,12 @@ def search_shard(block: Block, texts: list[list[bytes]]) -> list[dict]:
         out[d]["spans"] = [{"start": int(x), "stop": int(y)} for x, y in zip(a[begins], far[np.r_[begins[1:] - 1, len(a) - 1]])]
         held = set().union(*[block.owners[w] for w in np.unique(window[rows])])
         out[d]["items"] = sorted({block.names[i] for i in held})
-    window, at, n = block.longest(text, window, at)
-    for d, w, p, k in zip(np.searchsorted(ends, at, "right"), window, at, n):
-        out[d]["matches"].append({"item_id": block.names[block.first_item[w]], "item_start": int(block.first_at[w]),
-                                  "doc_start": int(p - starts[d]), "n_words": int(k)})
+    for place, at, n in block.longest(text, window, at):
+        for d, w, p, k in zip(np.searchsorted(ends, at, "right"), place, at, n):
+            out[d]["matches"].append({"item_id": block.names[block.place_item[w]], "item_start": int(block.place_at[w]),
+                                      "doc_start": int(p - starts[d]), "n_words": int(k)})
+    for d in np.unique(doc):
+        out[d]["matches"].sort(key=lambda m: (m["doc_start"], m["item_id"], m["item_start"]))
     return out
 
 
@@ -209,8 +233,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     one window.  ``spans`` are the runs of document words inside an occurrence of a window (start and
     stop), ``n_hit`` their number of words, ``items`` the ids (as strings, sorted) of items of which a
     window occurs, and ``contaminated`` says that n_hit > 0 and 20 * n_hit >= n_words.  ``matches``
-    are the longest verbatim matches: item, word offsets in item and document, words; where items
-    share a passage, the first by id stands for all.  Null and empty texts have no words, on either
+    are the longest verbatim matches, each that neither side can make longer, with every item and at
+    every place of it: item, word offsets in item and document, words.  Null and empty texts have no words, on either
     side; a null item id is written ``null``; items that agree in id and text count once; an empty
     benchmark finds nothing.  Input columns stay, but one named like ``into`` is replaced.
 

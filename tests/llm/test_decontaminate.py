@@ -58,6 +58,39 @@ def test_matches_are_verbatim_and_maximal(tables):
     assert seen > 50
 
 
+def longest(doc, items, size=13):
+    """All matches that cannot be made longer, by comparing every place of a document with every place of an item."""
+    out = set()
+    for name, b in items:
+        for i in range(len(doc)):
+            for j in range(len(b)):
+                n = 0
+                while i + n < len(doc) and j + n < len(b) and doc[i + n] == b[j + n]:
+                    n += 1
+                if n >= min(size, len(b)) and (i == 0 or j == 0 or doc[i - 1] != b[j - 1]):
+                    out.add((name, j, i, n))
+    return out
+
+
+def test_all_longest_matches_are_found(spark, tables):
+    """Items that share windows, one that holds a window twice, and the random tables: as by brute force."""
+    docs, items, left, right = tables
+    w, q = " ".join(f"w{i}" for i in range(13)), " ".join(f"q{i}" for i in range(50))
+    some = [("a", w), ("b", f"{w} {q}"), ("c", f"x {w} y {w} {q} z"), ("d", f"{'re ' * 20}end")]
+    own = [(1, f"{w} {q}"), (2, f"x {w} {q}"), (3, f"y {w} y {w}"), (4, "re " * 30), (5, f"{q} {w}")]
+    few = spark.createDataFrame(own, "doc_id bigint, text string"), spark.createDataFrame(some, "item_id string, text string")
+    docs = [d for d in docs if d[0] != 93]
+    named = [("null" if i is None else str(i), t) for i, t in items]
+    for texts, names, frames in ((own, some, few), (docs, named, (left.where("doc_id != 93"), right))):
+        names = sorted({(i, tuple(decontaminate.words(t))) for i, t in names})
+        want = {i: longest(decontaminate.words(t), names) for i, t in texts}
+        for block_bytes in (1 << 20, 700):
+            got = decontaminate.contamination(*frames, block_bytes=block_bytes).collect()
+            assert all(len(r.hits.matches) == len(set(r.hits.matches)) for r in got)
+            assert {r.doc_id: {(m.item_id, m.item_start, m.doc_start, m.n_words) for m in r.hits.matches} for r in got} == want
+    assert ("b", 0, 0, 63) in longest(decontaminate.words(own[0][1]), [(i, decontaminate.words(t)) for i, t in some])
+
+
 def test_empty_tables(tables):
     _, _, left, right = tables
     assert decontaminate.decontaminate(left, right.limit(0)).count() == left.count()
