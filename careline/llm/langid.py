@@ -84,14 +84,11 @@ class Model:
                 self.pairs[a, b] = _machine(x[rows], np.where(own[rows] == a, 1, -1))
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Language and score of each row: the family's share of the chances times the mean chance of
-        the winner's duels."""
+        """Language and score of each row: the chance that the best family's machine gives times the mean
+        chance of the winner's duels.  The number of families does not enter, so a floor means the same for any."""
         one, n = np.hstack([x, np.ones((len(x), 1), np.float32)]), len(x)
-        share = np.ones((n, 1))
-        if self.family is not None:
-            share = _chance(one @ self.family.T)
-            share /= share.sum(axis=1, keepdims=True)
-        best = share.argmax(axis=1)
+        by_family = np.ones((n, 1)) if self.family is None else _chance(one @ self.family.T)
+        best = by_family.argmax(axis=1)
         out, score = np.empty(n, object), np.zeros(n)
         for k, members in enumerate(self.families.values()):
             rows = np.flatnonzero(best == k)
@@ -105,7 +102,7 @@ class Model:
             top = np.lexsort((chance, wins), axis=1)[:, -1] if len(members) > 1 else np.zeros(len(rows), int)
             duels = chance[np.arange(len(rows)), top] / (len(members) - 1) if len(members) > 1 else 1.0
             out[rows] = np.array(members, object)[top]
-            score[rows] = share[rows, k] * duels
+            score[rows] = by_family[rows, k] * duels
         return out, score
 
 

@@ -40,6 +40,19 @@ def test_odd_texts(spark):
     assert langid.predict(docs.limit(0), model).count() == 0
 
 
+def test_score_does_not_depend_on_the_number_of_families():
+    """Machines that give a family nothing leave the score of the others as it is."""
+    texts = ["the and of with", "der und die mit", "le et la avec"]
+    model = langid.Model(["en", "de", "fr"], np.array([langid.features(t) for t in texts]), langid.FAMILIES)
+    x = np.array([langid.features(t) for t in texts])
+    before = model.predict(x)
+    nothing = np.zeros_like(model.family[:1])
+    model.families |= {f"f{i}": [f"f{i}"] for i in range(5)}
+    model.family = np.vstack([model.family, *[nothing] * 5])
+    after = model.predict(x)
+    assert before[0].tolist() == after[0].tolist() == ["en", "de", "fr"] and np.array_equal(before[1], after[1])
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "some words", None), (2, "12", "en"), (3, None, "en")], "doc_id bigint, text string, lang string")
     assert langid.train(docs) is None

@@ -41,6 +41,26 @@ def test_run_matches_brute_force(spark, tmp_path):
     assert all(r.round_trip for r in got)
 
 
+FOREIGN = [
+    "De oude man liep langzaam door het bos en dacht aan de dagen van zijn jeugd toen alles nog anders was.",
+    "Wczoraj wieczorem poszedłem do sklepu, żeby kupić chleb i mleko, ale sklep był już zamknięty.",
+    "Eilen illalla kävelin metsässä ja näin suuren hirven, joka katsoi minua hetken ja juoksi pois.",
+    "Вчера вечером мы долго гуляли по старому городу и говорили о книгах, которые недавно прочитали.",
+    "昨天晚上我们在老城里散步了很久，谈论最近读过的书。",
+    "Χθες το βράδυ περπατήσαμε πολλή ώρα στην παλιά πόλη και μιλήσαμε για βιβλία."]
+JUNK = ["x 1234 5678 9999 !!! ??? ### 0000", "zxqj kkkk wvvw qqxz jjjj zzzk xqxq vvkk", "$$$ 12.50 | 13.70 | 99 a", "asdf jkl qwer uiop zxcv bnm asdfgh"]
+
+
+def test_foreign_and_junk_texts_with_letters_go(spark):
+    """Texts without id are never learned from; documents of the corpus stay, held out or not."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(P.COLUMNS)
+    odd = spark.createDataFrame([(None, t, "en", "s", len(t)) for t in FOREIGN + JUNK], docs.schema)
+    kept = [r.text for r in P.language_id(spark, docs.unionByName(odd), SF).select("text").collect()]
+    assert set(FOREIGN + JUNK).isdisjoint(kept)
+    lettered = docs.where(F.col("text").rlike(r"\p{L}")).count()
+    assert 0.998 * lettered <= len(kept) <= lettered
+
+
 def drop_lines(rows):
     def key(line):
         return line.strip(" \t\n\x0b\x0c\r").translate(brute.LOWER)
