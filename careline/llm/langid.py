@@ -124,7 +124,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     order = Window.partitionBy("lang").orderBy(F.xxhash64("k"), "k")
     # ids alone are ranked; the sample's bound, not the corpus, bounds what is broadcast
     chosen = rows.select("k", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= most)
-    chosen = F.broadcast(chosen.select(F.col("k").alias("k2"), F.col("lang").alias("lang2")))
+    chosen = F.broadcast(chosen.select(F.col("k").alias("k2"), F.col("lang").alias("lang2")).distinct())
 
     def vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,16 +132,13 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("k"), pa.array(x, pa.binary())], ["lang", "k", "x"])
 
     kind = rows.schema["k"].dataType.simpleString()
-    got = (rows.join(chosen, F.col("k").eqNullSafe(F.col("k2")) & (F.col("lang") == F.col("lang2"))).select("lang", "k", "text")
-           .mapInArrow(vectors, f"lang string, k {kind}, x binary").toArrow().sort_by([("lang", "ascending"), ("k", "ascending")]))
-    # rows that share a key may bring more than was chosen; the bound holds all the same
-    langs, seen, keep = got.column("lang").to_pylist(), {}, []
-    for i, a in enumerate(langs):
-        seen[a] = seen.get(a, 0) + 1
-        if seen[a] <= most:
-            keep.append(i)
-    x = np.frombuffer(b"".join(got.column("x").take(keep).to_pylist()), np.float32).reshape(-1, DIMENSIONS)
-    return Model([langs[i] for i in keep], x, families)
+    # rows that share a key may be more than was chosen: each task passes on as many as the bound has room for
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("k"), "k", F.xxhash64("text"))
+    sampled = (rows.join(chosen, F.col("k").eqNullSafe(F.col("k2")) & (F.col("lang") == F.col("lang2"))).select("lang", "k", "text")
+               .withColumn("n", F.row_number().over(order)).where(F.col("n") <= most).select("lang", "k", "text"))
+    got = sampled.mapInArrow(vectors, f"lang string, k {kind}, x binary").toArrow().sort_by([(c, "ascending") for c in ("lang", "k", "x")])
+    x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(-1, DIMENSIONS)
+    return Model(got.column("lang").to_pylist(), x, families)
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text", into: str = "language") -> DataFrame:

@@ -74,6 +74,16 @@ def test_sample_is_bounded(spark):
     assert model.langs == ["de", "en"]
 
 
+def test_rows_of_one_id_are_cut_before_the_collect(spark, monkeypatch):
+    docs = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(7).alias("doc_id"),
+                                    F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij").alias("text"), F.lit("en").alias("lang"))
+    collect, rows = type(docs).toArrow, []
+    monkeypatch.setattr(type(docs), "toArrow", lambda df: rows.append(got := collect(df)) or got)
+    langid.train(docs, per_language=2000, sample=2000)
+    langid.train(docs.where("doc_id = 7"), per_language=50)
+    assert [t.num_rows for t in rows] == [2000, 50] and len(set(rows[1].column("x").to_pylist())) == 50
+
+
 def test_long_texts_are_read_to_the_end():
     a = "x" * langid._CHUNK * 2 + " zebra crossing"
     counts = langid.features(a)
