@@ -154,11 +154,23 @@ _PADDED = "replace(laudo_tratado, ' ', repeat(' ', 400))"
     + f" FROM (SELECT ficha, id_item, {_PADDED} AS laudo_tratado FROM reports WHERE id_item = 1)")
 def padded_reports(spark, sf):
     """Every pattern label of first lines whose words stand 400 spaces apart."""
-    df = X.reports(spark, sf, brand=False).filter("id_item = 1").select("ficha", "id_item", F.expr(_PADDED).alias(TEXT))
+    return _padded_labels(X.reports(spark, sf, brand=False).filter("id_item = 1"))
+
+
+def _padded_labels(reports):
+    df = reports.select("ficha", "id_item", F.expr(_PADDED).alias(TEXT))
     out = pseudo_gold(pseudo_gold(df, "ihc"), "pathology")
     return out.select("ficha", "id_item", *[f"heu_{k}" for k in (*V.IHC_FIELDS, *V.PATHOLOGY_FIELDS[1:])])
 
 
+@register("padded_reports_every_item", "SELECT ficha, id_item, " + ", ".join(
+    f"{s} AS heu_{k}" for k, s in {**S.ihc(S.T), **{n: s for n, s in S.pathology(S.T).items() if n != V.PATHOLOGY_FIELDS[0]}}.items())
+    + f" FROM (SELECT ficha, id_item, {_PADDED} AS laudo_tratado FROM reports)")
+def padded_reports_every_item(spark, sf):
+    """The same of all lines."""
+    return _padded_labels(X.reports(spark, sf, brand=False))
+
+
 # The prose has accented letters next to short words: the oracle replaces them by
 # a plain letter, so its ASCII word boundary sees what a Unicode one sees.
 _PLAIN = (r"regexp_replace(regexp_replace(lower(laudo_tratado), 'estr[oó]g([eê]nio|eno)', 'estrogeno', 'g'), "
