@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careline.llm import bpe, chat, decontaminate, langid, lines, lm_score, quality, sharding, simhash, substring
+from careline.llm import bpe, chat, decontaminate, filters, langid, lines, lm_score, quality, sharding, simhash, substring
 from careline.llm.common import small_batches
 from careline.llm.sql import ORACLES  # noqa: F401
 
@@ -106,6 +106,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_repeated_lines(docs).select("doc_id", "n_lines", "n_dropped", sha(F.col("text")).alias("kept_sha256"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all orders, by language."""
+    return filters.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_lm_score, op2_quality_rules, op3_decontamination, op4_chat_format, op5_byte_bpe, op6_language_id,
-    op7_substring_dedup, op8_sharding, op9_simhash, op10_line_dedup)}
+    op7_substring_dedup, op8_sharding, op9_simhash, op10_line_dedup, op11_filter_audit)}

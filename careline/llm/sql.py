@@ -128,4 +128,33 @@ SELECT doc_id, bytes, shard, CAST(depth AS INTEGER) AS depth, CAST(0 AS BIGINT)
 """
 
 
-ORACLES: dict[str, str] = {"op2_quality_rules": QUALITY_RULES, "op8_sharding": sharding(LIMIT_BYTES), "op3_decontamination": DECONTAMINATION, "op4_chat_format": CHAT_FORMAT, "op7_substring_dedup": SUBSTRING_DEDUP, "op10_line_dedup": LINE_DEDUP}
+FILTER_AUDIT = rf"""
+WITH w AS MATERIALIZED (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+d AS MATERIALIZED (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, [
+    len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+    regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS f
+  FROM w LEFT JOIN l USING (doc_id)),
+m AS MATERIALIZED (SELECT part, f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM d GROUP BY ALL),
+x AS (SELECT unnest(range(1, 6)) AS i),
+o AS MATERIALIZED (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (
+  SELECT part, array_to_string(list_transform(o, lambda k: 'ABCDE'[k]), '') AS filter_order, x.i AS step, o[x.i] AS own, n, good, toxic,
+    f[o[x.i]] AS fails, list_contains(list_transform(o[:x.i - 1], lambda k: f[k]), true) AS earlier, len(list_filter(f, lambda b: b)) AS n_fails
+  FROM m, o, x),
+r AS MATERIALIZED (
+  SELECT part, filter_order, step, own, sum(n) FILTER (NOT fails AND NOT earlier) AS kept, sum(n) FILTER (fails AND NOT earlier) AS removed,
+    sum(n) FILTER (fails AND earlier) AS redundant, sum(n) FILTER (fails AND n_fails = 1) AS unique_fails,
+    sum(good) FILTER (fails AND NOT earlier) AS good_lost, sum(toxic) FILTER (fails AND NOT earlier) AS toxic_lost
+  FROM s GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INT) AS step, {', '.join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in
+  ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost"))},
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM r
+"""
+
+
+ORACLES: dict[str, str] = {"op11_filter_audit": FILTER_AUDIT, "op2_quality_rules": QUALITY_RULES, "op8_sharding": sharding(LIMIT_BYTES), "op3_decontamination": DECONTAMINATION, "op4_chat_format": CHAT_FORMAT, "op7_substring_dedup": SUBSTRING_DEDUP, "op10_line_dedup": LINE_DEDUP}
