@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careline.llm import bpe, chat, decontaminate, filters, langid, lines, lm_score, quality, sharding, simhash, substring
+from careline.llm import bpe, chat, decontaminate, divergence, filters, langid, lines, lm_score, quality, sharding, simhash, substring
 from careline.llm.common import small_batches
 from careline.llm.sql import ORACLES  # noqa: F401
 
@@ -111,6 +111,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between a language's sources, and their own terms."""
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_lm_score, op2_quality_rules, op3_decontamination, op4_chat_format, op5_byte_bpe, op6_language_id,
-    op7_substring_dedup, op8_sharding, op9_simhash, op10_line_dedup, op11_filter_audit)}
+    op7_substring_dedup, op8_sharding, op9_simhash, op10_line_dedup, op11_filter_audit, op12_source_divergence)}

@@ -157,4 +157,35 @@ FROM r
 """
 
 
-ORACLES: dict[str, str] = {"op11_filter_audit": FILTER_AUDIT, "op2_quality_rules": QUALITY_RULES, "op8_sharding": sharding(LIMIT_BYTES), "op3_decontamination": DECONTAMINATION, "op4_chat_format": CHAT_FORMAT, "op7_substring_dedup": SUBSTRING_DEDUP, "op10_line_dedup": LINE_DEDUP}
+_SHARE = "1 + (1000000000::HUGEINT * ({n} + 1)) // ({total} + v)"
+_FAR = "((p - q) * (p - q)) // q"
+
+SOURCE_DIVERGENCE = rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS i, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+t AS MATERIALIZED (
+  SELECT lang, source, i, unnest(regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT i) >= 3),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+n AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+g AS MATERIALIZED (
+  SELECT lang, source, coalesce(v, 0) AS v, coalesce(total, 0) AS total FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM n GROUP BY ALL) USING (lang, source) LEFT JOIN v USING (lang)),
+p AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(n, 0) AS n, {_SHARE.format(n='coalesce(n, 0)', total='total')} AS p
+  FROM g JOIN kept USING (lang) LEFT JOIN n USING (lang, source, term)),
+q AS (
+  SELECT lang, term, {_SHARE.format(n='s', total='total')} AS q FROM (SELECT lang, term, sum(n) AS s FROM n GROUP BY ALL)
+  JOIN v USING (lang) JOIN (SELECT lang, sum(n) AS total FROM n GROUP BY lang) USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(f, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT a.lang, a.source AS sa, b.source AS sb, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS f
+             FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term GROUP BY ALL) x ON x.lang = a.lang AND sa = a.source AND sb = b.source),
+terms AS (SELECT lang, source, term AS item, {_FAR} AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+r AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM terms)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM r)
+WHERE part = 'pair' OR rank <= 200
+"""
+
+
+ORACLES: dict[str, str] = {"op12_source_divergence": SOURCE_DIVERGENCE, "op11_filter_audit": FILTER_AUDIT, "op2_quality_rules": QUALITY_RULES, "op8_sharding": sharding(LIMIT_BYTES), "op3_decontamination": DECONTAMINATION, "op4_chat_format": CHAT_FORMAT, "op7_substring_dedup": SUBSTRING_DEDUP, "op10_line_dedup": LINE_DEDUP}
