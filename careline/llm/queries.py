@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careline.llm import bpe, chat, decontaminate, divergence, filters, langid, lines, lm_score, quality, sharding, simhash, substring
+from careline.llm import bpe, chat, decontaminate, divergence, filters, langid, lines, lm_score, quality, sharding, simhash, substring, toxicity
 from careline.llm.common import small_batches
 from careline.llm.sql import ORACLES  # noqa: F401
 
@@ -116,6 +116,15 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chance that a document is toxic, after its hidden words are restored."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
+    judged = toxicity.scores(docs.select("doc_id", "text"), model)
+    return judged.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_lm_score, op2_quality_rules, op3_decontamination, op4_chat_format, op5_byte_bpe, op6_language_id,
-    op7_substring_dedup, op8_sharding, op9_simhash, op10_line_dedup, op11_filter_audit, op12_source_divergence)}
+    op7_substring_dedup, op8_sharding, op9_simhash, op10_line_dedup, op11_filter_audit, op12_source_divergence,
+    op13_toxicity)}
