@@ -76,7 +76,7 @@ def vocabulary(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     return cut(with_row_index(kept, ["lang", "term"], "place"))
 
 
-def transducers(terms: DataFrame) -> DataFrame:
+def transducers(terms: DataFrame, size: int = RANGE) -> DataFrame:
     """One transducer for each language and range of places: its first term and place, and its arrays."""
 
     def make(rows: pa.Table) -> pa.Table:
@@ -87,7 +87,7 @@ def transducers(terms: DataFrame) -> DataFrame:
                  "n_terms": [made.n_terms], "size": [made.nbytes]}
         return pa.table(cells | {c: [getattr(made, c).tobytes()] for c in ("key", "target", "skip", "final")})
 
-    return terms.groupBy("lang", F.floor(F.col("place") / RANGE).alias("range")).applyInArrow(
+    return terms.groupBy("lang", F.floor(F.col("place") / size).alias("range")).applyInArrow(
         make, "lang string, place bigint, first binary, root bigint, n_terms bigint, size bigint, key binary, target binary, skip binary, final binary")
 
 
@@ -127,7 +127,8 @@ def spans(data: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Counts:
     """Numbers of (group, place) pairs, merged when there are many."""
 
-    def __init__(self):
+    def __init__(self, chunk: int = CHUNK):
+        self.chunk = chunk
         self.groups: dict[tuple[str, str], int] = {}
         self.key, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.new, self.n_new = [], 0
@@ -146,25 +147,25 @@ class Counts:
     def lists(self) -> pa.RecordBatch:
         """What was counted, as one row for each group and chunk of places; it is forgotten then."""
         self.merge()
-        names, chunk = list(self.groups), self.key // CHUNK
+        names, chunk = list(self.groups), (self.key & (1 << 40) - 1) // self.chunk + (self.key >> 40 << 40)
         first = np.flatnonzero(np.r_[True, np.diff(chunk) != 0]) if len(chunk) else chunk
         ends = np.r_[first[1:], len(chunk)]
-        group = [names[g] for g in self.key[first] >> 40]
-        own = (self.key % CHUNK).astype(np.uint16)
+        group = [names[g] for g in chunk[first] >> 40]
+        own = ((self.key & (1 << 40) - 1) % self.chunk).astype(np.uint16)
         cells = [pa.array([g[0] for g in group], pa.string()), pa.array([g[1] for g in group], pa.string()),
-                 pa.array(chunk[first] & (1 << 40) // CHUNK - 1, pa.int64()),
+                 pa.array(chunk[first] & (1 << 40) - 1, pa.int64()),
                  pa.array([own[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
                  pa.array([self.n[a:b].astype(np.uint32).tobytes() for a, b in zip(first, ends)], pa.binary())]
-        self.__init__()
+        self.__init__(self.chunk)
         return pa.RecordBatch.from_arrays(cells, ["lang", "source", "chunk", "places", "counts"])
 
 
-def recount(docs: DataFrame, parts: dict[str, Vocabulary]) -> DataFrame:
+def recount(docs: DataFrame, parts: dict[str, Vocabulary], chunk: int = CHUNK) -> DataFrame:
     """Lists of counts of the vocabularies' terms: (lang, source, chunk, places, counts, n), one row for each chunk that a source has."""
     shared = docs.sparkSession.sparkContext.broadcast(parts)
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = shared.value, Counts()
+        known, counts = shared.value, Counts(chunk)
         for batch in batches:
             for group, data, texts in _pieces(batch):
                 data = _LOWER[data]
@@ -177,7 +178,7 @@ def recount(docs: DataFrame, parts: dict[str, Vocabulary]) -> DataFrame:
         yield counts.lists()
 
     def merged(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CHUNK, np.int64)
+        total = np.zeros(chunk, np.int64)
         for batch in batches:
             for places, counts in zip(batch.column("places"), batch.column("counts")):
                 total[np.frombuffer(places.as_py(), np.uint16)] += np.frombuffer(counts.as_py(), np.uint32)
@@ -226,7 +227,7 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 _FOUND = "lang string, source string, other string, place bigint, value bigint"
 
 
-def compare_chunk(rows: pa.Table, top: int = TOP) -> pa.Table:
+def compare_chunk(rows: pa.Table, top: int = TOP, chunk: int = CHUNK) -> pa.Table:
     """One chunk of a language: each pair's part of the distance, and each source's best terms of the chunk.
 
     Rows are all sources of the language, with the sum of all their counts (``total``); those without a term
@@ -236,11 +237,11 @@ def compare_chunk(rows: pa.Table, top: int = TOP) -> pa.Table:
     lang, first, size = (rows.column(c)[0].as_py() for c in ("lang", "first", "size"))
     terms, names = rows.column("n_terms")[0].as_py(), rows.column("source").to_pylist()
     totals = [t or 0 for t in rows.column("total").to_pylist()]
-    counts = np.zeros((len(names), CHUNK), np.int64)
+    counts = np.zeros((len(names), chunk), np.int64)
     for i, (places, n) in enumerate(zip(rows.column("places"), rows.column("counts"))):
         if places.is_valid:
             counts[i, np.frombuffer(places.as_py(), np.uint16)] = np.frombuffer(n.as_py(), np.int64)
-    begin = first % CHUNK
+    begin = first % chunk
     counts = counts[:, begin:begin + size]
     p = np.array([share(c, t, terms) for c, t in zip(counts, totals)])
     source, other, place, value = [], [], [], []
@@ -269,7 +270,7 @@ def _ranked(rows: DataFrame, part: str, item: str | Column, order: str) -> DataF
 
 
 def divergence(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", *, min_docs: int = MIN_DOCS,
-               top: int = TOP, pass_bytes: int = PASS_BYTES) -> DataFrame:
+               top: int = TOP, pass_bytes: int = PASS_BYTES, term_range: int = RANGE, chunk: int = CHUNK) -> DataFrame:
     """(lang, source, part, item, value, rank): a source's distance to each other source of its language (``pair``), and
     the terms it uses more than the language does (``term``, the ``top`` first).
 
@@ -279,17 +280,20 @@ def divergence(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     0 and no ``term`` rows, one with a single source no ``pair`` rows, an empty table no rows.  Other columns
     are not read.
 
-    The vocabulary comes to the driver and to the tasks in parts of ``pass_bytes``, each with a pass over the text.
+    The vocabulary comes to the driver and to the tasks in parts of ``pass_bytes``, each with a pass over the text; a
+    part is made of transducers of ``term_range`` terms, and counts are kept in lists of ``chunk`` places (65,536 at most).
     The distances of all pairs of a language's sources are asked for, so the result grows with their square.
     """
+    if term_range % chunk:
+        raise ValueError("term_range must be a multiple of chunk")  # or one list would come from two passes
     docs = _named(docs, text, lang, source)
     terms = vocabulary(docs, min_docs)
-    made = cut(transducers(terms))
+    made = cut(transducers(terms, term_range))
     sizes = [tuple(r) for r in made.select("lang", "place", "size").orderBy("lang", "place").collect()]
     lists = []
     for chosen in passes(sizes, pass_bytes):
         wanted = made.where(F.struct("lang", "place").isin([F.struct(F.lit(a), F.lit(b).cast("bigint")) for a, b in chosen]))
-        lists.append(cut(recount(docs, load(wanted.collect()))))
+        lists.append(cut(recount(docs, load(wanted.collect()), chunk)))
     groups = cut(docs.select("lang", "source").distinct())
     spark = docs.sparkSession
     kind = "lang string, source string, chunk bigint, places binary, counts binary, n bigint"
@@ -299,14 +303,14 @@ def divergence(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     totals = groups.join(counted.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
     sized = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("n_terms"), F.min("place").alias("low"))
     low, high = F.col("low"), F.col("low") + F.col("n_terms")
-    chunks = sized.select("lang", "n_terms", low, high.alias("high"),
-                          F.explode(F.sequence(F.floor(low / CHUNK), F.floor((high - 1) / CHUNK))).alias("chunk"))
-    first = F.greatest("low", F.col("chunk") * CHUNK)
-    chunks = chunks.select("lang", "n_terms", "chunk", first.alias("first"), (F.least("high", (F.col("chunk") + 1) * CHUNK) - first).alias("size"))
-    dense = chunks.join(totals, "lang").join(counted.drop("n"), ["lang", "source", "chunk"], "left")
+    spread = sized.select("lang", "n_terms", low, high.alias("high"),
+                          F.explode(F.sequence(F.floor(low / chunk), F.floor((high - 1) / chunk))).alias("chunk"))
+    first = F.greatest("low", F.col("chunk") * chunk)
+    spread = spread.select("lang", "n_terms", "chunk", first.alias("first"), (F.least("high", (F.col("chunk") + 1) * chunk) - first).alias("size"))
+    dense = spread.join(totals, "lang").join(counted.drop("n"), ["lang", "source", "chunk"], "left")
 
     def compare(rows: pa.Table) -> pa.Table:
-        return compare_chunk(rows, top)
+        return compare_chunk(rows, top, chunk)
 
     found = cut(dense.groupBy("lang", "chunk").applyInArrow(compare, _FOUND))
     sums = found.where(F.col("other").isNotNull()).groupBy("lang", "source", "other").agg(F.sum("value").alias("value"))
