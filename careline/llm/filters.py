@@ -56,12 +56,13 @@ def failures(docs: DataFrame, key: str = "doc_id", text: str = "text", part: str
         F.xxhash64(F.lit(1), body).alias("_h2"), F.col(key).alias("_id"), _text_mask(body.cast("binary")).alias("_mask"))
     # rows that agree in all of this are one from here on; a copy's first id is found with one row per task and text
     rows = cut(rows.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("_n")))
-    first = rows.groupBy("_h1", "_h2").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_copies"))
-    # texts that stand once need no look-up
-    first = first.where(F.col("_copies") > 1).drop("_copies")
-    late = F.coalesce(F.col("_id") > F.col("_first"), F.lit(False))
+    first = rows.groupBy("_h1", "_h2").agg(F.min("_id").alias("_id")).withColumn("_is_first", F.lit(True))
+    # joined by text and id, so that the copies of a text do not meet in one task
+    marked = rows.join(first, ["_h1", "_h2", "_id"], "left")
+    late = F.col("_id").isNotNull() & F.col("_is_first").isNull()
     mask = F.col("_mask") + F.when(late, 16).otherwise(0)
-    return rows.join(first, ["_h1", "_h2"], "left").select("_part", "_id", mask.alias("_mask"), "_n")
+    # nor do an id's texts when labels are joined
+    return marked.groupBy("_part", "_id", mask.alias("_mask")).agg(F.sum("_n").alias("_n"))
 
 
 def coalition_removals(failed: DataFrame, labels: DataFrame, key: str = "doc_id", n_filters: int = len(FILTERS)) -> DataFrame:
