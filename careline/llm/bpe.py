@@ -10,6 +10,9 @@ what is there, and after an edit only the entries near it have to be computed an
 
 import base64
 import re
+import zlib
+from array import array
+from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +20,9 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Entries kept by a worker's memo tables before they start anew; results do not depend on it.
-MEMO = 200_000
+#: Entries of a task's tables of seams and prefixes, and bytes of its tables of texts, before they start anew;
+#: results do not depend on them.
+MEMO, MEMO_BYTES = 100_000, 48 << 20
 #: Longer segments are encoded without being remembered.
 MEMO_CHARS = 48
 
@@ -27,9 +31,14 @@ _ODD = re.compile(r" \s|\s ")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
-    """A rank file: base64 of the token's bytes, blank, rank."""
+    """The ranks of a rank file."""
     with open(path, "rb") as f:
-        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        return parse_ranks(f.read())
+
+
+def parse_ranks(data: bytes) -> dict[bytes, int]:
+    """A rank file's lines: base64 of the token's bytes, blank, rank."""
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
 
 
 class Vocabulary:
@@ -49,7 +58,7 @@ class Vocabulary:
         self._prefixes: dict[bytes, int] = {}
         self._whole: dict[int, bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
 
     def merge(self, data: bytes, down_to: int = 1) -> list[int]:
         """The definition: merge the leftmost pair of lowest rank until none, or so many parts, are left.
@@ -86,11 +95,11 @@ class Vocabulary:
         those have been joined before the merge that was just undone, the seam would not exist.
         Of two merges of one rank the one on the left comes first.
         """
-        known = self._pairs.get((left, right))
+        known = self._pairs.get(left << 32 | right)
         if known is None:
             if len(self._pairs) >= MEMO:
                 self._pairs.clear()
-            known = self._pairs[left, right] = self._seam_holds(left, right)
+            known = self._pairs[left << 32 | right] = self._seam_holds(left, right)
         return known
 
     def _seam_holds(self, left: int, right: int) -> bool:
@@ -201,16 +210,18 @@ class PrefixTable:
 
 
 class _Memo(dict):
-    """Text -> ids, computed when first asked for; bounded."""
+    """Text -> ids as bytes of 32-bit numbers, computed when first asked for; bounded in bytes."""
 
-    def __init__(self, compute):
-        self.compute = compute
+    def __init__(self, compute, limit: int):
+        self.compute, self.limit, self.held = compute, limit, 0
 
-    def __missing__(self, text: str) -> tuple[int, ...]:
+    def __missing__(self, text: str) -> bytes:
         ids = self.compute(text)
         if len(text) <= MEMO_CHARS:
-            if len(self) >= MEMO:
+            self.held += 180 + len(text) + len(ids)  # with what Python needs for an entry and its two objects
+            if self.held > self.limit:
                 self.clear()
+                self.held = 0
             self[text] = ids
         return ids
 
@@ -218,36 +229,32 @@ class _Memo(dict):
 class Encoder:
     """Encodes texts: the pattern cuts them into pieces, a prefix table encodes each piece."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo_bytes: int = MEMO_BYTES):
         self.vocabulary = Vocabulary(ranks)
         self.find = regex.compile(pattern).findall
-        self.piece = _Memo(self._piece)
-        self.spaced = _Memo(self._spaced)
+        self.piece = _Memo(self._piece, memo_bytes // 4)
+        self.spaced = _Memo(self._spaced, memo_bytes)
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
+    def _piece(self, piece: str) -> bytes:
         """Ids of a piece; one that is a token as a whole is that token."""
         data = piece.encode("utf-8")
         whole = self.vocabulary.ranks.get(data)
-        return tuple(self.vocabulary.encode(data)) if whole is None else (whole,)
+        return array("i", self.vocabulary.encode(data) if whole is None else (whole,)).tobytes()
 
-    def _spaced(self, segment: str) -> tuple[int, ...]:
+    def _spaced(self, segment: str) -> bytes:
         """Ids of a segment with a blank in front; letters, and letters with one sign, need no pattern."""
         if segment.isalpha():
-            return self.piece[" " + segment]
+            return self._piece(" " + segment)
         if segment[-1] in ",." and segment[:-1].isalpha():
-            return self.piece[" " + segment[:-1]] + self.piece[segment[-1]]
+            return self.spaced[segment[:-1]] + self.piece[segment[-1]]
         return self.pieces(" " + segment)
 
-    def pieces(self, text: str) -> tuple[int, ...]:
+    def pieces(self, text: str) -> bytes:
         """Ids of a text, piece by piece."""
-        ids: list[int] = []
-        piece = self.piece
-        for part in self.find(text):
-            ids += piece[part]
-        return tuple(ids)
+        return b"".join(map(self.piece.__getitem__, self.find(text)))
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text.
+    def packed(self, text: str) -> bytes:
+        """Ids of a text, as bytes of 32-bit numbers.
 
         A single blank between two other characters always begins a piece, so what stands
         between such blanks is encoded by itself, and only once if it comes again.
@@ -256,28 +263,36 @@ class Encoder:
             first, *rest = _CUT.split(text)
         else:
             first, *rest = text.split(" ")
-        ids = list(self.pieces(first))
-        spaced = self.spaced
-        for segment in rest:
-            ids += spaced[segment]
-        return ids
+        return self.pieces(first) + b"".join(map(self.spaced.__getitem__, rest))
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of a text."""
+        return np.frombuffer(self.packed(text), np.int32).tolist()
+
+
+def _share(spark: SparkSession, ranks_path: str):
+    """The rank file's bytes as a broadcast variable; their size is the vocabulary's, whatever the corpus."""
+    with open(ranks_path, "rb") as f:
+        return spark.sparkContext.broadcast(f.read())
 
 
-_ENCODERS: dict[object, Encoder] = {}
+_ENCODERS: dict[tuple[int, str], Encoder] = {}
 
 
 def _encoder(shared, pattern: str) -> Encoder:
-    """One encoder for each worker and vocabulary."""
-    key = (shared.value["key"], pattern)
+    """One encoder for each worker; what it remembers is bounded, and serves the next task."""
+    key = (zlib.crc32(shared.value), pattern)
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(shared.value["ranks"], pattern)
+        _ENCODERS[key] = Encoder(parse_ranks(shared.value), pattern)
     return _ENCODERS[key]
 
 
-def _share(spark: SparkSession, ranks_path: str):
-    """The rank file as a broadcast variable; its size is the vocabulary's, whatever the corpus."""
-    return spark.sparkContext.broadcast({"key": ranks_path, "ranks": read_ranks(ranks_path)})
+def _ids_of(encoder: Encoder, texts: pa.Array) -> pa.ListArray:
+    """The ids of each text of a batch."""
+    parts = [encoder.packed(value.as_py() or "") for value in texts]
+    ends = np.cumsum([0, *map(len, parts)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(parts), np.int32)))
 
 
 def encode(df: DataFrame, text: str, ranks_path: str, pattern: str, into: str = "ids") -> DataFrame:
@@ -290,14 +305,10 @@ def encode(df: DataFrame, text: str, ranks_path: str, pattern: str, into: str =
     shared = _share(df.sparkSession, ranks_path)
 
     @F.arrow_udf("array<int>")
-    def ids_of(texts: pa.Array) -> pa.Array:
-        encoder, parts, ends = _encoder(shared, pattern), [], [0]
-        for value in texts:
-            ids = encoder.encode(value.as_py() or "")
-            parts.append(np.array(ids, np.int32))
-            ends.append(ends[-1] + len(ids))
-        flat = np.concatenate(parts) if parts else np.empty(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+    def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = _encoder(shared, pattern)
+        for texts in batches:
+            yield _ids_of(encoder, texts)
 
     return df.withColumn(into, ids_of(F.col(text)))
 
@@ -310,36 +321,52 @@ def decode(df: DataFrame, ids: str, ranks_path: str, into: str = "decoded") -> D
     shared = _share(df.sparkSession, ranks_path)
 
     @F.arrow_udf("binary")
-    def bytes_of(arrays: pa.Array) -> pa.Array:
-        arrays = arrays.fill_null([]) if arrays.null_count else arrays
-        ends, flat = arrays.offsets.to_numpy(), arrays.values.to_numpy(zero_copy_only=False)
-        flat = flat[ends[0]:ends[-1]] if len(ends) else flat
-        table = _byte_table(shared)
-        got = table.take(pa.array(flat, pa.int32()))
-        if got.null_count:
-            raise ValueError("an id that the vocabulary does not have")
-        starts = np.frombuffer(got.buffers()[1], np.int32, len(got) + 1, got.offset * 4) if len(got) else np.zeros(1, np.int32)
-        cuts = starts[ends - ends[0]].astype(np.int32)
-        data = got.buffers()[2] or pa.py_buffer(b"")
-        return pa.Array.from_buffers(pa.binary(), len(arrays), [None, pa.py_buffer(cuts.tobytes()), data])
+    def bytes_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = _byte_table(parse_ranks(shared.value))
+        for arrays in batches:
+            yield _bytes_of(table, arrays)
 
     return df.withColumn(into, bytes_of(F.coalesce(F.col(ids), F.array().cast("array<int>"))))
 
 
-_TABLES: dict[object, pa.Array] = {}
+def encode_and_decode(df: DataFrame, text: str, ranks_path: str, pattern: str, into: str = "coded") -> DataFrame:
+    """``df`` with the struct ``into``: ``ids`` as ``encode`` gives them, and ``decoded`` as ``decode`` does of these ids.
+
+    One Python function does both, so a core has one worker with one rank table.
+    """
+    shared = _share(df.sparkSession, ranks_path)
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: binary>")
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = _encoder(shared, pattern)
+        table = _byte_table(encoder.vocabulary.ranks)
+        for texts in batches:
+            ids = _ids_of(encoder, texts)
+            yield pa.StructArray.from_arrays([ids, _bytes_of(table, ids)], ["ids", "decoded"])
+
+    return df.withColumn(into, code(F.col(text)))
+
+
+def _bytes_of(table: pa.Array, arrays: pa.ListArray) -> pa.Array:
+    """The bytes of each array of ids of a batch."""
+    arrays = arrays.fill_null([]) if arrays.null_count else arrays
+    ends, flat = arrays.offsets.to_numpy(), arrays.values.to_numpy(zero_copy_only=False)
+    flat = flat[ends[0]:ends[-1]] if len(ends) else flat
+    got = table.take(pa.array(flat, pa.int32()))
+    if got.null_count:
+        raise ValueError("an id that the vocabulary does not have")
+    starts = np.frombuffer(got.buffers()[1], np.int32, len(got) + 1, got.offset * 4) if len(got) else np.zeros(1, np.int32)
+    cuts = starts[ends - ends[0]].astype(np.int32)
+    data = got.buffers()[2] or pa.py_buffer(b"")
+    return pa.Array.from_buffers(pa.binary(), len(arrays), [None, pa.py_buffer(cuts.tobytes()), data])
 
 
-def _byte_table(shared) -> pa.Array:
+def _byte_table(ranks: dict[bytes, int]) -> pa.Array:
     """Bytes by id."""
-    key = shared.value["key"]
-    if key not in _TABLES:
-        _TABLES.clear()
-        ranks = shared.value["ranks"]
-        table: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
-        for data, i in ranks.items():
-            table[i] = data
-        _TABLES[key] = pa.array(table, pa.binary())
-    return _TABLES[key]
+    table: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+    for data, i in ranks.items():
+        table[i] = data
+    return pa.array(table, pa.binary())
 
 
 def ids_text(ids: Column) -> Column:

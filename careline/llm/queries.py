@@ -61,8 +61,8 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and the bytes they stand for."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, "text", RANKS, public_tokenizers.PATTERN).drop("text")
-    return bpe.decode(ids, "ids", RANKS).select(
+    coded = bpe.encode_and_decode(docs, "text", RANKS, public_tokenizers.PATTERN).select("doc_id", "coded.ids", "coded.decoded")
+    return coded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), sha(bpe.ids_text(F.col("ids"))).alias("ids_sha256"),
         sha(F.col("decoded")).alias("decoded_sha256"))
 
