@@ -20,6 +20,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Documents whose language is less certain are rejected, as are those without a letter.  Of the held-out
 #: labelled documents of sf0.1 one in a thousand scores below 0.62, most foreign and junk texts score below 0.6.
 MIN_SCORE = 0.6
+ROW_GROUP = 16 << 20
 
 
 def stage(work):
@@ -68,11 +69,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 @stage
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, their number, and whether the decoded bytes are the text's."""
-    ids = bpe.encode(docs.select("doc_id", "text"), "text", RANKS, public_tokenizers.PATTERN)
-    same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
-    return bpe.decode(ids, "ids", RANKS).select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), sha(bpe.ids_text(F.col("ids"))).alias("ids_sha256"),
-        same.alias("round_trip"), "ids")
+    coded = bpe.encode_and_decode(docs.select("doc_id", "text"), "text", RANKS, public_tokenizers.PATTERN)
+    same = F.col("coded.decoded") == F.coalesce("text", F.lit("")).cast("binary")
+    return coded.select("doc_id", same.alias("round_trip"), "coded.ids").select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), sha(bpe.ids_text(F.col("ids"))).alias("ids_sha256"), "round_trip", "ids")
 
 
 STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
@@ -86,6 +86,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for name, work in STAGES:
-        work(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        # small row groups: a task buffers one while it writes whole documents
+        work(spark, docs, sf_dir).write.option("parquet.block.size", str(ROW_GROUP)).parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
     return docs
