@@ -28,8 +28,9 @@ def strip_fences(c: Column, languages=("python", "json")) -> Column:
 
 
 def first_object(c: Column) -> Column:
-    """First ``{...}`` without nested braces, ``''`` if none."""
-    return F.regexp_extract(c, r"(\{[^}]+\})", 1)
+    """First ``{...}`` with something in it, up to the first closing brace, ``''`` if none."""
+    # Anchored: if the first opening brace finds no closing one, no later one does.
+    return F.regexp_extract(c, r"^(?:[^{]|\{\})*+(\{[^}]++\})", 1)
 
 
 def parse_literal(c: Column, schema) -> Column:

@@ -11,7 +11,7 @@ from collections import Counter
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
@@ -142,7 +142,8 @@ def _leaf_dirs(folder: _Folder, top: str, depth: int) -> list[str]:
 
 
 def _commit(df: DataFrame, folder: _Folder, state: dict | None, keep: Sequence[str],
-            by: Sequence[str]) -> None:
+            by: Sequence[str], keep_empty: bool = True, figures: Sequence[Column] = ()) -> dict:
+    """Write one generation and publish it; the figures (aggregates) come from the write itself."""
     generation = max(
         [int(n.split("=")[1]) for n in folder.names("data") if n.startswith(f"{_GEN}=")],
         default=0,
@@ -150,22 +151,34 @@ def _commit(df: DataFrame, folder: _Folder, state: dict | None, keep: Sequence[s
     top = f"{_GEN}={generation}"
     # Rebalancing merges small output partitions and splits a hot date.
     out = df.hint("rebalance", *[F.col(c) for c in by]) if by else df
-    writer = out.write.mode("errorifexists")
+    seen = Observation()
+    writer = out.observe(seen, F.count(F.lit(1)).alias("linhas"), *figures).write.mode("errorifexists")
     if by:
         writer = writer.partitionBy(*by)
     writer.parquet(f"{folder.root}/data/{top}")
+    found = seen.get
+    if not keep_empty and not found["linhas"]:
+        folder.delete(f"data/{top}")
+        return found
     version = (_versions(folder) or [0])[-1] + 1
     folder.publish(f"versions/{version:08d}.json", json.dumps({
         "schema": json.loads(df.schema.json()),
         "by": list(by),
         "dirs": list(keep) + _leaf_dirs(folder, top, len(by)),
     }))
+    return found
 
 
-def overwrite(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    """Replace a table's rows and schema, optionally partitioned by columns."""
+def overwrite(df: DataFrame, path: str, by: Sequence[str] = (), keep_empty: bool = True,
+              figures: Sequence[Column] = ()) -> dict:
+    """Replace a table's rows and schema, optionally partitioned by columns.
+
+    Returns ``linhas``, the number of rows, and the given aliased aggregates, such as the
+    high-water mark: they are observed while the rows are written, so nothing is read again.
+    Without ``keep_empty`` an empty frame leaves the table as it was.
+    """
     folder = _Folder(df.sparkSession, path)
-    _commit(df, folder, _latest(folder), (), by)
+    return _commit(df, folder, _latest(folder), (), by, keep_empty, figures)
 
 
 def check_unambiguous(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> None:
@@ -192,19 +205,48 @@ def _within(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFr
 _ORDERED = ("byte", "short", "integer", "long", "string", "date", "timestamp")
 
 
+def _has_key(keys: Sequence[str]):
+    found = F.lit(True)
+    for k in keys:
+        found = found & F.col(k).isNotNull()
+    return found
+
+
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
+    """One row per key, the first in the order; rows with a NULL in the key are no key's and all stay."""
+    found = _has_key(keys)
+    return dedupe(df.filter(found), keys, order).unionByName(df.filter(~found))
+
+
+def _winners(source: DataFrame, stored: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
+    """Source rows that come before their key's other rows, stored ones included.
+
+    A key whose stored row comes first gives no row, so the stored one stays as it is.  Stored rows are
+    read in the source's columns alone; a column that the table lacks is NULL in them.
+    """
+    shared = [c for c in source.columns if c in stored.columns]
+    old = stored.select(shared).join(source.select(*keys), list(keys), "left_semi").withColumn("_novo", F.lit(0))
+    both = source.withColumn("_novo", F.lit(1)).unionByName(old, allowMissingColumns=True)
+    return first_per_key(both, keys, [*order, F.desc("_novo")]).filter("_novo = 1").drop("_novo")
+
+
 def upsert(df: DataFrame, path: str, keys: Sequence[str], order: Sequence | None = None) -> None:
     """Update matched keys, insert the rest.
 
     Only folders (dates, in a partitioned table) that hold a matched key are
     rewritten; finding them reads the key columns alone, and of those only what
     lies between the smallest and the largest key.  With ``order``, of the rows of
-    a key, stored ones included, the first in that order stays.
+    a key, stored ones included, the first in that order stays; ``order`` may use the
+    source's columns.  A stored row that loses keeps the columns that the source lacks,
+    and rows with a NULL in the key are always inserted.  An empty frame writes nothing.
     """
     spark, keys = df.sparkSession, list(keys)
     folder = _Folder(spark, path)
     state = _latest(folder)
     source = match_types(df, StructType.fromJson(state["schema"])).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if source.isEmpty():
+            return
         target = _read(spark, folder, state)
         # File paths are URL-encoded; a plus sign is literal in them.
         file_path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
@@ -219,9 +261,7 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], order: Sequence | None
         stored = _read(spark, folder, state, touched)
         new = source
         if order:
-            old = stored.join(source.select(*keys), keys, "left_semi").withColumn("_novo", F.lit(0))
-            both = source.withColumn("_novo", F.lit(1)).unionByName(old, allowMissingColumns=True)
-            new = dedupe(both, keys, [*order, F.desc("_novo")]).drop("_novo")
+            new = _winners(source, stored, keys, order)
         else:
             check_unambiguous(source, stored, keys)
         keep = [d for d in state["dirs"] if d not in touched]
@@ -234,19 +274,14 @@ def save(df: DataFrame, path: str, keys: Sequence[str], by: Sequence[str] = (),
          order: Sequence | None = None) -> None:
     """Nothing for an empty frame; upsert an existing table; create a missing one.
 
-    The frame is computed once.  ``by`` should be the date column of a table that
-    grows by dates: an unpartitioned one is rewritten whole by every upsert.
+    The frame is computed once: a new table learns from its own write whether there was a row.
+    ``by`` should be the date column of a table that grows by dates: an unpartitioned one is
+    rewritten whole by every upsert.
     """
-    source = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if source.isEmpty():
-            return
-        if table_exists(df.sparkSession, path):
-            upsert(source, path, keys, order)
-        else:
-            overwrite(source, path, by)
-    finally:
-        source.unpersist()
+    if table_exists(df.sparkSession, path):
+        upsert(df, path, keys, order)
+    else:
+        overwrite(first_per_key(df, keys, order) if order else df, path, by, keep_empty=False)
 
 
 def compact(spark: SparkSession, path: str) -> None:
@@ -266,6 +301,8 @@ def expire(spark: SparkSession, path: str, keep: int = 2) -> None:
 
     Readers of an older version fail from then on; run it when no writer does.
     """
+    if keep < 1:
+        raise ValueError("expire keeps one version at least")
     folder = _Folder(spark, path)
     versions = _versions(folder)
     for v in versions[:-keep]:

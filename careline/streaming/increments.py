@@ -5,7 +5,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from careline.operators.rows import dedupe
 from careline.operators.tables import save
 
 
@@ -16,12 +15,12 @@ def stream_upsert(stream: DataFrame, path: str, keys: Sequence[str], checkpoint:
 
     A replayed batch upserts the same rows again, so the table is right after a
     failure.  ``order`` picks the surviving row of a key among the batch and what is
-    stored, so a file that arrives late does not replace a newer row.
+    stored, so a file that arrives late does not replace a newer row.  Rows with a NULL
+    in the key are inserted, each time they are read.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = transform(batch)
-        save(dedupe(out, keys, order) if order else out, path, keys, by, order)
+        save(transform(batch), path, keys, by, order)
 
     return (
         stream.writeStream.foreachBatch(write)

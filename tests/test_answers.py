@@ -75,3 +75,17 @@ def test_subtypes(spark):
     df = spark.createDataFrame(rows, "receptor_estrogeno string, receptor_progesterona string, status_her2 string, "
                                      "ki67_float double, esperado string")
     assert O.with_subtype(df).filter(~F.col("categoria_final").eqNullSafe(F.col("esperado"))).count() == 0
+
+
+def test_first_object_equals_the_plain_pattern_in_linear_time(apply):
+    import random
+    import re
+    import time
+
+    random.seed(3)
+    texts = ["".join(random.choices("{}ab\n", k=random.randint(0, 12))) for _ in range(500)]
+    plain = [(m.group(1) if (m := re.search(r"(\{[^}]+\})", t)) else "") for t in texts]
+    assert apply(A.first_object, texts) == plain
+    start = time.perf_counter()
+    assert apply(A.first_object, ["{" * 200_000, "{}" * 100_000]) == ["", ""]
+    assert time.perf_counter() - start < 5

@@ -215,3 +215,44 @@ def test_late_files_do_not_replace_newer_rows(spark, tmp_path):
         stream_upsert(spark.readStream.schema(schema).parquet(source), path, ["k"], str(tmp_path / "c"),
                       order=[F.desc("v")], by=["_datestamp"]).awaitTermination()
     assert content(spark, path) == sorted({k: (k, v, d) for k, v, d in rows}.values())
+
+
+def test_ordered_upsert_keeps_missing_columns_and_null_keys(spark, tmp_path):
+    path = str(tmp_path / "t")
+    newest = [F.desc("v")]
+    tables.save(spark.createDataFrame([(1, 1, "a", 5), (2, 9, "b", 6)], "k int, v int, s string, extra int"), path, ["k"], order=newest)
+    source = [(1, 2, "z"), (1, 3, "y"), (2, 4, "late"), (3, 1, "new"), (None, 1, "n"), (None, 1, "n")]
+    tables.save(spark.createDataFrame(source, "k int, v int, s string"), path, ["k"], order=newest)
+    got = sorted((tuple(r) for r in tables.read_table(spark, path).collect()), key=str)
+    assert got == sorted([(1, 3, "y", 5), (2, 9, "b", 6), (3, 1, "new", None), (None, 1, "n", None), (None, 1, "n", None)], key=str)
+    # a wider source: the stored row that wins stays as it is
+    tables.save(spark.createDataFrame([(1, 1, "w", 7), (2, 10, "w", 8)], "k int, v int, s string, more int"), path, ["k"], order=newest)
+    got = {r.k: r for r in tables.read_table(spark, path).collect() if r.k in (1, 2)}
+    assert (got[1].s, got[1].more, got[1].extra) == ("y", None, 5) and (got[2].s, got[2].more, got[2].extra) == ("w", 8, 6)
+
+
+def test_new_table_has_one_row_per_key_of_an_ordered_source(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.save(spark.createDataFrame([(1, 1), (1, 2), (None, 3), (None, 3)], "k int, v int"), path, ["k"], order=[F.desc("v")])
+    assert sorted((tuple(r) for r in tables.read_table(spark, path).collect()), key=str) == sorted([(1, 2), (None, 3), (None, 3)], key=str)
+
+
+def test_empty_frames_write_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    none = spark.createDataFrame([], "k int, v int")
+    tables.save(none, path, ["k"])
+    assert not tables.table_exists(spark, path) and not [p for p in tmp_path.glob("t/data/*")]
+    tables.save(spark.createDataFrame([(1, 1)], "k int, v int"), path, ["k"])
+    tables.save(none, path, ["k"])
+    assert tables.read_table(spark, path).count() == 1 and len(list(tmp_path.glob("t/versions/*.json"))) == 1
+
+
+def test_figures_come_from_the_write(spark, tmp_path):
+    path = str(tmp_path / "t")
+    found = tables.overwrite(spark.range(10).withColumn("d", F.col("id") % 3), path, ["d"], figures=[F.max("id").alias("marca")])
+    assert found == {"linhas": 10, "marca": 9}
+
+
+def test_expire_refuses_to_keep_nothing(spark, tmp_path):
+    with pytest.raises(ValueError, match="at least"):
+        tables.expire(spark, str(tmp_path / "t"), keep=0)

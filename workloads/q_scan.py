@@ -209,6 +209,33 @@ def stream_upsert_late_files(spark, sf):
     return tables.read_table(spark, f"{path}/table")
 
 
+@register("stream_upsert_fewer_columns", """
+    WITH n AS (SELECT user_id, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM events WHERE event_id % 3 = 0 GROUP BY 1)
+    SELECT e.user_id, CAST(coalesce(n.event_id, e.event_id) AS BIGINT) AS event_id, coalesce(n.value, e.value) AS value, e.event_type
+    FROM (SELECT user_id, event_id, value, event_type FROM events WHERE event_id % 3 <> 0
+          QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1) e
+    LEFT JOIN n ON n.user_id = e.user_id AND n.event_id > e.event_id
+    UNION ALL SELECT user_id, CAST(event_id AS BIGINT), value, NULL FROM n WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_id % 3 <> 0)""")
+def stream_upsert_fewer_columns(spark, sf):
+    """A stream without the type column over a table that has it: newer rows win, types stay."""
+    path = scratch_path(spark, "narrow")
+    events = X.table(spark, sf, "events").select("user_id", "event_id", "value", "event_type")
+    newest = [F.desc("event_id")]
+    tables.save(events.filter("event_id % 3 <> 0"), f"{path}/table", ["user_id"], order=newest)
+    events.filter("event_id % 3 = 0").drop("event_type").write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(events.drop("event_type").schema).parquet(f"{path}/in")
+    stream_upsert(stream, f"{path}/table", ["user_id"], f"{path}/checkpoint", order=newest).awaitTermination()
+    return tables.read_table(spark, f"{path}/table")
+
+
+@register("write_figures", "SELECT count(*) AS linhas, CAST(CAST(max(o_orderdate) AS DATE) AS VARCHAR) AS marca FROM orders")
+def write_figures(spark, sf):
+    """Row count and mark of a table, taken from the write that makes it."""
+    orders = X.table(spark, sf, "orders")
+    found = tables.overwrite(orders, scratch_path(spark, "figures"), figures=[F.max(F.col("o_orderdate").cast("date")).alias("marca")])
+    return spark.createDataFrame([(found["linhas"], str(found["marca"]))], "linhas bigint, marca string")
+
+
 @register("merge_fewer_columns", """
     SELECT event_id, CASE WHEN event_id % 3 = 0 THEN value + 1 ELSE value END AS value, event_type FROM events""")
 def merge_fewer_columns(spark, sf):

@@ -73,10 +73,10 @@ over_reports("carcinoma_phrase", {"frase": "trim(regexp_extract(laudo_tratado, '
              frase=lambda c: P.carcinoma_phrase(c))
 over_reports("malignancy_terms", {"descritores": S.joined(S.terms())},
              descritores=lambda c: joined(P.malignancy_terms(c)))
-over_reports("histologic_grade", {"v": S.number(r"grau\s+histol[oó]gico\s*[:\-]?\s*(\d)")},
+over_reports("histologic_grade", {"v": S.number(V.HISTOLOGIC_GRADE)},
              v=lambda c: P.histologic_grade(c))
-over_reports("nuclear_grade", {"v": S.number(r"grau\s+nuclear\s*[:\-]?\s*(\d)")}, v=lambda c: P.nuclear_grade(c))
-over_reports("tubule_score", {"v": S.number(r"forma[cç][aã]o\s+de\s+t[uú]bulos\s*[:\-]?\s*(\d)")},
+over_reports("nuclear_grade", {"v": S.number(V.NUCLEAR_GRADE)}, v=lambda c: P.nuclear_grade(c))
+over_reports("tubule_score", {"v": S.number(V.TUBULE_SCORE)},
              v=lambda c: P.tubule_score(c))
 for _v in (1, 2):
     over_reports(f"mitotic_index_v{_v}", {"v": S.number(V.MITOTIC_INDEX[_v])}, v=lambda c, v=_v: P.mitotic_index(c, v))
@@ -149,25 +149,17 @@ def pseudo_gold_ihc(spark, sf):
 _PADDED = "replace(laudo_tratado, ' ', repeat(' ', 400))"
 
 
-@register("padded_reports", "SELECT ficha, id_item, " + ", ".join(
-    f"{s} AS heu_{k}" for k, s in {**S.ihc(S.T), **{n: s for n, s in S.pathology(S.T).items() if n != V.PATHOLOGY_FIELDS[0]}}.items())
-    + f" FROM (SELECT ficha, id_item, {_PADDED} AS laudo_tratado FROM reports WHERE id_item = 1)")
-def padded_reports(spark, sf):
-    """Every pattern label of first lines whose words stand 400 spaces apart."""
-    return _padded_labels(X.reports(spark, sf, brand=False).filter("id_item = 1"))
-
-
 def _padded_labels(reports):
     df = reports.select("ficha", "id_item", F.expr(_PADDED).alias(TEXT))
     out = pseudo_gold(pseudo_gold(df, "ihc"), "pathology")
     return out.select("ficha", "id_item", *[f"heu_{k}" for k in (*V.IHC_FIELDS, *V.PATHOLOGY_FIELDS[1:])])
 
 
-@register("padded_reports_every_item", "SELECT ficha, id_item, " + ", ".join(
+@register("padded_reports", "SELECT ficha, id_item, " + ", ".join(
     f"{s} AS heu_{k}" for k, s in {**S.ihc(S.T), **{n: s for n, s in S.pathology(S.T).items() if n != V.PATHOLOGY_FIELDS[0]}}.items())
     + f" FROM (SELECT ficha, id_item, {_PADDED} AS laudo_tratado FROM reports)")
-def padded_reports_every_item(spark, sf):
-    """The same of all lines."""
+def padded_reports(spark, sf):
+    """Every pattern label of reports whose words stand 400 spaces apart."""
     return _padded_labels(X.reports(spark, sf, brand=False))
 
 
