@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from careline.llm.common import cut
+
 #: Closely related languages; a language that is not listed is a family of its own.
 FAMILIES = {
     "af": "germanic", "da": "germanic", "de": "germanic", "en": "germanic", "is": "germanic", "nl": "germanic",
@@ -113,18 +115,28 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     The machines are fitted on a bounded sample: of each language the rows with the smallest hash of
     ``key``, ``per_language`` at most, and ``sample`` (or one for each language) in all.  Texts are
     turned into vectors on the executors; the driver gets these alone.  Rows without language, or
-    whose text has no letter, are passed over.
+    whose text has no letter, are passed over, and repeated rows count once.
     """
     rows = labelled.select(F.col(key).alias("k"), F.col(lang).alias("lang"), F.col(text).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    n_langs = rows.select("lang").distinct().count()
+    # Rows by language and leading bits of their key's hash: tells below which hash a language's sample lies.
+    bits = F.shiftright(F.xxhash64("k"), 48)
+    counted = cut(rows.groupBy("lang", bits.alias("bits")).agg(F.count(F.lit(1)).alias("n")))
+    n_langs = counted.select("lang").distinct().count()
     if not n_langs:
         return None
     most = max(1, min(per_language, sample // n_langs))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("k"), "k")
-    # ids alone are ranked; the sample's bound, not the corpus, bounds what is broadcast
-    chosen = rows.select("k", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= most)
-    chosen = F.broadcast(chosen.select(F.col("k").alias("k2"), F.col("lang").alias("lang2")).distinct())
+    upto = Window.partitionBy("lang").orderBy("bits").rowsBetween(Window.unboundedPreceding, -1)
+    last = counted.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).where(F.col("before") < most)
+    last = last.groupBy("lang").agg(F.max("bits").alias("last"))
+    # what is ranked is the sample and the rows of one value of the bits, whatever the corpus
+    near = rows.withColumn("bits", bits).join(F.broadcast(last), "lang").where(F.col("bits") <= F.col("last"))
+    near = near.select("lang", "k", F.xxhash64("text").alias("h")).distinct()
+    # a key may have any number of texts: these are ranked in groups first
+    order = [F.xxhash64("k"), "k", "h"]
+    for part in (("lang", F.pmod("h", F.lit(256))), ("lang",)):
+        near = near.withColumn("n", F.row_number().over(Window.partitionBy(*part).orderBy(*order))).where(F.col("n") <= most).drop("n")
+    chosen = F.broadcast(cut(near).select(*[F.col(c).alias(f"{c}2") for c in ("lang", "k", "h")]))
 
     def vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,11 +144,9 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("k"), pa.array(x, pa.binary())], ["lang", "k", "x"])
 
     kind = rows.schema["k"].dataType.simpleString()
-    # rows that share a key may be more than was chosen: each task passes on as many as the bound has room for
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("k"), "k", F.xxhash64("text"))
-    sampled = (rows.join(chosen, F.col("k").eqNullSafe(F.col("k2")) & (F.col("lang") == F.col("lang2"))).select("lang", "k", "text")
-               .withColumn("n", F.row_number().over(order)).where(F.col("n") <= most).select("lang", "k", "text"))
-    got = sampled.mapInArrow(vectors, f"lang string, k {kind}, x binary").toArrow().sort_by([(c, "ascending") for c in ("lang", "k", "x")])
+    sampled = rows.withColumn("h", F.xxhash64("text")).join(chosen, F.col("k").eqNullSafe(F.col("k2")) & (F.col("lang") == F.col("lang2")) & (F.col("h") == F.col("h2")))
+    made = sampled.select("lang", "k", "text").mapInArrow(vectors, f"lang string, k {kind}, x binary").dropDuplicates(["lang", "k", "x"])
+    got = made.toArrow().sort_by([(c, "ascending") for c in ("lang", "k", "x")])
     x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(-1, DIMENSIONS)
     return Model(got.column("lang").to_pylist(), x, families)
 
