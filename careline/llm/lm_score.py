@@ -101,7 +101,7 @@ def _log_chance(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
 
 def _segments(kind: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """Order by class, and (class, from, to) of each class's rows."""
-    order = np.argsort(kind, kind="stable")
+    order = np.argsort(kind.astype(np.uint16), kind="stable")  # numbers of 16 bits are sorted by digits
     ends = np.cumsum(np.bincount(kind, minlength=CLASSES))
     return order, [(c, a, b) for c, (a, b) in enumerate(zip(np.r_[0, ends[:-1]], ends)) if a < b]
 
@@ -165,10 +165,11 @@ class Trainer:
         self._move("v", to_v)
         self._move("u", to_u)
         self._move("w", x.T @ back)
-        slot = near.ravel()
+        slot = near.ravel().astype(np.uint16)
         by = np.argsort(slot, kind="stable")
-        first = np.flatnonzero(np.r_[True, np.diff(slot[by]) != 0])
-        self._move("e", np.add.reduceat(to_x[by], first), slot[by][first])
+        slot = slot[by]
+        first = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
+        self._move("e", np.add.reduceat(to_x[by], first), slot[first])
         self.n += n
 
 
