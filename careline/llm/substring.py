@@ -8,9 +8,12 @@ There they are sorted by hash, and equal hashes are compared byte by byte.
 Before the shuffle each task does the same with its own windows: what stands earlier in the same
 chunk of documents is settled there, so a passage with many copies travels once for each chunk.  The
 windows at a frequent passage's edges differ but share its minimiser; if a minimiser has more windows
-than a bucket should hold, its windows are dealt out one by one, by their own hash.
+than a bucket should hold, its windows are dealt out one by one, by their own hash, and in two rounds:
+first among the chunks of a group, then among the groups, so that a window with a copy in every chunk
+meets about the square root of their number at once.
 """
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,13 +27,14 @@ from careline.llm.common import cut, row_key
 WINDOW, GRAM = 20, 4
 #: Text that a task looks at at once, and packed text that a bucket should hold.
 CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 24 << 20
-#: A minimiser is hot from this many super-k-mers on, and from this share of all (so hot ones are few).
-HOT_RUNS, HOT_SHARE = 1 << 15, 1 << 16
+#: A minimiser is hot from this many super-k-mers on, and from this share of all (so hot ones are few);
+#: it is counted if it stands this often in one task.  Bytes that a super-k-mer takes, about.
+HOT_RUNS, HOT_SHARE, REPORTED, RUN_BYTES = 1 << 15, 1 << 20, 4, 160
 _PIECE = 1 << 20
 
 _META = np.dtype([("id", "<i8"), ("hash", "<i8"), ("start", "<i4"), ("words", "<i4")])
 _SPAN = np.dtype([("id", "<i8"), ("hash", "<i8"), ("start", "<i4"), ("stop", "<i4")])
-_ROUTED = "bucket bigint, spans boolean, data binary"
+_ROUTED = "bucket bigint, part bigint, spans boolean, data binary"
 _SPANS = "__did bigint, __dhash bigint, start int, stop int"
 
 _POWERS = np.cumprod(np.r_[np.uint64(1), np.full((1 << 16) - 1, 0x9E3779B97F4A7C15 | 1, np.uint64)])
@@ -178,18 +182,48 @@ def _chunks(batches: Iterable[pa.RecordBatch], chunk_bytes: int) -> Iterator[Chu
         yield Chunk(rows)
 
 
-def _survey(chunk_bytes: int):
-    """Super-k-mers and bytes of each chunk (minimiser null), and its frequent minimisers."""
+class _Tally:
+    """Exact counts of 64-bit numbers; what is held is bounded."""
+
+    def __init__(self, limit: int = 1 << 22):
+        self.limit, self.value, self.n = limit, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, value: np.ndarray) -> bool:
+        """Count numbers; whether more are held now than should be."""
+        value, n = np.unique(value, return_counts=True)
+        self.value, where = np.unique(np.r_[self.value, value], return_inverse=True)
+        self.n = np.bincount(where, np.r_[self.n, n], len(self.value)).astype(np.int64)
+        return len(self.value) > self.limit
+
+    def often(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        rows = self.n >= least
+        value, n = self.value[rows], self.n[rows]
+        self.value, self.n = self.value[:0], self.n[:0]
+        return value, n
+
+
+def _survey(chunk_bytes: int, reported: int):
+    """Super-k-mers and bytes of each task (minimiser null), and the minimisers that are not rare in it."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally, held, runs, size = _Tally(), [], 0, 0
+
+        def counted() -> pa.RecordBatch:
+            value, n = tally.often(reported)
+            return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n), pa.array(np.zeros(len(n), np.int64))], ["minimiser", "n", "size"])
+
         for chunk in _chunks(batches, chunk_bytes):
             first, _ = _runs(np.r_[True, (np.diff(chunk.low) != 0) | (np.diff(chunk.doc) != 0)])
-            value, n = np.unique(chunk.low[first], return_counts=True)
-            often = n >= max(8, len(first) // HOT_SHARE)
-            value, n = value[often].view(np.int64).tolist(), n[often].tolist()
-            yield pa.RecordBatch.from_arrays([
-                pa.array([None, *value], pa.int64()), pa.array([len(first), *n], pa.int64()),
-                pa.array([len(chunk.words.data), *[0] * len(n)], pa.int64())], ["minimiser", "n", "size"])
+            held.append(chunk.low[first])
+            runs, size = runs + len(first), size + len(chunk.words.data)
+            if sum(map(len, held)) > 1 << 20:
+                if tally.add(np.concatenate(held)):
+                    yield counted()
+                held = []
+        if held:
+            tally.add(np.concatenate(held))
+        yield counted()
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([runs]), pa.array([size])], ["minimiser", "n", "size"])
 
     return run
 
@@ -204,73 +238,117 @@ def _unpacked(data: bytes, kind: np.dtype) -> tuple[np.ndarray, bytes]:
     return np.frombuffer(raw[8:end], kind), raw[end:]
 
 
-def _route(hot: np.ndarray, buckets: int, chunk_bytes: int):
-    """Text -> super-k-mers by bucket, and spans that a chunk settles by itself."""
+def _records(words: Words, at: np.ndarray, owner: np.ndarray, ids: np.ndarray, hashes: np.ndarray, starts: np.ndarray,
+             bucket: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Windows as packed text by bucket: consecutive ones of one owner and bucket are one record.
 
-    def of(chunk: Chunk) -> Iterator[tuple[int, bool, bytes]]:
-        words, hashes = chunk.words, window_hashes(chunk.h)[chunk.at]
-        first = first_equal(words, chunk.at, hashes)
-        again = first != chunk.at
-        spans = chunk.spans(np.flatnonzero(again))
-        if len(spans):
-            yield int(mix(np.array([chunk.hash[0]], np.int64).view(np.uint64))[0] % np.uint64(buckets)), True, _packed(spans, b"")
-        rows = np.flatnonzero(~again)
-        at, doc = chunk.at[rows], chunk.doc[rows]
-        way = np.where(np.isin(chunk.low[rows], hot), hashes[rows], chunk.low[rows])
-        begin, last = _runs(np.r_[True, (np.diff(at) != 1) | (np.diff(doc) != 0) | (np.diff(way) != 0)]) if len(at) else (rows, rows)
-        bucket = (mix(way[begin]) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        begin, last, bucket = begin[order], last[order], bucket[order]
-        meta = np.empty(len(begin), _META)
-        meta["id"], meta["hash"] = chunk.id[doc[begin]], chunk.hash[doc[begin]]
-        meta["start"] = at[begin] - chunk.begin[doc[begin]]
-        meta["words"] = at[last] - at[begin] + WINDOW
-        a, b = words.starts[at[begin]], words.stops[at[last] + WINDOW - 1]
-        first_row, last_row = _runs(np.r_[True, np.diff(bucket) != 0]) if len(bucket) else (bucket, bucket)
-        for x, y in zip(first_row.tolist(), (last_row + 1).tolist()):
-            text = b"\n".join([words.data[s:e] for s, e in zip(a[x:y].tolist(), b[x:y].tolist())]) + b"\n"
-            yield int(bucket[x]), False, _packed(meta[x:y], text)
+    ``at`` are the windows' first words, ``starts`` the same as places in their document, ``ids`` and ``hashes`` the documents' keys.
+    """
+    begin, last = _runs(np.r_[True, (np.diff(at) != 1) | (np.diff(owner) != 0) | (np.diff(bucket) != 0)]) if len(at) else (at, at)
+    order = np.argsort(bucket[begin], kind="stable")
+    begin, last = begin[order], last[order]
+    own = bucket[begin]
+    meta = np.empty(len(begin), _META)
+    meta["id"], meta["hash"], meta["start"] = ids[begin], hashes[begin], starts[begin]
+    meta["words"] = at[last] - at[begin] + WINDOW
+    a, b = words.starts[at[begin]], words.stops[at[last] + WINDOW - 1]
+    first_row, last_row = _runs(np.r_[True, np.diff(own) != 0]) if len(own) else (own, own)
+    for x, y in zip(first_row.tolist(), (last_row + 1).tolist()):
+        text = b"\n".join([words.data[s:e] for s, e in zip(a[x:y].tolist(), b[x:y].tolist())]) + b"\n"
+        yield int(own[x]), _packed(meta[x:y], text)
+
+
+def _dealt(value: np.ndarray, n: int) -> np.ndarray:
+    return (mix(value) % np.uint64(n)).astype(np.int64)
+
+
+def _row(bucket: int, part: int, spans: bool, data: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([bucket]), pa.array([part]), pa.array([spans]), pa.array([data], pa.binary())],
+                                      ["bucket", "part", "spans", "data"])
+
+
+def _route(hot: np.ndarray, buckets: int, chunk_bytes: int, groups: int = 0):
+    """Text -> super-k-mers by bucket, and spans that a chunk settles by itself; with ``groups`` windows of hot
+    minimisers alone, by their own hash and group of chunks."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches, chunk_bytes):
-            for bucket, spans, data in of(chunk):
-                yield pa.RecordBatch.from_arrays([pa.array([bucket]), pa.array([spans]), pa.array([data], pa.binary())], ["bucket", "spans", "data"])
+            hashes = window_hashes(chunk.h)[chunk.at]
+            first = first_equal(chunk.words, chunk.at, hashes)
+            own = mix(chunk.hash[:1].view(np.uint64))
+            if not groups:
+                spans = chunk.spans(np.flatnonzero(first != chunk.at))
+                if len(spans):
+                    yield _row(int(own[0] % np.uint64(buckets)), 0, True, _packed(spans, b""))
+            rows = np.flatnonzero((first == chunk.at) & (np.isin(chunk.low, hot) == bool(groups)))
+            at, doc = chunk.at[rows], chunk.doc[rows]
+            bucket = _dealt(hashes[rows] if groups else chunk.low[rows], buckets)
+            for number, data in _records(chunk.words, at, doc, chunk.id[doc], chunk.hash[doc], at - chunk.begin[doc], bucket):
+                yield _row(number, int(own[0] % np.uint64(groups)) if groups else 0, False, data)
 
     return run
 
 
-def _judge(table: pa.Table) -> pa.Table:
-    """Spans of words covered by windows that stand earlier, from all that came to a bucket."""
-    done, metas, texts = [], [], []
-    for spans, data in zip(table.column("spans").to_pylist(), table.column("data")):
-        if spans:
-            done.append(_unpacked(data.as_py(), _SPAN)[0])
-        else:
-            meta, text = _unpacked(data.as_py(), _META)
+class _Met:
+    """All windows that came to a bucket, in order of their documents, and the first of the same words for each."""
+
+    def __init__(self, packed: Iterable[bytes]):
+        metas, texts = [], []
+        for data in packed:
+            meta, text = _unpacked(data, _META)
             metas.append(meta)
             texts += text.split(b"\n")[:-1]
-    if metas:
-        meta = np.concatenate(metas)
+        meta = np.concatenate(metas) if metas else np.empty(0, _META)
         order = np.lexsort((meta["start"], meta["hash"], meta["id"]))
-        meta = meta[order]
-        words = Words(b"".join([texts[i] + b"\n" for i in order.tolist()]))
+        self.meta = meta = meta[order]
+        self.words = Words(b"".join([texts[i] + b"\n" for i in order.tolist()]))
         n = meta["words"].astype(np.int64)
         begin, k = np.cumsum(n) - n, n - WINDOW + 1
         step = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-        record = np.repeat(np.arange(len(k)), k)
-        at = begin[record] + step
-        first = first_equal(words, at, window_hashes(words.hashes())[at])
-        origin = np.searchsorted(begin, first, "right") - 1
-        start = meta["start"][record] + step
+        self.record = np.repeat(np.arange(len(k)), k)
+        self.at = begin[self.record] + step
+        self.start = meta["start"][self.record] + step
+        self.hashes = window_hashes(self.words.hashes())[self.at] if len(self.at) else np.zeros(0, np.uint64)
+        self.first = first_equal(self.words, self.at, self.hashes)
+        origin = np.searchsorted(begin, self.first, "right") - 1
         # a repeated row is the same document: its windows are no earlier ones
-        other = ((meta["id"][record] != meta["id"][origin]) | (meta["hash"][record] != meta["hash"][origin])
-                 | (start != meta["start"][origin] + first - begin[origin]))
-        rows = np.flatnonzero(other)
-        a, r = start[rows], record[rows]
+        self.late = ((meta["id"][self.record] != meta["id"][origin]) | (meta["hash"][self.record] != meta["hash"][origin])
+                     | (self.start != meta["start"][origin] + self.first - begin[origin]))
+
+    def spans(self) -> np.ndarray:
+        """Spans of words covered by windows that stand earlier."""
+        rows = np.flatnonzero(self.late)
+        a, r = self.start[rows], self.record[rows]
         i, j = _runs(np.r_[True, (np.diff(a) != 1) | (np.diff(r) != 0)]) if len(rows) else (rows, rows)
         spans = np.empty(len(i), _SPAN)
-        spans["id"], spans["hash"], spans["start"], spans["stop"] = meta["id"][r[i]], meta["hash"][r[i]], a[i], a[j] + WINDOW
-        done.append(spans)
+        spans["id"], spans["hash"], spans["start"], spans["stop"] = self.meta["id"][r[i]], self.meta["hash"][r[i]], a[i], a[j] + WINDOW
+        return spans
+
+
+def _settle(first_bucket: int, buckets: int):
+    """The first round of hot windows: spans, and one window of the same words for the second round."""
+
+    def run(table: pa.Table) -> pa.Table:
+        met = _Met(d.as_py() for d in table.column("data"))
+        out, spans = [], met.spans()
+        if len(spans):
+            out.append((first_bucket + int(table.column("part")[0].as_py() % buckets), True, _packed(spans, b"")))
+        rows = np.flatnonzero(met.first == met.at)
+        record = met.record[rows]
+        out += [(first_bucket + b, False, data) for b, data in _records(
+            met.words, met.at[rows], record, met.meta["id"][record], met.meta["hash"][record], met.start[rows], _dealt(met.hashes[rows], buckets))]
+        return pa.table({"bucket": pa.array([o[0] for o in out], pa.int64()), "part": pa.array([0] * len(out), pa.int64()),
+                         "spans": pa.array([o[1] for o in out], pa.bool_()), "data": pa.array([o[2] for o in out], pa.binary())})
+
+    return run
+
+
+def _judge(table: pa.Table) -> pa.Table:
+    """Spans of words covered by windows that stand earlier, from all that came to a bucket."""
+    kinds = table.column("spans").to_pylist()
+    done = [_unpacked(d.as_py(), _SPAN)[0] for d, spans in zip(table.column("data"), kinds) if spans]
+    if not all(kinds):
+        done.append(_Met(d.as_py() for d, spans in zip(table.column("data"), kinds) if not spans).spans())
     spans = np.concatenate(done)
     return pa.table({"__did": spans["id"], "__dhash": spans["hash"], "start": spans["start"], "stop": spans["stop"]})
 
@@ -291,6 +369,24 @@ def _kept(texts: pa.Array, spans: pa.Array) -> pa.Array:
                                       ["kept", "n_words", "n_removed"])
 
 
+def routed_windows(rows: DataFrame, chunk_bytes: int, bucket_bytes: int, hot_runs: int) -> DataFrame:
+    """What comes to each bucket, from rows of id, hash and text: packed windows, and spans that are settled."""
+    survey = cut(rows.mapInArrow(_survey(chunk_bytes, min(REPORTED, hot_runs)), "minimiser bigint, n bigint, size bigint").groupBy("minimiser").agg(
+        F.sum("n").alias("n"), F.sum("size").alias("size")))
+    total = survey.where("minimiser IS NULL").first()
+    often = survey.where("minimiser IS NOT NULL").where(F.col("n") >= max(hot_runs, (total["n"] if total else 0) // HOT_SHARE))
+    often = often.select("minimiser", "n").collect()  # at most HOT_SHARE of them
+    size = total["size"] if total else 0
+    hot, buckets = np.array([r.minimiser for r in often], np.int64).view(np.uint64), max(1, -(-3 * size // bucket_bytes))
+    routed = rows.mapInArrow(_route(hot, buckets, chunk_bytes), _ROUTED)
+    if not often:
+        return routed
+    groups = max(1, math.isqrt(size // chunk_bytes))
+    many = max(1, -(-sum(r.n for r in often) * WINDOW * RUN_BYTES // bucket_bytes))
+    met = rows.mapInArrow(_route(hot, max(1, many // groups), chunk_bytes, groups), _ROUTED)
+    return routed.unionByName(met.groupBy("bucket", "part").applyInArrow(_settle(buckets, many), _ROUTED))
+
+
 def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", into: str = "deduped", *,
                           chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES, hot_runs: int = HOT_RUNS) -> DataFrame:
     """``docs`` with the struct ``into``: ``kept`` (kept words joined by one blank), ``n_words``, ``n_removed``.
@@ -303,14 +399,7 @@ def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "
     and share its result.  Other columns stay, one named like ``into`` is replaced.
     """
     own = docs.withColumns(dict(zip(("__id", "__text_hash"), row_key(id_col, text))))
-    rows = own.select("__id", "__text_hash", text)
-    survey = cut(rows.mapInArrow(_survey(chunk_bytes), "minimiser bigint, n bigint, size bigint").groupBy("minimiser").agg(
-        F.sum("n").alias("n"), F.sum("size").alias("size")))
-    total = survey.where("minimiser IS NULL").first() or {"n": 0, "size": 0}
-    often = survey.where("minimiser IS NOT NULL").where(F.col("n") >= max(hot_runs, total["n"] // HOT_SHARE))
-    hot = [r.minimiser for r in often.select("minimiser").collect()]  # at most HOT_SHARE of them
-    buckets = max(1, -(-3 * total["size"] // bucket_bytes))
-    routed = rows.mapInArrow(_route(np.array(hot, np.int64).view(np.uint64), buckets, chunk_bytes), _ROUTED)
+    routed = routed_windows(own.select("__id", "__text_hash", text), chunk_bytes, bucket_bytes, hot_runs)
     spans = routed.groupBy("bucket").applyInArrow(_judge, _SPANS).groupBy("__did", "__dhash").agg(
         F.collect_list(F.struct("start", "stop")).alias("__spans"))
     keep = F.arrow_udf(_kept, "struct<kept: string, n_words: bigint, n_removed: bigint>")

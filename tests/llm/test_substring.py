@@ -52,3 +52,18 @@ def test_equal_hashes_are_told_apart_by_text():
     words = substring.Words(data)
     at = np.array([0, 20, 40])
     assert substring.first_equal(words, at, np.zeros(3, np.uint64)).tolist() == [0, 20, 0]
+
+
+def test_a_passage_in_every_chunk_fills_no_bucket(spark):
+    """One passage once in each of 300 chunks: it counts as hot, and its windows meet in two rounds."""
+    passage = " ".join(f"p{k}" for k in range(30))
+    data = [(i, " ".join(f"x{i}_{k}" for k in range(40)) + " " + passage + " " + " ".join(f"y{i}_{k}" for k in range(40))) for i in range(300)]
+    df = make(spark, data).repartition(8, F.col("doc_id"))
+    options = {"chunk_bytes": 500, "bucket_bytes": 20_000, "hot_runs": 100}
+    assert rows(substring.drop_repeated_windows(df, **options)) == brute.substring_dedup(data)
+    keyed = df.select(*substring.row_key("doc_id", "text"), "text")
+    sizes = substring.routed_windows(keyed, **options).groupBy("bucket").agg(F.sum(F.length("data")).alias("n"), F.count("*").alias("rows")).collect()
+    assert max(r.n for r in sizes) <= 20_000
+    # cold: one row from every chunk at most 300; hot windows came as survivors of 17 groups
+    hot = [r for r in sizes if r.bucket >= max(1, -(-3 * sum(len(t) for _, t in data) // 20_000))]
+    assert hot and max(r.rows for r in hot) <= 40
