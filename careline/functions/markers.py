@@ -102,6 +102,52 @@ def marker_context(c: Column, marker: str, n: int = V.CONTEXT_CHARS, patterns=V.
     return F.coalesce(F.regexp_replace(after, r"(?U)^\s+|\s+$", ""), F.lit(""))
 
 
+def mention_scan(c: Column, patterns=V.MARKERS, n: int = V.CONTEXT_CHARS) -> Column:
+    """All mentions of all markers in one search: an array of (marcador, trecho) in the order of the text.
+
+    ``trecho`` is the mention with the ``n`` characters after it; only these short pieces are looked
+    at again to tell the markers apart.
+    """
+    any_of = "|".join(f"(?:{possessive(p)})" for p in patterns.values())
+    # A cheap look at the letter that may begin a mention goes first.
+    begins = "".join(sorted({letter for p in patterns.values() for letter in re.findall(r"(?:\\b|\(\?:|\|)([a-z])", p)}))
+    # The piece is captured ahead, so a context does not hide the mentions in it.
+    search = rf"{UNICODE_ANY_CASE}(?=[{begins}])(?=((?:{any_of})(?s:.{{0,{n}}})))."
+    pieces = F.coalesce(F.regexp_extract_all(c, F.lit(search), F.lit(1)), F.array().cast("array<string>"))
+    return F.filter(F.transform(pieces, lambda p: F.struct(_marker_of(p, patterns).alias("marcador"), p.alias("trecho"))),
+                    lambda m: m["marcador"].isNotNull())
+
+
+_MENTION_CHARS = 40
+
+
+def _marker_of(piece: Column, patterns) -> Column:
+    """The marker that a piece begins with; its first characters nearly always tell."""
+
+    def first_hit(low: Column) -> Column:
+        found = None
+        for name, pattern in patterns.items():
+            hit = low.rlike(rf"{UNICODE}^(?:{possessive(pattern)})")
+            found = F.when(hit, name) if found is None else found.when(hit, name)
+        return found
+
+    head = F.lower(F.substring(piece, 1, _MENTION_CHARS))
+    return F.coalesce(F.transform(F.array(head), first_hit)[0],
+                      F.when(F.char_length(piece) > _MENTION_CHARS, F.transform(F.array(F.lower(piece)), first_hit)[0]))
+
+
+def scanned_count(scan: Column, marker: str) -> Column:
+    """Mentions of one marker in a scan."""
+    return F.size(F.filter(scan, lambda m: m["marcador"] == marker))
+
+
+def scanned_context(scan: Column, marker: str, patterns=V.MARKERS) -> Column:
+    """What follows the first mention of one marker in a scan, stripped; ``''`` if there is none."""
+    first = F.try_element_at(F.filter(scan, lambda m: m["marcador"] == marker), F.lit(1))["trecho"]
+    after = F.regexp_replace(first, rf"{UNICODE_ANY_CASE}^(?:{possessive(patterns[marker])})\s*+|\s+$", "")
+    return F.coalesce(after, F.lit(""))
+
+
 _NUMBER = r"(\d{1,3}(?:[.,]\d+)?)"
 _PERCENT_RANGE = rf"(?iu){_NUMBER}(?:\s*(?:-|–|a|até)\s*{_NUMBER})?\s*%"
 

@@ -14,8 +14,9 @@ from careline import fixed_values as V
 from careline.functions.answers import number_or_zero, sorted_set
 from careline.functions.markers import (
     has_percent_range,
-    marker_context,
-    marker_count,
+    mention_scan,
+    scanned_context,
+    scanned_count,
 )
 
 HIT = "acertou_"
@@ -140,6 +141,48 @@ def error_summary(df: DataFrame, fields: Sequence[str] | None = None) -> DataFra
     return _unpivot(row, [*names, "Total"], ("erros", "percentual"))
 
 
+#: Size of a quantile sketch; a quartile's rank is then off by about 1 % of the rows.
+SKETCH_K, RANK_ERROR = 400, 0.02
+QUARTILES = {"q1": 0.25, "mediana": 0.5, "q3": 0.75}
+
+
+def describe_state(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """What ``describe_from`` needs, per group of ``by`` (a day, say) and column, in one aggregate.
+
+    Count, sum, sum of squares about the group's mean, ends, and a quantile sketch of a few
+    kilobytes whatever the number of rows.  States are merged in any order.
+    """
+    aggs = []
+    for i, c in enumerate(cols):
+        value = F.col(c).cast("double")
+        aggs += [F.count(value).alias(f"{i}_n"), F.sum(value).alias(f"{i}_soma"), (F.var_pop(value) * F.count(value)).alias(f"{i}_desvios"),
+                 F.min(value).alias(f"{i}_minimo"), F.max(value).alias(f"{i}_maximo"),
+                 # a sketch of no value stays out
+                 F.when(F.count(value) > 0, F.kll_sketch_agg_double(value, F.lit(SKETCH_K))).alias(f"{i}_esboco")]
+    cells = ("n", "soma", "desvios", "minimo", "maximo", "esboco")
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("coluna"), *[F.col(f"{i}_{c}").alias(c) for c in cells]) for i, name in enumerate(cols)]))
+    return df.groupBy(*by).agg(*aggs).select(*by, rows.alias("r")).select(*by, "r.*")
+
+
+def describe_from(states: DataFrame) -> DataFrame:
+    """Count, mean, deviation, ends and quartiles per column, from states of ``describe_state``.
+
+    Quartiles are values of the data whose rank is within ``RANK_ERROR`` of the number of rows; up to
+    ``SKETCH_K`` rows they are exact.  A column without values has NULLs.
+    """
+    whole = states.groupBy("coluna").agg((F.sum("soma") / F.nullif(F.sum("n"), F.lit(0))).alias("media"))
+    n = F.sum("n")
+    # squares about a state's mean, and of its mean about the mean of all
+    squares = F.sum(F.when(F.col("n") > 0, F.col("desvios") + F.col("n") * F.pow(F.col("soma") / F.col("n") - F.col("media"), 2)))
+    merged = states.join(whole, "coluna").groupBy("coluna").agg(
+        n.alias("n"), F.first("media").alias("media"), F.when(n > 1, F.sqrt(squares / (n - 1))).alias("desvio"),
+        F.min("minimo").alias("minimo"), F.max("maximo").alias("maximo"),
+        F.when(n > 0, F.kll_merge_agg_double("esboco", F.lit(SKETCH_K))).alias("_esboco"))
+    quartiles = {name: F.when(F.col("_esboco").isNotNull(), F.kll_sketch_get_quantile_double("_esboco", F.lit(rank))) for name, rank in QUARTILES.items()}
+    return merged.withColumns(quartiles).drop("_esboco")
+
+
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, standard deviation, minimum and maximum per column."""
     aggs = []
@@ -160,25 +203,28 @@ def any_error(df: DataFrame, fields: Sequence[str] | None = None, out: str = "er
     return df.withColumn(out, flag)
 
 
+SCAN = "_mencoes"
+
+
+def with_scan(df: DataFrame, text: str = "laudo_tratado", patterns=V.MARKERS) -> DataFrame:
+    """Add the report's mentions; they are exploded from a one-element array, which keeps what
+    uses them above the search: it runs once per report."""
+    return df.withColumn(SCAN, F.explode(F.array(mention_scan(F.col(text), patterns))))
+
+
 def marker_counts(df: DataFrame, text: str = "laudo_tratado", patterns=V.MARKERS_LOOSE,
                   prefix: str = "ctg_") -> DataFrame:
     """Add one mention count per marker."""
-    return df.withColumns(
-        {prefix + m: marker_count(F.col(text), m, patterns) for m in patterns}
-    )
+    scanned = with_scan(df, text, patterns)
+    return scanned.withColumns({prefix + m: scanned_count(F.col(SCAN), m) for m in patterns}).drop(SCAN)
 
 
 def with_mentions(df: DataFrame, markers: Sequence[str] = tuple(V.MARKERS),
                   text: str = "laudo_tratado") -> DataFrame:
-    """Add a mention count and the first mention's context per marker.
-
-    A context is looked for only where the marker is mentioned.
-    """
-    counted = df.withColumns({f"ctg_{m}": marker_count(F.col(text), m) for m in markers})
-    return counted.withColumns({
-        f"txt_{m}": F.when(F.col(f"ctg_{m}") > 0, marker_context(F.col(text), m)).otherwise(F.lit(""))
-        for m in markers
-    })
+    """Add a mention count and the first mention's context per marker, from one search of the report."""
+    scan, scanned = F.col(SCAN), with_scan(df, text, {m: V.MARKERS[m] for m in markers})
+    counts = {f"ctg_{m}": scanned_count(scan, m) for m in markers}
+    return scanned.withColumns(counts | {f"txt_{m}": scanned_context(scan, m) for m in markers}).drop(SCAN)
 
 
 def validation_sheet(df: DataFrame, markers: Sequence[str] = tuple(V.MARKERS),
@@ -197,17 +243,20 @@ _PHRASE = {"estrogenio": "positivo|negativo", "progesterona": "positivo|negativo
 
 
 def inconsistencies(df: DataFrame, text: str = "laudo_tratado") -> DataFrame:
-    """Add one flag per class of wording that misleads an extraction."""
-    c = F.col(text)
-    flags = {f"varios_{m}": marker_count(c, m) > 1 for m in V.MARKERS}
+    """Add one flag per class of wording that misleads an extraction, from one search of the report."""
+    scan = F.col(SCAN)
+    # Counts and contexts are columns of their own, so each is taken from the scan once.
+    found = {f"_n_{m}": scanned_count(scan, m) for m in V.MARKERS}
+    found |= {f"_txt_{m}": scanned_context(scan, m) for m in V.MARKERS}
+    flags = {f"varios_{m}": F.col(f"_n_{m}") > 1 for m in V.MARKERS}
     for m in ("estrogenio", "progesterona"):
-        phrase = F.lower(F.regexp_extract(marker_context(c, m), r"^[^.\n]*", 0))
+        phrase = F.lower(F.regexp_extract(F.col(f"_txt_{m}"), r"^[^.\n]*", 0))
         flags[f"ambos_{m}"] = F.contains(phrase, F.lit("positivo")) & F.contains(phrase, F.lit("negativo"))
     for m in _PHRASE:
-        context = F.lower(marker_context(c, m))
-        flags[f"sem_status_{m}"] = (marker_count(c, m) > 0) & ~context.rlike(_PHRASE[m])
-    flags["faixa_ki67"] = has_percent_range(marker_context(c, "ki67"))
-    return df.withColumns({k: F.coalesce(v, F.lit(False)) for k, v in flags.items()})
+        flags[f"sem_status_{m}"] = (F.col(f"_n_{m}") > 0) & ~F.lower(F.col(f"_txt_{m}")).rlike(_PHRASE[m])
+    flags["faixa_ki67"] = has_percent_range(F.col("_txt_ki67"))
+    scanned = with_scan(df, text).withColumns(found)
+    return scanned.withColumns({k: F.coalesce(v, F.lit(False)) for k, v in flags.items()}).drop(SCAN, *found)
 
 
 def inconsistency_profile(df: DataFrame, text: str = "laudo_tratado") -> DataFrame:

@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from careline import fixed_values as V
@@ -98,6 +98,29 @@ def reminder_effect(activation: DataFrame, returns: DataFrame,
     )
 
 
+def attribute_returns(returns: DataFrame, reminders: DataFrame, client: str = "id_cliente", returned: str = "dth_retorno",
+                      reminded: str = "dth_lembrete", within: int | None = None) -> DataFrame:
+    """``returns`` with ``dth_lembrete`` and ``dias_lembrete``: the patient's last reminder up to each return.
+
+    A reminder of the same day counts; one that is more than ``within`` days old does not.  Returns
+    without a patient, a date or a reminder keep NULLs.
+
+    Both sides become one row per patient and day, and a window in order of days carries the last
+    reminder along, so a patient's window is bounded by calendar days, however many visits there are.
+    """
+    day = F.col(returned).cast("date")
+    sent = reminders.select(F.col(client).alias("_cliente"), F.col(reminded).cast("date").alias("_dia")).dropna().distinct()
+    came = returns.select(F.col(client).alias("_cliente"), day.alias("_dia")).dropna().distinct()
+    both = sent.withColumn("_enviado", F.col("_dia")).unionByName(came.withColumn("_enviado", F.lit(None).cast("date")))
+    days = both.groupBy("_cliente", "_dia").agg(F.max("_enviado").alias("_enviado"))
+    so_far = Window.partitionBy("_cliente").orderBy("_dia").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = days.withColumn("dth_lembrete", F.last("_enviado", ignorenulls=True).over(so_far))
+    age = F.datediff("_dia", "dth_lembrete")
+    last = last.filter(age.isNotNull() if within is None else age <= within).select("_cliente", "_dia", "dth_lembrete", age.alias("dias_lembrete"))
+    # the join spreads a busy patient over the days
+    return returns.withColumns({"_cliente": F.col(client), "_dia": day}).join(last, ["_cliente", "_dia"], "left").drop("_cliente", "_dia")
+
+
 @dataclass(frozen=True)
 class ChannelRules:
     """One reminder channel.  The window is inclusive on both ends."""

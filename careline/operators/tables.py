@@ -142,8 +142,12 @@ def _leaf_dirs(folder: _Folder, top: str, depth: int) -> list[str]:
 
 
 def _commit(df: DataFrame, folder: _Folder, state: dict | None, keep: Sequence[str],
-            by: Sequence[str], keep_empty: bool = True, figures: Sequence[Column] = ()) -> dict:
-    """Write one generation and publish it; the figures (aggregates) come from the write itself."""
+            by: Sequence[str], keep_empty: bool = True, figures: Sequence[Column] = (),
+            replaced: Sequence[str] | None = None) -> dict:
+    """Write one generation and publish it; the figures (aggregates) come from the write itself.
+
+    With ``replaced``, folders to keep are dropped if they are named there or written anew.
+    """
     generation = max(
         [int(n.split("=")[1]) for n in folder.names("data") if n.startswith(f"{_GEN}=")],
         default=0,
@@ -160,11 +164,15 @@ def _commit(df: DataFrame, folder: _Folder, state: dict | None, keep: Sequence[s
     if not keep_empty and not found["linhas"]:
         folder.delete(f"data/{top}")
         return found
+    new = _leaf_dirs(folder, top, len(by))
+    if replaced is not None:
+        gone = {*replaced, *[d.partition("/")[2] for d in new]}
+        keep = [d for d in keep if d.partition("/")[2] not in gone]
     version = (_versions(folder) or [0])[-1] + 1
     folder.publish(f"versions/{version:08d}.json", json.dumps({
         "schema": json.loads(df.schema.json()),
         "by": list(by),
-        "dirs": list(keep) + _leaf_dirs(folder, top, len(by)),
+        "dirs": list(keep) + new,
     }))
     return found
 
@@ -181,6 +189,19 @@ def overwrite(df: DataFrame, path: str, by: Sequence[str] = (), keep_empty: bool
     return _commit(df, folder, _latest(folder), (), by, keep_empty, figures)
 
 
+def replace_partitions(df: DataFrame, path: str, emptied: Sequence[str] = ()) -> dict:
+    """Replace the partitions that the frame has rows of, and remove those of the ``emptied`` values.
+
+    For tables with one partition column.  Other partitions are neither read nor written.
+    """
+    folder = _Folder(df.sparkSession, path)
+    state = _latest(folder)
+    if len(state["by"]) != 1:
+        raise ValueError("replace_partitions needs a table with one partition column")
+    source = match_types(df, StructType.fromJson(state["schema"]))
+    return _commit(source, folder, state, state["dirs"], state["by"], replaced=[f"{state['by'][0]}={v}" for v in emptied])
+
+
 def check_unambiguous(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> None:
     """Raise if a target row is matched by two source rows: an update would be ambiguous.
 

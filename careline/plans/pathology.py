@@ -23,6 +23,7 @@ from careline.operators.cohort import (
 from careline.operators.evaluate import compare
 from careline.operators.increment import since
 from careline.operators.joins import join_keys
+from careline.operators.typed import compare_typed, with_variant
 from careline.sources.tables import all_but
 
 NUMBERS = V.PATHOLOGY_FIELDS[1:5]
@@ -37,6 +38,17 @@ def pathology_reports(reports: DataFrame, group: str = "F",
     return mentions(female_only(df))
 
 
+def pathology_typed(reports: DataFrame, answers: DataFrame, group: str = "F", keys: Sequence[str] | None = None,
+                    languages=("python", "json"), pick_object: bool = False) -> DataFrame:
+    """Answers as variants against pattern labels in their own types, and a flag per field.
+
+    Patterns run on the report scan and answers are parsed below the join, so neither text is shuffled.
+    """
+    gold = all_but(pseudo_gold(reports, "pathology", versions=V.RULE_VERSIONS[group]), TEXT)
+    df = join_keys(gold, with_variant(answers, languages=languages, pick_object=pick_object), keys or V.REPORT_KEYS[group])
+    return compare_typed(df, V.PATHOLOGY_FIELDS)
+
+
 def pathology_labels(reports: DataFrame, answers: DataFrame, rule: str = "sentinel",
                      group: str = "F", keys: Sequence[str] | None = None,
                      languages=("python", "json"), literal: bool = False,

@@ -3,6 +3,7 @@ import re
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from careline import fixed_values as V
 from careline.functions import markers as M
@@ -148,3 +149,35 @@ def test_padding_costs_linear_time(apply, name):
         for version in rules:
             apply(lambda c, v=version: fn(c, v), texts)
     assert time.time() - start < 60
+
+
+def test_one_scan_gives_the_counts_and_contexts_of_single_searches(spark):
+    """Random texts of mention parts: the scan against one search per marker."""
+    import random
+
+    from careline.operators.evaluate import marker_counts, with_mentions
+
+    random.seed(5)
+    parts = ["receptor", " de ", "estrogênio", "ESTRÓGENO", "estrogeno", "progesterona", "her2", "HER2", "ck5", "/6", "ck5 / 6", "ki67", "Ki-67", "ki", " 67",
+             " ", "\n", "\u00a0", ".", "é", "er", "x" * 60, "\u017f", "e\u017ftrogeno", "20%", "receptor de progesterona", "receptor  de\nestrogenio "]
+    texts = ["".join(random.choices(parts, k=random.randint(0, 30))) for _ in range(400)] + [None, "", "her2" * 3, "her2 " * 200]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, laudo_tratado string")
+    single = {}
+    for m in V.MARKERS:
+        n = M.marker_count(F.col("laudo_tratado"), m)
+        single |= {f"ctg_{m}": n, f"txt_{m}": F.when(n > 0, M.marker_context(F.col("laudo_tratado"), m)).otherwise("")}
+    names = ["i", *single]
+    want = [tuple(r) for r in df.withColumns(single).orderBy("i").select(names).collect()]
+    assert [tuple(r) for r in with_mentions(df).orderBy("i").select(names).collect()] == want
+    loose = {f"ctg_{m}": M.marker_count(F.col("laudo_tratado"), m, V.MARKERS_LOOSE) for m in V.MARKERS_LOOSE}
+    want = [tuple(r) for r in df.withColumns(loose).orderBy("i").select("i", *loose).collect()]
+    assert [tuple(r) for r in marker_counts(df).orderBy("i").select("i", *loose).collect()] == want
+
+
+def test_plans_search_a_report_once(spark):
+    from careline.operators import evaluate as E
+
+    df = spark.createDataFrame([("x",)], "laudo_tratado string")
+    for out in (E.with_mentions(df), E.inconsistency_profile(df), E.marker_counts(df), E.validation_sheet(df, fields=[])):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all(") == 1, plan

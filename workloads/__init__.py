@@ -6,6 +6,7 @@ def load():
     from workloads import (  # noqa: F401
         q_answers,
         q_cohort,
+        q_daily,
         q_evaluate,
         q_followup,
         q_scan,

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from careline import fixed_values as V
 from careline.operators import evaluate as E
 from careline.plans.ihc import ihc_comparison, ihc_gold, ihc_subtypes
-from careline.plans.pathology import pathology_labels
+from careline.operators import typed as T
+from careline.plans.pathology import pathology_labels, pathology_typed
 from workloads import fixtures as X
 from workloads import sqlanswers as Q
 from workloads import sqltext as S
@@ -40,6 +41,28 @@ def accuracy_by_mean(spark, sf):
     return E.accuracy(_pathology(spark, sf, "null_hit"), V.PATHOLOGY_FIELDS, rate="mean")
 
 
+def _typed(spark, sf):
+    text = F.expr(Q.NUMBERED.format(c="resposta_llm", one="$1", all=""))
+    return X.answers(spark, sf, "pathology").withColumn("resposta_llm", text)
+
+
+@register("compare_typed", f"SELECT ficha, id_item, {', '.join(FLAGS)} FROM {Q.typed_compared()}")
+def compare_typed(spark, sf):
+    """A number is not its text, and null is not missing."""
+    return pathology_typed(X.reports(spark, sf, brand=False), _typed(spark, sf)).select("ficha", "id_item", *FLAGS)
+
+
+@register("accuracy_typed", Q.accuracy(Q.typed_compared(), V.PATHOLOGY_FIELDS))
+def accuracy_typed(spark, sf):
+    return E.accuracy(pathology_typed(X.reports(spark, sf, brand=False), _typed(spark, sf)), V.PATHOLOGY_FIELDS)
+
+
+@register("answer_type_profile", "SELECT campo, tipo, count(*) AS n FROM (" + " UNION ALL ".join(
+    f"SELECT '{f}' AS campo, {Q.json_kind(f)} AS tipo FROM {Q.numbered()}" for f in V.PATHOLOGY_FIELDS) + ") GROUP BY ALL")
+def answer_type_profile(spark, sf):
+    return T.answer_type_profile(T.with_variant(_typed(spark, sf)), V.PATHOLOGY_FIELDS)
+
+
 @register("compare_ihc", f"SELECT ficha, id_item, {', '.join(IHC_FLAGS)} FROM {Q.ihc_compared()}")
 def compare_ihc(spark, sf):
     return _ihc(spark, sf).select("ficha", "id_item", *IHC_FLAGS)

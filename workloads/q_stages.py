@@ -224,8 +224,11 @@ def ihc_subtype_samples(spark, sf):
     FROM {Q.ihc_compared(_IHC_WHERE % "'IH-NEO', 'IHMAMA'")} GROUP BY ALL""")
 def ihc_stage(spark, sf):
     reports = ihc_reports(X.reports(spark, sf, brand=False))
-    df = ihc_comparison(ihc_subtypes(ihc_gold(reports), X.answers(spark, sf, "ihc")))
-    return df.groupBy("heu_status_her2").agg(
+    return ihc_counts(ihc_comparison(ihc_subtypes(ihc_gold(reports), X.answers(spark, sf, "ihc"))))
+
+
+def ihc_counts(compared):
+    return compared.groupBy("heu_status_her2").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.count_if(f"acertou_{f}").alias(f"acertos_{f}") for f in V.IHC_FIELDS])
 

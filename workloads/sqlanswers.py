@@ -108,3 +108,38 @@ def subtypes(source, j="j"):
     return (f"SELECT *, {SUBTYPE} AS categoria_final FROM (SELECT *, {field('receptor_estrogeno', j)} AS er, "
             f"{field('receptor_progesterona', j)} AS pr, {field('status_her2', j)} AS her2, "
             f"coalesce(TRY_CAST({field('ki67_percentual', j)} AS DOUBLE), 0.0) AS ki FROM {source})")
+
+
+# Answers in which every third report has numbers in place of their texts.
+NUMBERED = r"CASE WHEN ficha % 3 = 0 THEN regexp_replace({c}, '\"([0-9])\"', '{one}'{all}) ELSE {c} END"
+
+
+def json_kind(name, j="j"):
+    """What a field of an answer holds."""
+    t = f"json_type({j}, '$.{name}')"
+    return (f"CASE WHEN {j} IS NULL THEN 'ilegivel' WHEN {t} IS NULL THEN 'ausente' WHEN {t} = 'NULL' THEN 'nulo' WHEN {t} = 'VARCHAR' THEN 'texto' "
+            f"WHEN {t} IN ('BIGINT', 'UBIGINT') THEN 'inteiro' WHEN {t} = 'DOUBLE' THEN 'decimal' WHEN {t} = 'BOOLEAN' THEN 'booleano' "
+            f"WHEN {t} = 'ARRAY' THEN 'lista' ELSE 'objeto' END")
+
+
+def numbered():
+    text = NUMBERED.format(c="resposta_patologia", one="\\1", all=", 'g'")
+    return f"(SELECT *, TRY_CAST({clean('resposta')} AS JSON) AS j FROM (SELECT *, {text} AS resposta FROM reports))"
+
+
+def typed_compared():
+    """Flags of answers compared with their types."""
+    first, *numbers, last = V.PATHOLOGY_FIELDS
+    gold = S.pathology()
+    flags = [f"CASE WHEN t = 'lista' THEN NOT list_contains(list_transform(CAST(json_extract(j, '$.{first}') AS JSON[]), lambda x: json_type(x)), 'BIGINT') "
+             f"AND list_sort(list_distinct({string_list(first)})) = g WHEN t IN ('ausente', 'ilegivel') THEN len(g) = 0 ELSE false END AS acertou_{first}"]
+    for n in (*numbers, last):
+        kind, value = json_kind(n), field(n)
+        missing = f"{kind} IN ('ausente', 'ilegivel')"
+        if n == last:
+            flags.append(f"CASE WHEN {missing} THEN heu_{n} IS NULL OR heu_{n} = {NI} WHEN {kind} = 'texto' THEN {value} = coalesce(heu_{n}, {NI}) ELSE false END AS acertou_{n}")
+        else:
+            flags.append(f"CASE WHEN heu_{n} IS NULL THEN {missing} OR ({kind} = 'texto' AND {value} = {NI}) "
+                         f"ELSE {kind} IN ('inteiro', 'decimal') AND TRY_CAST({value} AS DOUBLE) = heu_{n} END AS acertou_{n}")
+    cells = ", ".join(f"{gold[n]} AS heu_{n}" for n in (*numbers, last))
+    return (f"(SELECT ficha, id_item, {', '.join(flags)} FROM (SELECT *, {json_kind(first)} AS t, {gold[first]} AS g, {cells} FROM {numbered()}))")
