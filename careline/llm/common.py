@@ -1,5 +1,6 @@
 """Helpers shared by the operators of this subpackage."""
 
+import functools
 import tempfile
 from collections.abc import Callable
 
@@ -39,6 +40,28 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def shielded(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator whose own ``__`` columns do not touch those of its first argument.
+
+    Input columns that begin with two underscores, and are not named as an argument, are renamed
+    while the operator works.
+    """
+
+    @functools.wraps(operator)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        named = {a for a in (*args, *options.values()) if isinstance(a, str)}
+        odd = [c for c in docs.columns if c.startswith("__") and c not in named]
+        mark = "aside_"
+        while any(c.startswith(mark) for c in docs.columns):
+            mark += "_"
+        there = {c: f"{mark}{i}" for i, c in enumerate(odd)}
+        if not there:
+            return operator(docs, *args, **options)
+        return operator(docs.withColumnsRenamed(there), *args, **options).withColumnsRenamed({v: k for k, v in there.items()})
+
+    return run
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` with ``value`` bound to a variable, so that it is computed once although lambdas use it."""
     return F.transform(F.array(value), body)[0]

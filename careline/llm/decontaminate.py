@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careline.llm.common import cut, let, row_key
+from careline.llm.common import cut, let, row_key, shielded
 
 WINDOW = 13
 #: Benchmark text that is searched for in one pass over the documents; more takes more passes.
@@ -225,6 +225,7 @@ def covered(spans: Column) -> Column:
     return state["n"]
 
 
+@shielded
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item: str = "item_id",
                   item_text: str = "text", into: str = "hits", *, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with the struct ``into``: n_words, n_hit, items, spans, matches, contaminated.

@@ -119,8 +119,8 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     """
     rows = labelled.select(F.col(key).alias("k"), F.col(lang).alias("lang"), F.col(text).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # Rows by language and leading bits of their key's hash: tells below which hash a language's sample lies.
-    bits = F.shiftright(F.xxhash64("k"), 48)
+    # Rows by language and the ten leading bits of their key's hash: tells below which hash a language's sample lies.
+    bits = F.shiftright(F.xxhash64("k"), 54)
     counted = cut(rows.groupBy("lang", bits.alias("bits")).agg(F.count(F.lit(1)).alias("n")))
     n_langs = counted.select("lang").distinct().count()
     if not n_langs:

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careline.llm.common import BLANKS, cut, let, row_key
+from careline.llm.common import BLANKS, cut, let, row_key, shielded
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A line held by at least this share of all shared lines' rows is hot: at most 2,000 lines can be.
@@ -31,6 +31,7 @@ def _keys(docs: DataFrame, id_col: str, text: str, min_chars: int) -> DataFrame:
                     F.xxhash64(F.lit(1), "__key").alias("__h2")))
 
 
+@shielded
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", *, min_chars: int = 10,
                         min_docs: int = 2) -> DataFrame:
     """``docs`` with ``text`` rid of repeated lines, and columns ``n_lines`` (before) and ``n_dropped``.

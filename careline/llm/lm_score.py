@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from careline.llm.common import cut
+from careline.llm.common import cut, shielded
 
 SIDE = 2
 CLASSES = WIDTH = 64
@@ -318,6 +318,7 @@ def share_sums(docs: DataFrame, text: str, words: list[str], counts: DataFrame)
     return found.groupBy("__h1", "__h2").agg((F.sum(F.col("n") * share) / F.sum("copy")).alias("__shares"))
 
 
+@shielded
 def score(docs: DataFrame, words: list[str], weights: dict[str, np.ndarray], text: str = "text", into: str = "lm",
           counts: DataFrame | None = None) -> DataFrame:
     """``docs`` with the struct ``into``: n_words, and log_likelihood, the sum over all words of the text.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from careline.llm import bpe, chat, decontaminate, divergence, filters, langid, lines, lm_score, quality, sharding, simhash, substring, toxicity
 from careline.llm.common import small_batches
-from careline.llm.sql import ORACLES  # noqa: F401
+from careline.llm.sql import ORACLES, SHARD_BYTES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -92,7 +92,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard of every document."""
-    return sharding.assign(table(spark, sf_dir, "documents"))
+    return sharding.assign(table(spark, sf_dir, "documents"), limit=SHARD_BYTES)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

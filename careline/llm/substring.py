@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from careline.llm.common import cut, row_key
+from careline.llm.common import cut, row_key, shielded
 
 WINDOW, GRAM = 20, 4
 #: Text that a task looks at at once, and packed text that a bucket should hold.
@@ -387,6 +387,7 @@ def routed_windows(rows: DataFrame, chunk_bytes: int, bucket_bytes: int, hot_run
     return routed.unionByName(met.groupBy("bucket", "part").applyInArrow(_settle(buckets, many), _ROUTED))
 
 
+@shielded
 def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", into: str = "deduped", *,
                           chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES, hot_runs: int = HOT_RUNS) -> DataFrame:
     """``docs`` with the struct ``into``: ``kept`` (kept words joined by one blank), ``n_words``, ``n_removed``.

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from careline.llm import langid
 from careline.llm.queries import held_out, op6_language_id
@@ -89,3 +90,58 @@ def test_long_texts_are_read_to_the_end():
     counts = langid.features(a)
     assert not np.array_equal(counts, langid.features(a[:-15]))
     assert abs(float((counts**2).sum()) - 1) < 1e-3
+
+
+def plain_features(text):
+    """Shares of one to three adjacent bytes by slot, as square roots, counted one by one."""
+    data = [b if b >= 128 or 97 <= b <= 122 else 32 for b in (" " + text.lower() + " ").encode()]
+    counts = {}
+    for size in (1, 2, 3):
+        for at in range(len(data) - size + 1):
+            gram = 0
+            for b in data[at:at + size]:
+                gram = gram << 8 | b
+            slot = ((gram * 4 + size) * 2654435761 % 2**32) >> 20
+            counts[slot] = counts.get(slot, 0) + 1
+    total = sum(counts.values())
+    return {k: (n / total) ** 0.5 for k, n in counts.items()}
+
+
+def test_prediction_equals_plain_loops(spark):
+    """Features, the families' machines and the duels of the best family, without arrays."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.train(docs.where(~held_out(F.col("doc_id"))))
+    texts = [r.text for r in docs.limit(60).collect() if any(c.isalpha() for c in r.text)] + ["a", "Ein Satz mit ß", "¿qué?", "x" * 3000]
+
+    def chance(machine, x):
+        margin = float(machine[-1]) + sum(float(machine[k]) * v for k, v in x.items())
+        return 1 / (1 + np.exp(-4 * min(10, max(-10, margin))))
+
+    for text in texts:
+        x = plain_features(text)
+        by_family = {f: chance(model.family[i], x) for i, f in enumerate(model.families)}
+        family = max(by_family, key=by_family.get)
+        members = model.families[family]
+        wins, total = dict.fromkeys(members, 0), dict.fromkeys(members, 0.0)
+        for (a, b), machine in model.pairs.items():
+            if a in members:
+                p = chance(machine, x)
+                wins[a if p >= 0.5 else b] += 1
+                total[a] += p
+                total[b] += 1 - p
+        best = max(members, key=lambda m: (wins[m], total[m]))
+        got, score = model.predict(np.array([langid.features(text)]))
+        assert got[0] == best
+        assert score[0] == np.float64(score[0]) and abs(score[0] - by_family[family] * total[best] / (len(members) - 1)) < 1e-4
+
+
+def test_sample_is_the_smallest_hashes_of_each_language(spark):
+    """Whatever the number of rows, repeats and texts of one id: the bound holds, and the model is that of the sample alone."""
+    words = {"en": "the house and the garden are near", "de": "das haus und der garten sind nah"}
+    rows = [(i, lang, f"{words[lang]} {i}") for i in range(300) for lang in words] + [(7, "en", f"{words['en']} x{k}") for k in range(200)]
+    df = spark.createDataFrame(rows + rows[:100], "doc_id long, lang string, text string")
+    model = langid.train(df, per_language=20, sample=40)
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+    chosen = df.distinct().withColumn("n", F.row_number().over(order)).where("n <= 20").drop("n")
+    alone = langid.train(chosen, per_language=20, sample=40)
+    assert np.array_equal(model.family, alone.family)

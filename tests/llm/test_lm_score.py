@@ -117,3 +117,27 @@ def test_query_and_empty_tables(spark):
     assert lm_score.pseudo_likelihood(docs.limit(0)).count() == 0
     blank = spark.createDataFrame([(1, None), (2, " ")], "doc_id bigint, text string")
     assert {(r.lm.n_words, r.lm.log_likelihood) for r in lm_score.pseudo_likelihood(blank).collect()} == {(0, 0.0)}
+
+
+def test_step_follows_the_gradient():
+    """One step from the start against differences of the mean of all chances, weight by weight."""
+    random = np.random.default_rng(3)
+    word, near = random.integers(0, lm_score.TOKENS, 40).astype(np.int32), random.integers(0, 30, (40, 2 * lm_score.SIDE)).astype(np.int32)
+    start = {k: v.astype(np.float64) for k, v in lm_score.start_weights().items()}
+    trainer = lm_score.Trainer(lm_score.start_weights())
+    trainer.step(word, near)
+
+    def loss(weights):
+        return -lm_score.log_chances(weights, word, near).mean()
+
+    for name in start:
+        moved = np.argwhere(trainer.seen[name] > 1.0001e-3)
+        for at in map(tuple, moved[random.permutation(len(moved))[:6]]):
+            up, down = ({**start, name: start[name].copy()} for _ in range(2))
+            up[name][at] += 1e-4
+            down[name][at] -= 1e-4
+            gradient = (loss(up) - loss(down)) / 2e-4
+            found = np.sqrt(max(0.0, float(trainer.seen[name][at]) - 1e-3))
+            assert abs(abs(gradient) - found) < 0.05 * found + 1e-4
+            step = float(trainer.weights[name][at]) - start[name][at]
+            assert step * gradient <= 0 and abs(abs(step) - lm_score.RATE * found / np.sqrt(float(trainer.seen[name][at]))) < 0.05 * abs(step) + 1e-5

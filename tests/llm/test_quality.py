@@ -75,3 +75,17 @@ def test_judge_odd_tables(spark):
     assert len(got) == 4 and all(r.kept == (not r.base_failed) for r in got)
     assert quality.judge(docs, labels.limit(0)).count() == 4
     assert quality.judge(docs.limit(0), labels).count() == 0
+
+
+def test_query_equals_sql_where_the_method_rejects(spark):
+    """On the larger tables cutoffs do reject documents; the smaller ones only show the base rules."""
+    from careline.llm.queries import op2_quality_rules
+    from careline.llm.sql import ORACLES
+    from workloads.check import connect
+
+    sf = "/root/testdata/sf0.1"
+    got = op2_quality_rules(spark, sf)
+    cur = connect(sf).execute(ORACLES["op2_quality_rules"])
+    want = sorted(cur.fetchall())
+    assert sorted(tuple(r) for r in got.select([d[0] for d in cur.description]).collect()) == want
+    assert sum(not r[-2] and not r[-1] for r in want) > 100
