@@ -380,11 +380,18 @@ def routed_windows(rows: DataFrame, chunk_bytes: int, bucket_bytes: int, hot_run
     hot, buckets = np.array([r.minimiser for r in often], np.int64).view(np.uint64), max(1, -(-3 * size // bucket_bytes))
     routed = rows.mapInArrow(_route(hot, buckets, chunk_bytes), _ROUTED)
     if not often:
-        return routed
+        return _spread(routed, buckets)
     groups = max(1, math.isqrt(size // chunk_bytes))
     many = max(1, -(-sum(r.n for r in often) * WINDOW * RUN_BYTES // bucket_bytes))
     met = rows.mapInArrow(_route(hot, max(1, many // groups), chunk_bytes, groups), _ROUTED)
-    return routed.unionByName(met.groupBy("bucket", "part").applyInArrow(_settle(buckets, many), _ROUTED))
+    return _spread(routed.unionByName(met.groupBy("bucket", "part").applyInArrow(_settle(buckets, many), _ROUTED)), buckets + many)
+
+
+def _spread(routed: DataFrame, buckets: int) -> DataFrame:
+    """A partition for every few buckets, where the session's shuffles would have fewer."""
+    parts = min(buckets // 4, 1 << 16)
+    few = parts <= int(routed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return routed if few else routed.repartition(parts, "bucket")
 
 
 @shielded
