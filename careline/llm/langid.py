@@ -54,12 +54,13 @@ def features(text: str) -> np.ndarray:
 def _machine(x: np.ndarray, y: np.ndarray, steps: int = 300, penalty: float = 1e-4) -> np.ndarray:
     """A linear support vector machine (weights, bias last): subgradient steps on the hinge loss, both
     sides weighing the same, averaged over the second half."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     side = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    w, mean = np.zeros(x.shape[1]), np.zeros(x.shape[1])
+    w, mean = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
     for t in range(1, steps + 1):
-        wrong = y * (x @ w) < 1
-        w -= 20 / np.sqrt(t) * (penalty * w - (side * y * wrong) @ x)
+        # products in the vectors' own 32 bits, so that no wider copy of them is made
+        wrong = y * (x @ w[:-1].astype(np.float32) + w[-1]) < 1
+        pull = side * y * wrong
+        w -= 20 / np.sqrt(t) * (penalty * w - np.append(pull.astype(np.float32) @ x, pull.sum()))
         if 2 * t > steps:
             mean += w
     return (mean / (steps - steps // 2)).astype(np.float32)
@@ -82,8 +83,8 @@ class Model:
         self.pairs = {}
         for members in self.families.values():
             for a, b in combinations(members, 2):
-                rows = (own == a) | (own == b)
-                self.pairs[a, b] = _machine(x[rows], np.where(own[rows] == a, 1, -1))
+                rows = np.flatnonzero((own == a) | (own == b))
+                self.pairs[a, b] = _machine(x[rows] if len(rows) < len(x) else x, np.where(own[rows] == a, 1, -1))
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Language and score of each row: the chance that the best family's machine gives times the mean
@@ -147,8 +148,11 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     sampled = rows.withColumn("h", F.xxhash64("text")).join(chosen, F.col("k").eqNullSafe(F.col("k2")) & (F.col("lang") == F.col("lang2")) & (F.col("h") == F.col("h2")))
     made = sampled.select("lang", "k", "text").mapInArrow(vectors, f"lang string, k {kind}, x binary").dropDuplicates(["lang", "k", "x"])
     got = made.toArrow().sort_by([(c, "ascending") for c in ("lang", "k", "x")])
-    x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(-1, DIMENSIONS)
-    return Model(got.column("lang").to_pylist(), x, families)
+    langs, x = got.column("lang").to_pylist(), np.empty((got.num_rows, DIMENSIONS), np.float32)
+    for i, row in enumerate(got.column("x")):
+        x[i] = np.frombuffer(row.as_buffer(), np.float32)
+    del got  # the driver holds the vectors once
+    return Model(langs, x, families)
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text", into: str = "language") -> DataFrame:
