@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 #: Entries of a task's tables of seams and prefixes, and bytes of its tables of texts, before they start anew;
 #: results do not depend on them.
-MEMO, MEMO_BYTES = 100_000, 48 << 20
+MEMO, MEMO_BYTES = 200_000, 96 << 20
 #: Longer segments are encoded without being remembered.
 MEMO_CHARS = 48
 
