@@ -34,6 +34,8 @@ TOKENS = CLASSES * WIDTH
 HASHED = 512
 EMBEDDING, HIDDEN = 16, 32
 ROUNDS, MASKED, BATCH, RATE = 2, 1.0, 2048, 0.15
+#: Scores are held within it, so that their powers and sums stay in range.
+LIMIT = 60
 _SCORED = 1 << 13
 _BLOCK = 1 << 13
 _SHAPES = {"e": (TOKENS, EMBEDDING), "w": (2 * SIDE * EMBEDDING, HIDDEN), "c": (HIDDEN, CLASSES), "d": (CLASSES,),
@@ -83,20 +85,24 @@ def contexts(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return line[at], line[at[:, None] + near]
 
 
+def _powers(x: np.ndarray) -> np.ndarray:
+    """The powers of e of the scores, in place, and each row's sum."""
+    np.exp(x, out=x)
+    return x @ np.ones(x.shape[1], np.float32)
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     """Chances from scores, in place."""
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
+    np.clip(x, -LIMIT, LIMIT, out=x)
+    x *= (1 / _powers(x))[:, None]
     return x
 
 
 def _log_chance(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """The logarithm of one chance of each row of scores; the scores are used up."""
-    x -= x.max(axis=1, keepdims=True)
+    np.clip(x, -LIMIT, LIMIT, out=x)
     own = x[np.arange(len(x)), chosen]
-    np.exp(x, out=x)
-    return own - np.log(x.sum(axis=1))
+    return own - np.log(_powers(x))
 
 
 def _segments(kind: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
@@ -108,9 +114,11 @@ def _segments(kind: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]
 
 def _within(weights: dict[str, np.ndarray], h: np.ndarray, kind: np.ndarray, segments: list[tuple[int, int, int]]) -> np.ndarray:
     """Scores of the words of each row's class."""
-    out = weights["u"][kind]
+    out, v = weights["u"].take(kind, axis=0), weights["v"]
+    scores = np.empty_like(out)
     for c, a, b in segments:
-        out[a:b] += h[a:b] @ weights["v"][c]
+        np.dot(h[a:b], v[c], out=scores[a:b])
+    out += scores
     return out
 
 
@@ -120,8 +128,8 @@ def log_chances(weights: dict[str, np.ndarray], words: np.ndarray, around: np.nd
     for at in range(0, len(words), _SCORED):
         word, near = words[at:at + _SCORED], around[at:at + _SCORED]
         order, segments = _segments(word // WIDTH)
-        word, near = word[order], near[order]
-        h = np.tanh(weights["e"][near].reshape(len(word), -1) @ weights["w"])
+        word, near = word[order], near.take(order, axis=0)
+        h = np.tanh(weights["e"].take(near, axis=0).reshape(len(word), -1) @ weights["w"])
         got = _log_chance(h @ weights["c"] + weights["d"], word // WIDTH).astype(np.float64)
         out[at + order] = got + _log_chance(_within(weights, h, word // WIDTH, segments), word % WIDTH)
     return out
@@ -133,43 +141,50 @@ class Trainer:
     def __init__(self, weights: dict[str, np.ndarray], rate: float = RATE):
         self.weights = {k: v.copy() for k, v in weights.items()}
         self.seen = {k: np.full_like(v, 1e-3) for k, v in weights.items()}
-        self.rate, self.n = rate, 0
+        self.rate, self.n, self.ones = rate, 0, np.ones(0, np.float32)
 
-    def _move(self, name: str, gradient: np.ndarray, rows=slice(None)) -> None:
-        self.seen[name][rows] += gradient * gradient
-        self.weights[name][rows] -= self.rate * gradient / np.sqrt(self.seen[name][rows])
+    def _move(self, name: str, gradient: np.ndarray) -> None:
+        self.seen[name] += gradient * gradient
+        gradient /= np.sqrt(self.seen[name])
+        gradient *= self.rate
+        self.weights[name] -= gradient
 
     def step(self, word: np.ndarray, near: np.ndarray) -> None:
         """One step on a batch of words and the words around them."""
-        order, segments = _segments(word // WIDTH)
-        word, near, n = word[order], near[order], len(word)
+        kind = word // WIDTH
+        order, segments = _segments(kind)
+        word, kind, near, n = word[order], kind[order], near.take(order, axis=0), len(word)
         w, rows = self.weights, np.arange(n)
-        x = w["e"][near].reshape(n, -1)
+        if len(self.ones) < n:
+            self.ones = np.ones(n, np.float32)
+        x = w["e"].take(near, axis=0).reshape(n, -1)
         h = np.tanh(x @ w["w"])
         by_class = _softmax(h @ w["c"] + w["d"])
-        by_class[rows, word // WIDTH] -= 1
+        by_class[rows, kind] -= 1
         by_class /= n
-        back = by_class @ w["c"].T
-        inner = _softmax(_within(w, h, word // WIDTH, segments))
+        inner = _softmax(_within(w, h, kind, segments))
         inner[rows, word % WIDTH] -= 1
         inner /= n
-        to_v, to_u = np.zeros_like(w["v"]), np.zeros_like(w["u"])
+        to_v, to_u, from_v = np.zeros_like(w["v"]), np.zeros_like(w["u"]), np.empty_like(h)
         for c, a, b in segments:
-            back[a:b] += inner[a:b] @ w["v"][c].T
-            np.matmul(h[a:b].T, inner[a:b], out=to_v[c])
-            inner[a:b].sum(axis=0, out=to_u[c])
+            part = inner[a:b]
+            np.dot(part, w["v"][c].T, out=from_v[a:b])
+            np.dot(h[a:b].T, part, out=to_v[c])
+            np.dot(self.ones[:b - a], part, out=to_u[c])
+        back = by_class @ w["c"].T
+        back += from_v
         back *= 1 - h * h
-        to_x = (back @ w["w"].T).reshape(-1, EMBEDDING)
+        # each number's gradient is the sum over the places that see it, one column at a time
+        slot, to_x = near.ravel().astype(np.intp), (back @ w["w"].T).reshape(-1, EMBEDDING).T.astype(np.float64, order="C")
+        to_e = np.empty_like(w["e"])
+        for k, column in enumerate(to_x):
+            to_e[:, k] = np.bincount(slot, column, TOKENS)
         self._move("c", h.T @ by_class)
-        self._move("d", by_class.sum(axis=0))
+        self._move("d", self.ones[:n] @ by_class)
         self._move("v", to_v)
         self._move("u", to_u)
         self._move("w", x.T @ back)
-        slot = near.ravel().astype(np.uint16)
-        by = np.argsort(slot, kind="stable")
-        slot = slot[by]
-        first = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
-        self._move("e", np.add.reduceat(to_x[by], first), slot[first])
+        self._move("e", to_e)
         self.n += n
 
 
@@ -243,7 +258,8 @@ def train(docs: DataFrame, text: str, words: list[str], *, rounds: int = ROUNDS,
                 mixed = random.permutation(len(word))
                 full = len(word) // batch * batch
                 for at in range(0, full, batch):
-                    trainer.step(word[mixed[at:at + batch]], near[mixed[at:at + batch]])
+                    chosen = mixed[at:at + batch]
+                    trainer.step(word[chosen], near.take(chosen, axis=0))
                 left = [word[mixed[full:]], near[mixed[full:]]]
             if len(left[0]):
                 trainer.step(*left)
