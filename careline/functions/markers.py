@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from careline import fixed_values as V
-from careline.functions.pathology import UNICODE, UNICODE_ANY_CASE, possessive
+from careline.functions.pathology import UNICODE, UNICODE_ANY_CASE, holds, literals, possessive, short_lower
 
 
 def linear_form(pattern: str) -> str:
@@ -25,12 +25,15 @@ def linear_form(pattern: str) -> str:
     return rf"(?m)(?:^(?:(?!{inline}).)*+{inline}|(?!{inline}){possessive(head)}){gap}{possessive(tail)}"
 
 
-def _search(text: Column, pattern: str, use) -> Column:
-    """``use(pattern)`` in linear form; with an open gap only where the tail's word is there at all."""
-    if ".*?" not in pattern:
-        return use(UNICODE + possessive(pattern))
-    word = re.search("[a-z]{4,}|%", pattern.split(".*?", 1)[1]).group()
-    return F.when(F.contains(text, F.lit(word)), use(UNICODE + linear_form(pattern)))
+def _search(c: Column, pattern: str, use) -> Column:
+    """``use(text, pattern)`` on lower-cased text in linear form, only where the pattern's plain pieces are there at all.
+
+    The pieces are looked up in text without long runs of spaces, which is searched too unless the pattern
+    counts characters.
+    """
+    text = short_lower(c)
+    linear = linear_form(pattern) if ".*?" in pattern else possessive(pattern)
+    return F.when(holds(text, pattern), use(F.lower(c) if ".{" in pattern else text, UNICODE + linear))
 
 
 def status_by_rules(c: Column, rules) -> Column:
@@ -39,15 +42,14 @@ def status_by_rules(c: Column, rules) -> Column:
     Rules are searched in lower-cased text, which lets the literal start of a
     pattern be found by fast substring search.
     """
-    text = F.lower(c)
     branches = []
     for pattern, label in rules:
         if isinstance(label, dict):
             pairs = [F.lit(x) for pair in label.items() for x in pair]
-            found = _search(text, pattern, lambda p: F.regexp_extract(text, p, 1))
+            found = _search(c, pattern, lambda t, p: F.regexp_extract(t, p, 1))
             branches.append(F.try_element_at(F.create_map(*pairs), found))
         else:
-            branches.append(F.when(_search(text, pattern, text.rlike), F.lit(label)))
+            branches.append(F.when(_search(c, pattern, Column.rlike), F.lit(label)))
     return F.coalesce(*branches, F.lit(V.NOT_STATED))
 
 
@@ -76,8 +78,7 @@ def _decimal(found: Column) -> Column:
 
 def ki67(c: Column, version: int = 2) -> Column:
     """First percentage after Ki-67, 0.0 if there is none."""
-    text = F.lower(c)
-    found = _search(text, V.KI67_PERCENT[version], lambda p: F.regexp_extract(text, p, 1))
+    found = _search(c, V.KI67_PERCENT[version], lambda t, p: F.regexp_extract(t, p, 1))
     return F.coalesce(_decimal(found), F.lit(0.0))
 
 
@@ -113,11 +114,28 @@ def mention_scan(c: Column, patterns=V.MARKERS, n: int = V.CONTEXT_CHARS) -> Col
     begins = "".join(sorted({letter for p in patterns.values() for letter in re.findall(r"(?:\\b|\(\?:|\|)([a-z])", p)}))
     # The piece is captured ahead, so a context does not hide the mentions in it.
     search = rf"{UNICODE_ANY_CASE}(?=[{begins}])(?=((?:{any_of})(?s:.{{0,{n}}})))."
-    pieces = F.coalesce(F.regexp_extract_all(c, F.lit(search), F.lit(1)), F.array().cast("array<string>"))
+    found = F.when(_may_mention(c, patterns), F.regexp_extract_all(c, F.lit(search), F.lit(1)))
+    pieces = F.coalesce(found, F.array().cast("array<string>"))
     return F.filter(F.transform(pieces, lambda p: F.struct(_marker_of(p, patterns).alias("marcador"), p.alias("trecho"))),
                     lambda m: m["marcador"].isNotNull())
 
 
+def _may_mention(c: Column, patterns) -> Column:
+    """False only where no marker can be found: a cheap look for the plain pieces of a pattern.
+
+    i, k and s have further forms that any-case patterns accept and lower-casing keeps; pieces end there.
+    """
+    text, found = short_lower(c), F.lit(False)
+    for p in patterns.values():
+        pieces = sorted({x for piece in literals(p) for x in re.split("[iks]", piece) if x}, key=len, reverse=True)
+        # a pattern without a piece may stand anywhere
+        holds_all = F.lit(True)
+        for piece in pieces:
+            holds_all = holds_all & F.contains(text, F.lit(piece))
+        found = found | holds_all
+    return found
+
+
 _MENTION_CHARS = 40
 
 

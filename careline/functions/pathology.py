@@ -23,6 +23,41 @@ def possessive(pattern: str) -> str:
     return pattern
 
 
+_GROUP = re.compile(r"\((?:\?:)?([^()]*)\)([?*{]?)")
+_NO_LITERAL = re.compile(r"\[[^\]]*\](?:[*+?]|\{[^}]*\})?|\\[a-zA-Z](?:[*+?]|\{[^}]*\})?|\.(?:\*|\{[^}]*\})\??|\\?[^\n\\][?*]")
+
+
+def literals(pattern: str) -> list[str]:
+    """Pieces of plain text that every match of a fixed pattern holds: signs first, then the longest."""
+    plain = re.sub(r"\[(\\[+\-])\](?![*+?{])", r"\1", pattern)
+    while _GROUP.search(plain):
+        plain = _GROUP.sub(lambda m: "\n" if m[2] or "|" in m[1] else m[1], plain)
+    pieces = re.sub(r"\\(.)", r"\1", _NO_LITERAL.sub("\n", plain)).split("\n")
+    return sorted({x for x in pieces if len(x) > 1 or not x.isalnum()} - {""}, key=lambda x: (x.isalnum(), -len(x), x))
+
+
+def holds(text: Column, pattern: str) -> Column:
+    """Whether the text holds two plain pieces of the pattern: a cheap look before the search."""
+    found = F.lit(True)
+    for piece in literals(pattern)[:2]:
+        found = found & F.contains(text, F.lit(piece))
+    return found
+
+
+_LONG, _RUN, _PAIR = " " * 64, " " * 8, "  "
+
+
+def squeezed(text: Column) -> Column:
+    """Long runs of spaces made short, but never a single space; patterns that count no characters do not tell the difference."""
+    short = F.replace(F.replace(text, F.lit(_LONG), F.lit(_PAIR)), F.lit(_RUN), F.lit(_PAIR))
+    return F.when(F.contains(text, F.lit(_RUN)), short).otherwise(text)
+
+
+def short_lower(c: Column) -> Column:
+    """Lower-cased text without long runs of spaces."""
+    return F.lower(squeezed(c))
+
+
 # A line that names a breast topography and a carcinoma.  The first line with
 # either order decides; only topography-first captures group 1.  Atomic groups
 # keep the search linear on very long lines.
@@ -65,8 +100,8 @@ def malignancy_terms(c: Column, terms=V.MALIGNANCY_TERMS) -> Column:
     text = F.lower(c)
     if all(re.fullmatch(r"\w+", t) for t in terms):
         # Single words cannot overlap, so one scan finds them all.
-        words = "|".join(re.escape(t) for t in terms)
-        found = F.regexp_extract_all(text, F.lit(rf"{UNICODE}\b({words})\b"), F.lit(1))
+        words, begins = "|".join(re.escape(t) for t in terms), "".join(sorted({t[0] for t in terms}))
+        found = F.regexp_extract_all(text, F.lit(rf"{UNICODE}(?=[{begins}])\b({words})\b"), F.lit(1))
     else:
         found = F.array_compact(
             F.array(*[
@@ -78,7 +113,8 @@ def malignancy_terms(c: Column, terms=V.MALIGNANCY_TERMS) -> Column:
 
 def _number(c: Column, pattern: str) -> Column:
     # No match is made NULL first: casting an empty string is a slow failure.
-    found = F.regexp_extract(F.lower(c), UNICODE + possessive(pattern), 1)
+    text = short_lower(c)
+    found = F.when(holds(text, pattern), F.regexp_extract(text, UNICODE + possessive(pattern), 1))
     return F.nullif(found, F.lit("")).try_cast("int")
 
 
@@ -105,7 +141,7 @@ def histologic_type(c: Column, types=V.HISTOLOGIC_TYPES, fixed: bool = False) ->
     Phrases are compared as plain text, so the two that carry a character class
     never match; ``fixed`` reads the class and returns the plain spelling.
     """
-    text = F.lower(c)
+    text = F.lower(c) if any("  " in phrase for phrase in types) else short_lower(c)
     label = None
     for phrase in types:
         if fixed and phrase in V.HISTOLOGIC_TYPES_PLAIN:

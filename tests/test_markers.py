@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from careline import fixed_values as V
 from careline.functions import markers as M
+from careline.functions import pathology as L
 
 P, N, I, X = V.POSITIVE, V.NEGATIVE, V.INCONCLUSIVE, V.NOT_STATED
 
@@ -181,3 +182,43 @@ def test_plans_search_a_report_once(spark):
     for out in (E.with_mentions(df), E.inconsistency_profile(df), E.marker_counts(df), E.validation_sheet(df, fields=[])):
         plan = out._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("regexp_extract_all(") == 1, plan
+
+
+def _fixed_patterns():
+    rules = [r for group in (V.ER_RULES, V.PR_RULES, V.HER2_RULES, V.CK56_RULES) for version in group.values() for r, _ in version]
+    return [*rules, *V.KI67_PERCENT.values(), *V.MITOTIC_INDEX.values(), V.HISTOLOGIC_GRADE, V.NUCLEAR_GRADE, V.TUBULE_SCORE, *V.MARKERS.values(), *V.MARKERS_LOOSE.values()]
+
+
+def test_pieces_of_a_pattern_stand_in_every_match():
+    from workloads import texts as T
+
+    seen = set()
+    for pattern in _fixed_patterns():
+        for text in (*T.IHC_TEXTS, *T.PATHOLOGY_TEXTS, "ER +a PR -a her2 3+a ck5/6 +a mitotico 3 / 10 mitoses / mm2", "her2: 3+x er -x pr +x ck5 / 6 -x"):
+            for m in re.finditer(pattern, text.replace("{p}", "12").lower()):
+                seen.add(pattern)
+                assert all(piece in m.group() for piece in L.literals(pattern)), (pattern, m.group())
+    assert len(seen) > 25
+    assert L.literals(r"\ber\s*[\+]\b") == ["+", "er"] and L.literals(r"\b(?:a+bc|er)\b") == []
+
+
+def test_long_runs_of_spaces_are_searched_short(apply):
+    """A run never becomes a single space, and no pattern sees the difference."""
+    runs = [1, 2, 3, 7, 8, 9, 16, 63, 64, 65, 127, 128, 400, 1000]
+    texts = ["a" + " " * n + "b" for n in runs]
+    short = apply(L.squeezed, [*texts, None])
+    assert short[-1] is None and all(len(s) <= 2 + 16 for s in short[:-1])
+    for n, s in zip(runs, short):
+        assert len(s) - 2 == n if n < 8 else len(s) - 2 >= 2
+    gaps = [f"receptor{' ' * n}de  progesterona{' ' * n}positivo" for n in (1, 45, 46, 500)]
+    assert apply(lambda c: M.pr_status(c, 2), gaps) == [V.POSITIVE, V.POSITIVE, V.NOT_STATED, V.NOT_STATED]
+    assert apply(lambda c: M.er_status(c, 2), [f"receptor{' ' * 900}de estrogeno{' ' * 900}negativo"]) == [V.NEGATIVE]
+    assert apply(L.histologic_type, [f"carcinoma de mama{' ' * n}tubular" for n in (1, 2, 9, 400)]) == ["carcinoma de mama tubular", None, None, None]
+
+
+def test_mentions_in_letters_of_other_forms(apply):
+    """Letters that any-case patterns accept but lower-casing keeps do not hide a mention."""
+    texts = ["PROGEſTERONA e receptor de progesterona", "receptor de progeſterona: positivo", "Kı-67 20%", "nada"]
+    count = lambda m: lambda c: M.scanned_count(M.mention_scan(c, V.MARKERS), m)
+    assert apply(lambda c: F.size(F.regexp_extract_all(c, F.lit(r"(?iuUd)\breceptor\s+de\s+progesterona\b"), F.lit(0))), texts) == [1, 1, 0, 0]
+    assert apply(lambda c: F.size(M.mention_scan(c, V.MARKERS)) > 0, texts) == [True, True, True, False]
