@@ -130,3 +130,21 @@ def test_joins_of_bucketed_tables_do_not_shuffle(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         for name in ("laudos_b", "respostas_b"):
             spark.sql(f"DROP TABLE {name}")
+
+
+def test_rows_of_a_day_are_extracted_once(spark):
+    """Days are read twice, but what was found in a report is not looked for again."""
+    from workloads import q_daily
+    from careline.session import scratch_path
+
+    seen = spark.sparkContext.accumulator(0)
+    rows = [(i, 1, day(i % 9), i % 2 == 0) for i in range(90)]
+
+    def counted(row):
+        seen.add(1)
+        return tuple(row)
+
+    source = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(counted), "ficha int, id_item int, dth_pedido date, acertou_a boolean")
+    states = q_daily._kept(lambda df: daily.accuracy_days(df, ["a"]), source, scratch_path(spark, "uma"))
+    assert [(r.campo, r.acertos, r.total) for r in daily.accuracy_from_days(states).collect()] == [("a", 45, 90)]
+    assert seen.value == 90

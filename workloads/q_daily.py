@@ -20,12 +20,15 @@ from workloads.registry import ORACLES, register
 
 def _kept(states_of, rows, path):
     """States of all days, first from two thirds of the rows; then the days with late rows are read again, whole."""
+    spark, kept = rows.sparkSession, f"{path}-linhas"
+    rows.write.parquet(kept)  # flags of a row, which both readings use, are found once
+    rows = spark.read.parquet(kept)
     late = F.pmod(F.xxhash64("ficha", "id_item"), F.lit(3)) == 0
     daily.keep_days(states_of(rows.filter(~late)), path)
     days = rows.filter(late).select(F.col("dth_pedido").cast("date").alias("_dia")).distinct()
     again = rows.join(days, F.col("dth_pedido").cast("date") == F.col("_dia"), "left_semi")
     daily.keep_days(states_of(again), path)
-    return daily.read_days(rows.sparkSession, path)
+    return daily.read_days(spark, path)
 
 
 def _accuracy_states(spark, sf):
