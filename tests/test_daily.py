@@ -10,7 +10,7 @@ from careline.operators import daily, tables
 from careline.operators import evaluate as E
 from careline.operators.followup import attribute_returns, overdue_rate
 from careline.plans.ihc import ihc_comparison, ihc_gold, ihc_reports, ihc_subtypes
-from careline.sources.bucketed import read_bucketed, save_bucketed
+from careline.sources.bucketed import bucket_count, read_bucketed, save_bucketed
 
 D0 = dt.date(2024, 1, 20)
 
@@ -132,6 +132,16 @@ def test_joins_of_bucketed_tables_do_not_shuffle(spark, tmp_path):
             spark.sql(f"DROP TABLE {name}")
 
 
+def test_buckets_follow_the_rows(spark):
+    """A bucket keeps its size as the table grows, so one task's memory does too."""
+    table = lambda n: spark.range(n).select("id", F.repeat(F.lit("x"), 968).alias("texto"))
+    assert bucket_count(table(10)) == 8 and bucket_count(table(0), least=1) == 1
+    counts = [bucket_count(table(n), least=1, target=100_000) for n in (1000, 6000)]
+    assert counts == [10, 60]
+    assert bucket_count(table(10), table(6000), least=1, target=100_000) == 60
+    assert bucket_count(table(6000).withColumn("texto", F.lit(None).cast("string")), least=1, target=100_000) == 2
+
+
 def test_rows_of_a_day_are_extracted_once(spark):
     """Days are read twice, but what was found in a report is not looked for again."""
     from workloads import q_daily

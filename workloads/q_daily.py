@@ -10,7 +10,7 @@ from careline.plans.ihc import ihc_comparison, ihc_gold, ihc_reports, ihc_subtyp
 from careline.plans.imaging import history
 from careline.session import scratch_path
 from careline.sources import read_returns
-from careline.sources.bucketed import read_bucketed, save_bucketed
+from careline.sources.bucketed import bucket_count, read_bucketed, save_bucketed
 from careline.streaming.returns import not_returned, once_per_key
 from workloads import fixtures as X
 from workloads import q_evaluate, q_followup, q_stages
@@ -144,10 +144,12 @@ def stream_reminders(spark, sf):
 def ihc_stage_bucketed(spark, sf):
     """The stage over reports and answers that lie in buckets of their key."""
     keys, names = V.REPORT_KEYS["F"], []
-    for kind, df in (("laudos", X.reports(spark, sf, brand=False)), ("respostas", X.answers(spark, sf, "ihc"))):
+    sources = {"laudos": X.reports(spark, sf, brand=False), "respostas": X.answers(spark, sf, "ihc")}
+    buckets = bucket_count(sources["laudos"])
+    for kind, df in sources.items():
         path = scratch_path(spark, kind)
         names.append(f"careline_{kind}_{path.rpartition('-')[2]}")
-        save_bucketed(df, names[-1], keys, 8, path)
+        save_bucketed(df, names[-1], keys, buckets, path)
     reports, answers = (read_bucketed(spark, n) for n in names)
     return q_stages.ihc_counts(ihc_comparison(ihc_subtypes(ihc_gold(ihc_reports(reports)), answers)))
 
