@@ -42,3 +42,15 @@ def test_kinds(spark):
     df = with_variant(spark.createDataFrame([(t,) for t in texts], "resposta_llm string"))
     got = {r.tipo: r.n for r in answer_type_profile(df, ["f"]).collect()}
     assert got == {"texto": 1, "inteiro": 1, "decimal": 2, "booleano": 1, "lista": 1, "objeto": 1, "nulo": 1, "ausente": 1, "ilegivel": 2}
+
+
+def test_each_field_is_taken_from_the_answer_once(spark):
+    fields = {"f": "array<string>", "g": "int", "h": "string"}
+    rows = [('{"f": ["a"], "g": 1, "h": "x"}', ["a"], 1, "x"), ("Resposta: {}", [], 2, None), ("nada", [], None, NI), (" {}", None, None, None)]
+    df = spark.createDataFrame(rows, "resposta_llm string, " + ", ".join(f"heu_{f} {kind}" for f, kind in fields.items())).repartition(2)
+    df = compare_typed(with_variant(df), list(fields))
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert text.count("schema_of_variant(") <= len(fields) + 1  # and of a list's items
+    assert df.columns == ["heu_f", "heu_g", "heu_h", "_variante", "acertou_f", "acertou_g", "acertou_h"]
+    got = sorted((r.heu_g or 0, r.acertou_f, r.acertou_g, r.acertou_h) for r in df.collect())
+    assert got == [(0, True, True, True), (0, True, True, True), (1, True, True, True), (2, True, False, True)]
