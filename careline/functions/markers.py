@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from careline import fixed_values as V
-from careline.functions.pathology import UNICODE, UNICODE_ANY_CASE, holds, literals, possessive, short_lower
+from careline.functions.pathology import UNICODE, UNICODE_ANY_CASE, Lowered, holds, literals, lowered, possessive, short_lower
 
 
 def linear_form(pattern: str) -> str:
@@ -25,18 +25,18 @@ def linear_form(pattern: str) -> str:
     return rf"(?m)(?:^(?:(?!{inline}).)*+{inline}|(?!{inline}){possessive(head)}){gap}{possessive(tail)}"
 
 
-def _search(c: Column, pattern: str, use) -> Column:
+def _search(c: Column | Lowered, pattern: str, use) -> Column:
     """``use(text, pattern)`` on lower-cased text in linear form, only where the pattern's plain pieces are there at all.
 
     The pieces are looked up in text without long runs of spaces, which is searched too unless the pattern
     counts characters.
     """
-    text = short_lower(c)
+    whole, short = lowered(c)
     linear = linear_form(pattern) if ".*?" in pattern else possessive(pattern)
-    return F.when(holds(text, pattern), use(F.lower(c) if ".{" in pattern else text, UNICODE + linear))
+    return F.when(holds(short, pattern), use(whole if ".{" in pattern else short, UNICODE + linear))
 
 
-def status_by_rules(c: Column, rules) -> Column:
+def status_by_rules(c: Column | Lowered, rules) -> Column:
     """Label of the first rule that fires, else the not-stated sentinel.
 
     Rules are searched in lower-cased text, which lets the literal start of a
@@ -53,21 +53,21 @@ def status_by_rules(c: Column, rules) -> Column:
     return F.coalesce(*branches, F.lit(V.NOT_STATED))
 
 
-def er_status(c: Column, version: int = 2) -> Column:
+def er_status(c: Column | Lowered, version: int = 2) -> Column:
     """Oestrogen receptor."""
     return status_by_rules(c, V.ER_RULES[version])
 
 
-def pr_status(c: Column, version: int = 2) -> Column:
+def pr_status(c: Column | Lowered, version: int = 2) -> Column:
     """Progesterone receptor; 2 tests positive first, 3 the direct form and then negative first."""
     return status_by_rules(c, V.PR_RULES[version])
 
 
-def her2_status(c: Column, version: int = 2) -> Column:
+def her2_status(c: Column | Lowered, version: int = 2) -> Column:
     return status_by_rules(c, V.HER2_RULES[version])
 
 
-def ck56_status(c: Column, version: int = 2) -> Column:
+def ck56_status(c: Column | Lowered, version: int = 2) -> Column:
     return status_by_rules(c, V.CK56_RULES[version])
 
 
@@ -76,13 +76,13 @@ def _decimal(found: Column) -> Column:
     return F.replace(F.nullif(found, F.lit("")), F.lit(","), F.lit(".")).try_cast("double")
 
 
-def ki67(c: Column, version: int = 2) -> Column:
+def ki67(c: Column | Lowered, version: int = 2) -> Column:
     """First percentage after Ki-67, 0.0 if there is none."""
     found = _search(c, V.KI67_PERCENT[version], lambda t, p: F.regexp_extract(t, p, 1))
     return F.coalesce(_decimal(found), F.lit(0.0))
 
 
-def ihc_labels(c: Column, versions: dict[str, int] | None = None) -> dict[str, Column]:
+def ihc_labels(c: Column | Lowered, versions: dict[str, int] | None = None) -> dict[str, Column]:
     """The five markers of a report by field name."""
     v = {**V.RULE_VERSIONS["F"], **(versions or {})}
     return dict(zip(V.IHC_FIELDS, (

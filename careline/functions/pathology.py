@@ -1,8 +1,9 @@
 """Labels read from biopsy and pathology reports."""
 
 import re
+from typing import NamedTuple
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from careline import fixed_values as V
@@ -58,6 +59,30 @@ def short_lower(c: Column) -> Column:
     return F.lower(squeezed(c))
 
 
+class Lowered(NamedTuple):
+    """A report's lower-cased text, and that without long runs of spaces; the pattern functions take it for the text."""
+    whole: Column
+    short: Column
+
+
+def lowered(c: Column | Lowered) -> Lowered:
+    return c if isinstance(c, Lowered) else Lowered(F.lower(c), short_lower(c))
+
+
+LOWERED = ("_laudo_inteiro", "_laudo_curto")
+
+
+def with_lowered(df: DataFrame, text: str) -> tuple[DataFrame, Lowered]:
+    """``df`` with a report's lower-cased text in columns of their own, and these columns.
+
+    A branch of a CASE that lower-cases the text does so anew; a column is found once per row.
+    """
+    whole, short = LOWERED
+    df = df.withColumn(short, short_lower(F.col(text)))
+    df = df.withColumn(whole, F.when(F.contains(F.col(text), F.lit(_RUN)), F.lower(F.col(text))).otherwise(F.col(short)))
+    return df, Lowered(F.col(whole), F.col(short))
+
+
 # A line that names a breast topography and a carcinoma.  The first line with
 # either order decides; only topography-first captures group 1.  Atomic groups
 # keep the search linear on very long lines.
@@ -94,10 +119,10 @@ def carcinoma_phrase(c: Column) -> Column:
     return F.trim(F.regexp_extract(c, r"(?i)(?:^|\.)([^.]*?carcinoma[^.]*)", 1))
 
 
-def malignancy_terms(c: Column, terms=V.MALIGNANCY_TERMS) -> Column:
+def malignancy_terms(c: Column | Lowered, terms=V.MALIGNANCY_TERMS) -> Column:
     """Sorted distinct terms present as whole words, any letter case."""
     terms = [t.lower() for t in terms]
-    text = F.lower(c)
+    text = lowered(c).whole
     if all(re.fullmatch(r"\w+", t) for t in terms):
         # Single words cannot overlap, so one scan finds them all.
         words, begins = "|".join(re.escape(t) for t in terms), "".join(sorted({t[0] for t in terms}))
@@ -111,37 +136,37 @@ def malignancy_terms(c: Column, terms=V.MALIGNANCY_TERMS) -> Column:
     return F.coalesce(F.sort_array(F.array_distinct(found)), F.array().cast("array<string>"))
 
 
-def _number(c: Column, pattern: str) -> Column:
+def _number(c: Column | Lowered, pattern: str) -> Column:
     # No match is made NULL first: casting an empty string is a slow failure.
-    text = short_lower(c)
+    text = lowered(c).short
     found = F.when(holds(text, pattern), F.regexp_extract(text, UNICODE + possessive(pattern), 1))
     return F.nullif(found, F.lit("")).try_cast("int")
 
 
-def histologic_grade(c: Column) -> Column:
+def histologic_grade(c: Column | Lowered) -> Column:
     return _number(c, V.HISTOLOGIC_GRADE)
 
 
-def nuclear_grade(c: Column) -> Column:
+def nuclear_grade(c: Column | Lowered) -> Column:
     return _number(c, V.NUCLEAR_GRADE)
 
 
-def tubule_score(c: Column) -> Column:
+def tubule_score(c: Column | Lowered) -> Column:
     return _number(c, V.TUBULE_SCORE)
 
 
-def mitotic_index(c: Column, version: int = 2) -> Column:
+def mitotic_index(c: Column | Lowered, version: int = 2) -> Column:
     """Number before ``mm2``; version 2 also accepts "mitose(s)" in between."""
     return _number(c, V.MITOTIC_INDEX[version])
 
 
-def histologic_type(c: Column, types=V.HISTOLOGIC_TYPES, fixed: bool = False) -> Column:
+def histologic_type(c: Column | Lowered, types=V.HISTOLOGIC_TYPES, fixed: bool = False) -> Column:
     """First phrase of the list contained in the report, NULL if none.
 
     Phrases are compared as plain text, so the two that carry a character class
     never match; ``fixed`` reads the class and returns the plain spelling.
     """
-    text = F.lower(c) if any("  " in phrase for phrase in types) else short_lower(c)
+    text = lowered(c).whole if any("  " in phrase for phrase in types) else lowered(c).short
     label = None
     for phrase in types:
         if fixed and phrase in V.HISTOLOGIC_TYPES_PLAIN:
@@ -152,7 +177,7 @@ def histologic_type(c: Column, types=V.HISTOLOGIC_TYPES, fixed: bool = False) ->
     return label
 
 
-def pathology_labels(c: Column, versions: dict[str, int] | None = None) -> dict[str, Column]:
+def pathology_labels(c: Column | Lowered, versions: dict[str, int] | None = None) -> dict[str, Column]:
     """The six labels of a report by field name, missing ones NULL."""
     v = {**V.RULE_VERSIONS["F"], **(versions or {})}
     return dict(zip(V.PATHOLOGY_FIELDS, (

@@ -15,7 +15,7 @@ from careline.functions.answers import (
     strip_fences,
 )
 from careline.functions.markers import ihc_labels
-from careline.functions.pathology import pathology_labels
+from careline.functions.pathology import LOWERED, pathology_labels, with_lowered
 from careline.functions.subtype import molecular_subtype
 
 TEXT = "laudo_tratado"
@@ -39,7 +39,11 @@ def answer_struct(c: Column, schema: StructType, languages=("python", "json"),
     """
     text = strip_fences(c, languages)
     text = first_object(text) if pick_object else text
-    return parse_literal(text, schema) if literal else F.from_json(text, schema)
+    if literal:
+        return parse_literal(text, schema)
+    parsed = F.from_json(text, schema)
+    # no object begins with a letter: a failing parse is slow
+    return parsed if pick_object else F.when(~F.substring(c, 1, 1).rlike("[A-Za-z]"), parsed)
 
 
 def parse_answers(df: DataFrame, schema: StructType, answer: str = ANSWER,
@@ -95,15 +99,13 @@ def pseudo_gold(df: DataFrame, kind: str, text: str = TEXT, as_text: bool = Fals
     ``as_text`` turns pathology numbers to text and fills the sentinel, the form
     answers have; otherwise missing labels stay NULL.
     """
-    if kind == "ihc":
-        return df.withColumns(
-            {f"heu_{k}": c for k, c in ihc_labels(F.col(text), versions).items()}
-        )
-    labels = {f"heu_{k}": c for k, c in pathology_labels(F.col(text), versions).items()}
-    if as_text:
+    df, low = with_lowered(df, text)
+    found = ihc_labels if kind == "ihc" else pathology_labels
+    labels = {f"heu_{k}": c for k, c in found(low, versions).items()}
+    if as_text and kind != "ihc":
         first = f"heu_{V.PATHOLOGY_FIELDS[0]}"
         labels = {
             k: c if k == first else F.coalesce(c.cast("string"), F.lit(V.NOT_STATED))
             for k, c in labels.items()
         }
-    return df.withColumns(labels)
+    return df.withColumns(labels).drop(*LOWERED)

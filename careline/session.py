@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The JVM compiles no method beyond 8000 bytes of code: wide projections of patterns then run split into small ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -133,3 +133,24 @@ def test_category_is_extracted_once(spark, tmp_path):
     X.reports(spark, SF, brand=False).write.parquet(path)
     text = plan(category_in(with_categories(spark.read.parquet(path))).select("ficha", "MIN_BIRADS", "BIRADS"))
     assert text.count("regexp_extract_all(") == 1
+
+
+@pytest.mark.parametrize("kind", ["ihc", "pathology"])
+def test_labels_lower_a_report_once(spark, kind):
+    """The text without long runs of spaces once, the whole text only where it has such runs; labels are those of the plain functions."""
+    from careline.functions import markers, pathology
+    from careline.operators.answers import pseudo_gold
+
+    gap = ["", " " * 7, " " * 8, " " * 30, " " * 46, " " * 80]
+    texts = [f"RECEPTOR de progesterona{g}- POSITIVO. HER2{g}escore{g}3+. ki67{g}12,5%. CK5/6{g}negativo. Carcinoma. GRAU{g} nuclear{g}2" for g in gap] + ["", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, laudo_tratado string").repartition(2)
+    gold = pseudo_gold(df, kind)
+    assert plan(gold).count("lower(") <= 2
+    labels = (markers.ihc_labels if kind == "ihc" else pathology.pathology_labels)(F.col("laudo_tratado"))
+    want = df.select("*", *[c.alias(f"heu_{k}") for k, c in labels.items()])
+    assert gold.columns == want.columns
+    assert gold.orderBy("i").collect() == want.orderBy("i").collect()
+
+
+def test_wide_projections_run_in_methods_the_jvm_compiles(spark):
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
