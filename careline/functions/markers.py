@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from careline import fixed_values as V
-from careline.functions.pathology import UNICODE, UNICODE_ANY_CASE, Lowered, holds, literals, lowered, possessive, short_lower
+from careline.functions.pathology import UNICODE, UNICODE_ANY_CASE, Lowered, holds, literals, lowered, possessive
 
 
 def linear_form(pattern: str) -> str:
@@ -103,29 +103,29 @@ def marker_context(c: Column, marker: str, n: int = V.CONTEXT_CHARS, patterns=V.
     return F.coalesce(F.regexp_replace(after, r"(?U)^\s+|\s+$", ""), F.lit(""))
 
 
-def mention_scan(c: Column, patterns=V.MARKERS, n: int = V.CONTEXT_CHARS) -> Column:
+def mention_scan(c: Column, patterns=V.MARKERS, n: int = V.CONTEXT_CHARS, low: Lowered | None = None) -> Column:
     """All mentions of all markers in one search: an array of (marcador, trecho) in the order of the text.
 
     ``trecho`` is the mention with the ``n`` characters after it; only these short pieces are looked
-    at again to tell the markers apart.
+    at again to tell the markers apart.  ``low`` is the text's lower-cased form, if there are columns of it.
     """
     any_of = "|".join(f"(?:{possessive(p)})" for p in patterns.values())
     # A cheap look at the letter that may begin a mention goes first.
     begins = "".join(sorted({letter for p in patterns.values() for letter in re.findall(r"(?:\\b|\(\?:|\|)([a-z])", p)}))
     # The piece is captured ahead, so a context does not hide the mentions in it.
     search = rf"{UNICODE_ANY_CASE}(?=[{begins}])(?=((?:{any_of})(?s:.{{0,{n}}})))."
-    found = F.when(_may_mention(c, patterns), F.regexp_extract_all(c, F.lit(search), F.lit(1)))
+    found = F.when(_may_mention(low or c, patterns), F.regexp_extract_all(c, F.lit(search), F.lit(1)))
     pieces = F.coalesce(found, F.array().cast("array<string>"))
     return F.filter(F.transform(pieces, lambda p: F.struct(_marker_of(p, patterns).alias("marcador"), p.alias("trecho"))),
                     lambda m: m["marcador"].isNotNull())
 
 
-def _may_mention(c: Column, patterns) -> Column:
+def _may_mention(c: Column | Lowered, patterns) -> Column:
     """False only where no marker can be found: a cheap look for the plain pieces of a pattern.
 
     i, k and s have further forms that any-case patterns accept and lower-casing keeps; pieces end there.
     """
-    text, found = short_lower(c), F.lit(False)
+    text, found = lowered(c).short, F.lit(False)
     for p in patterns.values():
         pieces = sorted({x for piece in literals(p) for x in re.split("[iks]", piece) if x}, key=len, reverse=True)
         # a pattern without a piece may stand anywhere

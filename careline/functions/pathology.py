@@ -76,8 +76,11 @@ def with_lowered(df: DataFrame, text: str) -> tuple[DataFrame, Lowered]:
     """``df`` with a report's lower-cased text in columns of their own, and these columns.
 
     A branch of a CASE that lower-cases the text does so anew; a column is found once per row.
+    Columns that ``df`` already has from here are used.
     """
     whole, short = LOWERED
+    if short in df.columns:
+        return df, Lowered(F.col(whole), F.col(short))
     df = df.withColumn(short, short_lower(F.col(text)))
     df = df.withColumn(whole, F.when(F.contains(F.col(text), F.lit(_RUN)), F.lower(F.col(text))).otherwise(F.col(short)))
     return df, Lowered(F.col(whole), F.col(short))

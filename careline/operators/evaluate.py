@@ -18,6 +18,7 @@ from careline.functions.markers import (
     scanned_context,
     scanned_count,
 )
+from careline.functions.pathology import LOWERED, with_lowered
 
 HIT = "acertou_"
 GOLD = "heu_"
@@ -208,8 +209,11 @@ SCAN = "_mencoes"
 
 def with_scan(df: DataFrame, text: str = "laudo_tratado", patterns=V.MARKERS) -> DataFrame:
     """Add the report's mentions; they are exploded from a one-element array, which keeps what
-    uses them above the search: it runs once per report."""
-    return df.withColumn(SCAN, F.explode(F.array(mention_scan(F.col(text), patterns))))
+    uses them above the search: it runs once per report.  What is exploded shares nothing, so the
+    lower-cased text is a column below it."""
+    added = [c for c in LOWERED if c not in df.columns]
+    df, low = with_lowered(df, text)
+    return df.withColumn(SCAN, F.explode(F.array(mention_scan(F.col(text), patterns, low=low)))).drop(*added)
 
 
 def marker_counts(df: DataFrame, text: str = "laudo_tratado", patterns=V.MARKERS_LOOSE,

@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from careline import fixed_values as V
+from careline.functions.pathology import with_lowered
 from careline.operators.answers import (
     IHC_SCHEMA,
     TEXT,
@@ -35,7 +36,9 @@ def ihc_gold(reports: DataFrame, group: str = "F", versions: dict[str, int] | No
     The pattern versions are the group's; ``versions`` replaces single ones.
     """
     chosen = {**V.RULE_VERSIONS[group], **(versions or {})}
-    df = pseudo_gold(with_mentions(reports) if sheet else reports, "ihc", versions=chosen)
+    if sheet:
+        reports = with_mentions(with_lowered(reports, TEXT)[0])
+    df = pseudo_gold(reports, "ihc", versions=chosen)
     return df if keep_text else all_but(df, TEXT)
 
 

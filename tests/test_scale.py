@@ -152,5 +152,17 @@ def test_labels_lower_a_report_once(spark, kind):
     assert gold.orderBy("i").collect() == want.orderBy("i").collect()
 
 
+@pytest.mark.parametrize("name", ["ihc_samples_sheet", "validation_sheet", "inconsistency_flags"])
+def test_a_scan_for_mentions_lowers_a_report_once(spark, name):
+    from careline.operators.evaluate import inconsistencies
+    from careline.plans.ihc import ihc_gold
+
+    df = spark.range(3).select(F.col("id"), F.col("id").cast("string").alias("laudo_tratado"))
+    out = inconsistencies(df) if name == "inconsistency_flags" else ihc_gold(df, sheet=True)
+    generate = next(line for line in plan(out).splitlines() if "Generate explode" in line)
+    assert "lower(" not in generate.split("_marcador")[0].split("lambda")[0]
+    assert "_laudo_curto" in generate and not any(c.startswith("_laudo") for c in out.columns)
+
+
 def test_wide_projections_run_in_methods_the_jvm_compiles(spark):
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
