@@ -1,8 +1,10 @@
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from careline.llm import lm_score
 from careline.llm.queries import op1_lm_score
@@ -141,3 +143,43 @@ def test_step_follows_the_gradient():
             assert abs(abs(gradient) - found) < 0.05 * found + 1e-4
             step = float(trainer.weights[name][at]) - start[name][at]
             assert step * gradient <= 0 and abs(abs(step) - lm_score.RATE * found / np.sqrt(float(trainer.seen[name][at]))) < 0.05 * abs(step) + 1e-5
+
+
+def test_steps_use_their_arrays_again():
+    """New arrays at each step took over 4 MB of new pages, and as much time as the sums."""
+    random, trainer = np.random.default_rng(5), lm_score.Trainer(lm_score.start_weights())
+    word, near = random.integers(0, lm_score.TOKENS, 2048).astype(np.int32), random.integers(0, 900, (2048, 2 * lm_score.SIDE)).astype(np.int32)
+    trainer.step(word, near)
+    tracemalloc.start()
+    trainer.step(word, near)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500_000
+
+
+def test_numbers_of_many_texts_are_those_of_each():
+    """Arrow's splitting and numbering against ``str.split`` and a plain dictionary."""
+    spaces = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+    texts = [None, "", " ", *(f"{c}one{c}{c}tw\u00f6 {c}" for c in spaces), "x\u200by one " * 300, "tw\u00f6", "\ufeffone"]
+    known = {"one": 1, "tw\u00f6": 2}
+    want = [[known.get(w, lm_score.TOKENS - lm_score.HASHED + zlib.crc32(w.encode()) % lm_score.HASHED) for w in (t or "").split()] for t in texts]
+    for some in (slice(None), slice(2, 9), slice(0, 0)):
+        found, sizes = lm_score.Numbers(list(known)).of_all(pa.array(texts, pa.string())[some])
+        assert found.tolist() == [x for row in want[some] for x in row] and sizes.tolist() == [len(row) for row in want[some]]
+
+
+def test_hashed_words_travel_by_part(spark):
+    """Not a row for each word of each text: one for each batch and part, with all its words."""
+    texts = [" ".join(f"w{(i * j) % 997}" for j in range(1, 200)) for i in range(1, 301)] + [None, "", "w1 w2"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    found = lm_score.hashed_words(df, "text", ["w1"], 8).collect()
+    assert len(found) <= 8 and len({r.part for r in found}) == len(found)
+    assert Counter(w for r in found for w in r.words.split(" ")) == Counter(w for t in texts for w in (t or "").split() if w != "w1")
+    assert all(len(r.words.split(" ")) == sum(r.sizes) for r in found) and sum(sum(r.copies) for r in found) == 301
+
+
+def test_vocabulary_ranks_ties_by_word(spark):
+    """The histogram that leaves out rare words leaves none of the most frequent out."""
+    rows = [(f"w{i:05d}", 1 + (i * 7919) % 60 ** (1 + i % 3)) for i in range(9000)]
+    got = lm_score.most_frequent(spark.createDataFrame(rows, "word string, n bigint"))
+    assert got == [w for w, _ in sorted(rows, key=lambda r: (-r[1], r[0]))[:lm_score.TOKENS - lm_score.HASHED - 1]]
